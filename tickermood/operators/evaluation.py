@@ -21,19 +21,36 @@ def classification_metrics(df: DataFrame, label="label", prediction="prediction"
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.avg(right).alias("accuracy"))
 
 
-def auc(df: DataFrame, label="label", score="score", by=()) -> DataFrame:
+def auc(df: DataFrame, label="label", score="score", by=(), slices=1000) -> DataFrame:
     """Area under the ROC curve: the share of (up, down) pairs ranked rightly.
 
-    Rows are first counted per distinct score; ties count half. Null without both
-    classes.
+    Ties count half; null without both classes. Rows are first counted per
+    distinct score. The score range is cut into ``slices``, so that no task has
+    to rank all scores: inside a slice by a window, between slices by their sums.
     """
     by = list(by)
-    counts = df.groupBy(*by, score).agg(
-        F.count_if(F.col(label) == 1).alias("up"), F.count_if(F.col(label) != 1).alias("down")
+    value = F.col(score).cast("double")
+    span = df.agg(F.struct(F.min(value).alias("low"), (F.max(value) - F.min(value)).alias("width")).alias("s")).scalar()
+    share = F.coalesce(F.try_divide(value - span["low"], span["width"]), F.lit(0.0))
+    up, down = F.count_if(F.col(label) == 1).alias("up"), F.count_if(F.col(label) != 1).alias("down")
+    cell = by + ["_slice"]
+    counts = df.withColumn("_slice", F.floor(share * slices)).groupBy(*cell, score).agg(up, down)
+
+    below = F.coalesce(
+        F.sum("down").over(Window.partitionBy(*cell).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    in_slice = (
+        counts.withColumn("below", below)
+        .groupBy(*cell)
+        .agg(
+            F.sum(F.col("up") * (F.col("below") + F.col("down") / 2)).alias("pairs"),
+            F.sum("up").alias("up"),
+            F.sum("down").alias("down"),
+        )
     )
-    lower = Window.partitionBy(*by).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.withColumn("below", F.coalesce(F.sum("down").over(lower), F.lit(0)))
-    pairs = F.sum(F.col("up") * (F.col("below") + F.col("down") / 2))
+    lower = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = in_slice.withColumn("below", F.coalesce(F.sum("down").over(lower), F.lit(0)))
+    pairs = F.sum(F.col("pairs") + F.col("up") * F.col("below"))
     return ranked.groupBy(*by).agg(
         F.try_divide(pairs, (F.sum("up") * F.sum("down")).cast("double")).alias("auc")
     )

@@ -22,3 +22,10 @@ def correlation_matrix(df: DataFrame, cols, by=()) -> DataFrame:
         ]
     )
     return wide.select(*by, F.inline(cells))
+
+
+def linear_fit_1d(df: DataFrame, y: str, x: str, by="symbol") -> DataFrame:
+    """Least-squares line of ``y`` over ``x`` for every group, from running sums."""
+    return df.groupBy(by).agg(
+        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2")
+    )

@@ -46,10 +46,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Write a small frame that several jobs reuse to reliable storage.
 
-    Reading it back neither repeats its lineage nor depends on any executor.
+    Reading it back neither repeats its lineage nor depends on any executor. The
+    rebalance hint sizes its partitions by bytes, so that iterative fits over a
+    small table do not run hundreds of tiny tasks per step.
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    return df.hint("rebalance").checkpoint()

@@ -29,13 +29,16 @@ def read_news(spark: SparkSession, path, symbol=None) -> DataFrame:
     return clean_news(spark.read.schema(NEWS).json(path).withColumn("symbol", owner))
 
 
-def shape_news(raw: DataFrame, origin, day_range=2) -> DataFrame:
+def shape_news(raw: DataFrame, origin, day_range=2, key=None) -> DataFrame:
     """Search results with a nested publisher to landing rows.
 
     Adds publication day, fetch window, article number in the window and the
-    file name these give. ``origin`` is the first day ever fetched. Rows whose
-    publication text holds no date keep null in those columns.
+    file name these give. ``origin`` is the first day ever fetched. Articles of a
+    window are numbered by day, then by the numeric column ``key`` if there is one
+    and else by a hash of the address: the order of a search result is not data.
+    Rows whose publication text holds no date keep null in those columns.
     """
+    order_key = F.xxhash64("url", "title") if key is None else F.col(key)
     flat = raw.select(
         "symbol",
         "article",
@@ -46,11 +49,12 @@ def shape_news(raw: DataFrame, origin, day_range=2) -> DataFrame:
         "title",
         "url",
         news_date("`published date`").alias("date"),
+        order_key.alias(key or "_key"),
     )
     windowed = assign_window(flat, "date", F.lit(origin).cast("date"), day_range)
-    # Result order of a search is not data; a hash of the address is stable.
-    keyed = windowed.withColumn("_key", F.xxhash64("url", "title"))
-    numbered = article_ordinal(keyed, by=["symbol", "bucket"], order=["date"], key="_key", tie_break=["url", "title"])
+    numbered = article_ordinal(
+        windowed, by=["symbol", "bucket"], order=["date"], key=key or "_key", tie_break=["url", "title"]
+    )
     name = landing_name("symbol", "window_start", "window_end", "ordinal")
     return numbered.withColumn("file_name", F.when(F.col("date").isNotNull(), name)).drop("_key")
 
