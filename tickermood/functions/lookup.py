@@ -10,7 +10,8 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_INLINE_TERMS = 20_000
+# The plan carries the dictionary; planning slows down noticeably beyond this.
+MAX_INLINE_TERMS = 5_000
 
 
 class Lookup:

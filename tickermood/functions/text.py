@@ -32,20 +32,3 @@ def sentence_words(text) -> Column:
 def ahead(words: Column, size: int) -> Column:
     """For each word the ``size`` words starting with it (fewer at the end)."""
     return F.transform(words, lambda word, i: F.slice(words, i + 1, size))
-
-
-def gram_array(words: Column, max_n: int) -> Column:
-    """All 1..max_n-grams with their start: array<struct<pos,n,gram>>."""
-
-    def grams_at(window, pos):
-        sizes = F.sequence(F.lit(1), F.size(window))
-        return F.transform(
-            sizes,
-            lambda n: F.struct(
-                pos.cast("int").alias("pos"),
-                n.cast("int").alias("n"),
-                F.array_join(F.slice(window, F.lit(1), n), " ").alias("gram"),
-            ),
-        )
-
-    return F.flatten(F.transform(ahead(words, max_n), grams_at))

@@ -64,8 +64,22 @@ def batched_r2(
     A batch without spread has no R2 and does not count. Daily frames only.
     """
     number = F.row_number().over(Window.partitionBy(by).orderBy(order))
-    batched = df.withColumn("batch_id", F.floor((number - 1) / batch_size))
-    _, r2 = _fit_terms(label, prediction)
-    per_batch = batched.groupBy(by, "batch_id").agg(r2.alias("r2"))
-    mean = per_batch.groupBy(by).agg(F.count(F.lit(1)).alias("batches"), F.avg("r2").alias("mean_batch_r2"))
-    return mean.join(df.groupBy(by).agg(r2.alias("r2")), by)
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    per_batch = (
+        df.withColumn("batch_id", F.floor((number - 1) / batch_size))
+        .groupBy(by, "batch_id")
+        .agg(
+            F.count(y).alias("n"),
+            F.avg(y).alias("mean"),
+            (F.var_pop(y) * F.count(y)).alias("sst"),
+            F.sum((y - p) * (y - p)).alias("sse"),
+        )
+    )
+    # Spread of all rows: within the batches, and of the batch means.
+    n, mean = F.col("n"), F.col("mean")
+    sst = F.sum("sst") + F.sum(n * mean * mean) - F.sum(n * mean) * F.sum(n * mean) / F.sum(n)
+    return per_batch.groupBy(by).agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.avg(1 - F.try_divide("sse", "sst")).alias("mean_batch_r2"),
+        (1 - F.try_divide(F.sum("sse"), sst)).alias("r2"),
+    )

@@ -166,12 +166,15 @@ def _lemmatized(df: DataFrame, words_col, id_col, lemmas, limit) -> DataFrame:
 
 def valence_score(
     df: DataFrame, lexicon: DataFrame, text_col="article", id_col="doc_id",
-    out="afinn_sentiment", inline_terms=MAX_INLINE_TERMS,
+    out="afinn_sentiment", words=None, inline_terms=MAX_INLINE_TERMS,
 ) -> DataFrame:
-    """Sum of the valences of a text's matching words and phrases; 0 without any."""
+    """Sum of the valences of a text's matching words and phrases; 0 without any.
+
+    ``words`` gives the words of the text where they are at hand already.
+    """
     entries = valence_entries(lexicon)
     found = _phrase_lookup(entries, inline_terms)
-    with_words = df.withColumn("_words", word_array(text_col))
+    with_words = df.withColumn("_words", word_array(text_col) if words is None else words)
     if found is not None:
         lookup, max_n = found
         if max_n == 1:
@@ -190,19 +193,20 @@ def _label(total: Column) -> Column:
 
 def dictionary_sentiment(
     df: DataFrame, lexicon: DataFrame, text_col="article", id_col="doc_id", lemmas=None,
-    granularity="document", inline_terms=MAX_INLINE_TERMS,
+    granularity="document", sentences=None, inline_terms=MAX_INLINE_TERMS,
 ) -> DataFrame:
     """Adds ``sentiment_score`` and the label array ``sentiment``.
 
     Every sentence is scored by the class dictionary. ``granularity`` says whether
     the labels are that of the whole text or the distinct ones of its sentences.
+    ``sentences`` gives the words of each sentence where they are at hand already.
     ``id_col`` must be unique; it is used only for dictionaries joined by size.
     """
     if granularity not in ("document", "sentence"):
         raise ValueError(f"unknown granularity {granularity!r}: use 'document' or 'sentence'")
     entries = class_entries(lexicon)
     found = _phrase_lookup(entries, inline_terms)
-    with_words = df.withColumn("_words", sentence_words(text_col))
+    with_words = df.withColumn("_words", sentence_words(text_col) if sentences is None else sentences)
     if lemmas is not None:
         with_words = _lemmatized(with_words, "_words", id_col, lemmas, inline_terms)
     if found is not None:

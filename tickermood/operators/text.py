@@ -6,7 +6,7 @@ inside each row and never build them.
 
 from pyspark.sql import DataFrame, functions as F
 
-from tickermood.functions.text import gram_array, sentence_array, sentence_words
+from tickermood.functions.text import ahead, sentence_array, sentence_words
 
 
 def each(df: DataFrame, keys, array, pos: str, item: str) -> DataFrame:
@@ -44,8 +44,10 @@ def lemmatize(token_rows: DataFrame, lemmas: DataFrame) -> DataFrame:
 def ngrams(df: DataFrame, text_col="article", id_col="doc_id", max_n=4) -> DataFrame:
     """(id, sent_id, pos, n, gram) for every run of up to ``max_n`` words of a sentence."""
     by_sentence = each(df, [id_col], sentence_words(text_col), "sent_id", "words")
-    grams = by_sentence.select(id_col, "sent_id", F.inline_outer(gram_array(F.col("words"), max_n)))
-    return grams.filter(F.col("pos").isNotNull())
+    starts = each(by_sentence, [id_col, "sent_id"], ahead(F.col("words"), max_n), "pos", "ahead")
+    sizes = F.explode(F.sequence(F.lit(1), F.size("ahead"))).alias("n")
+    gram = F.array_join(F.slice("ahead", F.lit(1), F.col("n")), " ").alias("gram")
+    return starts.select("*", sizes).select(id_col, "sent_id", "pos", "n", gram)
 
 
 def explode_sentences(df: DataFrame, sentence_col="sentences", embedding_col="embeddings", keep=("doc_id",)) -> DataFrame:

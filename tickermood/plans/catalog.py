@@ -103,9 +103,7 @@ def _published(date="date"):
 
 def _raw_news(spark, sf):
     """Documents in the shape of search results, publisher still nested."""
-    documents = sample.table(spark, sf, "documents")
-    dated = sample.as_news(documents).join(documents.select("doc_id", "source"), "doc_id")
-    return dated.select(
+    return sample.as_news(sample.table(spark, sf, "documents"), keep=["source"]).select(
         "doc_id",
         "symbol",
         "article",
@@ -152,8 +150,7 @@ def fetch_window_days(spark, sf):
 def news_landing(spark, sf):
     """Articles written as JSON, read back with the fixed schema, counted per day."""
     path = scratch_path(spark, "landing")
-    shaped = news_files.shape_news(_raw_news(spark, sf), sample.FIRST_DAY, key="doc_id")
-    news_files.land_news(shaped, path)
+    news_files.land_news(news_files.flatten_news(_raw_news(spark, sf)), path)
     rows = news_files.clean_news(spark.read.schema(news_files.NEWS.add("symbol", "string")).json(path))
     return rows.groupBy("symbol", news_date("`published date`").alias("date")).agg(
         F.count(F.lit(1)).alias("articles"), F.sum(F.length("article")).alias("n_chars")
@@ -266,20 +263,23 @@ def scaled_sentiment(spark, sf):
 
 @query
 def minmax_sentiment(spark, sf):
-    rows = scaling.minmax(_valued(spark, sf), "afinn_sentiment", by="symbol", out="minmax")
+    valued = materialize(_valued(spark, sf).drop("article"))
+    rows = scaling.minmax(valued, "afinn_sentiment", by="symbol", out="minmax")
     return rounded(rows.select("doc_id", "minmax"))
 
 
 @query
 def div_to_max(spark, sf):
-    rows = scaling.div_to_max(_valued(spark, sf), "afinn_sentiment", by="symbol", out="share")
+    valued = materialize(_valued(spark, sf).drop("article"))
+    rows = scaling.div_to_max(valued, "afinn_sentiment", by="symbol", out="share")
     return rounded(rows.select("doc_id", "share"))
 
 
 @query
 def article_scaling_daily_sum(spark, sf):
     """Three article-level scalings over the whole table, summed per day."""
-    rows = scaling.minmax(_valued(spark, sf), "afinn_sentiment", out="min_max_afinn")
+    valued = materialize(_valued(spark, sf).drop("article"))
+    rows = scaling.minmax(valued, "afinn_sentiment", out="min_max_afinn")
     rows = scaling.scale(rows, "afinn_sentiment", center=True, out="std_afinn")
     rows = scaling.div_to_max(rows, "afinn_sentiment", out="div_to_max")
     sums = [F.sum(c).alias(c) for c in ("afinn_sentiment", "min_max_afinn", "std_afinn", "div_to_max")]

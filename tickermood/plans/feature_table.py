@@ -1,7 +1,8 @@
 """From articles and bars to the feature table."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from tickermood.functions.text import sentence_words
 from tickermood.operators.features import join_features
 from tickermood.operators.market import price_features
 from tickermood.operators.scaling import scale
@@ -14,9 +15,15 @@ from tickermood.operators.sentiment import (
 
 
 def score_articles(news: DataFrame, valences: DataFrame, classes: DataFrame, lemmas=None, text_col="article") -> DataFrame:
-    """Both article scores, computed where the article is read."""
-    scored = valence_score(news, valences, text_col)
-    return pnn_score(dictionary_sentiment(scored, classes, text_col, lemmas=lemmas))
+    """Both article scores, computed where the article is read.
+
+    The text is cut into words once: the words of its sentences in a row are its
+    words, since no word reaches over a sentence gap.
+    """
+    cut = news.withColumn("_sentences", sentence_words(text_col))
+    scored = valence_score(cut, valences, text_col, words=F.flatten("_sentences"))
+    labelled = dictionary_sentiment(scored, classes, text_col, lemmas=lemmas, sentences=F.col("_sentences"))
+    return pnn_score(labelled).drop("_sentences")
 
 
 def daily_scores(news: DataFrame, valences: DataFrame, classes: DataFrame, lemmas=None, text_col="article") -> DataFrame:

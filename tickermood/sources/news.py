@@ -29,17 +29,9 @@ def read_news(spark: SparkSession, path, symbol=None) -> DataFrame:
     return clean_news(spark.read.schema(NEWS).json(path).withColumn("symbol", owner))
 
 
-def shape_news(raw: DataFrame, origin, day_range=2, key=None) -> DataFrame:
-    """Search results with a nested publisher to landing rows.
-
-    Adds publication day, fetch window, article number in the window and the
-    file name these give. ``origin`` is the first day ever fetched. Articles of a
-    window are numbered by day, then by the numeric column ``key`` if there is one
-    and else by a hash of the address: the order of a search result is not data.
-    Rows whose publication text holds no date keep null in those columns.
-    """
-    order_key = F.xxhash64("url", "title") if key is None else F.col(key)
-    flat = raw.select(
+def flatten_news(raw: DataFrame, keep=()) -> DataFrame:
+    """Search results with a nested publisher to landing columns, plus the day."""
+    return raw.select(
         "symbol",
         "article",
         "description",
@@ -49,8 +41,20 @@ def shape_news(raw: DataFrame, origin, day_range=2, key=None) -> DataFrame:
         "title",
         "url",
         news_date("`published date`").alias("date"),
-        order_key.alias(key or "_key"),
+        *keep,
     )
+
+
+def shape_news(raw: DataFrame, origin, day_range=2, key=None) -> DataFrame:
+    """Landing rows with fetch window, article number in it and file name.
+
+    ``origin`` is the first day ever fetched. Articles of a window are numbered by
+    day, then by the numeric column ``key`` if there is one and else by a hash of
+    the address: the order of a search result is not data. Rows whose publication
+    text holds no date keep null in those columns. Numbering shuffles the rows;
+    to land articles alone ``flatten_news`` is enough.
+    """
+    flat = flatten_news(raw, keep=[F.xxhash64("url", "title").alias("_key") if key is None else key])
     windowed = assign_window(flat, "date", F.lit(origin).cast("date"), day_range)
     numbered = article_ordinal(
         windowed, by=["symbol", "bucket"], order=["date"], key=key or "_key", tie_break=["url", "title"]
@@ -59,12 +63,12 @@ def shape_news(raw: DataFrame, origin, day_range=2, key=None) -> DataFrame:
     return numbered.withColumn("file_name", F.when(F.col("date").isNotNull(), name)).drop("_key")
 
 
-def land_news(shaped: DataFrame, path, articles_per_file=None) -> None:
+def land_news(flat: DataFrame, path, articles_per_file=None) -> None:
     """Write landing rows as JSON, one folder per symbol.
 
     ``articles_per_file=1`` gives one object per file; at scale leave it unset.
     """
-    rows = shaped.select(*[F.col(f"`{f.name}`") for f in NEWS.fields], "symbol")
+    rows = flat.select(*[F.col(f"`{f.name}`") for f in NEWS.fields], "symbol")
     writer = rows.write.mode("append").partitionBy("symbol")
     if articles_per_file:
         writer = writer.option("maxRecordsPerFile", articles_per_file)

@@ -46,7 +46,7 @@ def _pick(names, number):
     return F.element_at(F.array(*[F.lit(n) for n in names]), (number % len(names)).cast("int") + 1)
 
 
-def as_news(documents: DataFrame, symbols=EVENT_SYMBOLS, first_day=FIRST_DAY, days=30) -> DataFrame:
+def as_news(documents: DataFrame, symbols=EVENT_SYMBOLS, first_day=FIRST_DAY, days=30, keep=()) -> DataFrame:
     """Documents dealt out over symbols and days."""
     day = F.expr(f"cast((doc_id div {len(symbols)}) % {days} as int)")
     return documents.select(
@@ -54,6 +54,7 @@ def as_news(documents: DataFrame, symbols=EVENT_SYMBOLS, first_day=FIRST_DAY, da
         _pick(symbols, F.col("doc_id")).alias("symbol"),
         F.date_add(F.lit(first_day).cast("date"), day).alias("date"),
         F.col("text").alias("article"),
+        *keep,
     )
 
 
