@@ -8,7 +8,7 @@ from tickermood.functions.text import sentence_array
 from tickermood.operators import evaluation, features, market, neighbours, scaling, sentiment, splits, stats, text
 from tickermood.operators.ordinal import article_ordinal
 from tickermood.plans import inference, training
-from tickermood.plans.feature_table import daily_scores, feature_table, score_articles
+from tickermood.plans.feature_table import daily_scores, feature_table, scale_daily, score_articles
 from tickermood.schemas import MARKET_COLUMNS, SENTIMENT_COLUMNS, TARGET
 from tickermood.session import materialize, scratch_path
 from tickermood.sources import sample
@@ -103,7 +103,7 @@ def _published(date="date"):
 
 def _raw_news(spark, sf):
     """Documents in the shape of search results, publisher still nested."""
-    return sample.as_news(sample.table(spark, sf, "documents"), keep=["source"]).select(
+    return sample.as_news(sample.documents(spark, sf, "source"), keep=["source"]).select(
         "doc_id",
         "symbol",
         "article",
@@ -468,7 +468,7 @@ def batched_r2(spark, sf):
 
 @query
 def knn_vote(spark, sf):
-    rows = label_direction(splits.chrono_split(_segment_features(spark, sf)), TARGET)
+    rows = label_direction(materialize(splits.chrono_split(_segment_features(spark, sf))), TARGET)
     train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
     called = neighbours.knn_classify(train, test, feature_columns(True))
     return called.select("symbol", "date", "label", "prediction")
@@ -562,17 +562,21 @@ def training_histories(spark, sf):
     return tables.read_histories(spark, path)
 
 
-def _trend_model(spark, sf, path):
+def _trend_model(spark, scores, changes):
     """Fit on the train rows with sentiment, save, load."""
-    parts = training.labelled(materialize(splits.chrono_split(_segment_features(spark, sf))), "gt0")
-    tables.save_model(training.fit_svm(parts.filter("split = 'train'"), True), path)
+    rows = materialize(splits.chrono_split(features.join_features(scores, changes)))
+    path = scratch_path(spark, "model")
+    tables.save_model(training.fit_svm(training.labelled(rows, "gt0").filter("split = 'train'"), True), path)
     return tables.load_model(path)
 
 
 @query
 def predict_trend(spark, sf):
-    model = _trend_model(spark, sf, scratch_path(spark, "model"))
-    return inference.predict_trend(_segment_features(spark, sf, inference=True), model, emotion=True)
+    """Training and inference share the daily scores, so articles are read once."""
+    scores = materialize(daily_scores(sample.segment_news(spark, sf), sample.valences(spark), sample.classes(spark)))
+    changes = _segment_changes(spark, sf)
+    model = _trend_model(spark, scores, changes)
+    return inference.predict_trend(features.join_features(scores, changes, inference=True), model, emotion=True)
 
 
 # --- streams ----------------------------------------------------------------
@@ -602,16 +606,16 @@ def stream_daily_sentiment(spark, sf):
 @query
 def stream_trend(spark, sf):
     """Trends of a saved model, batch by batch of the stream."""
-    model = _trend_model(spark, sf, scratch_path(spark, "model"))
     segments = lambda rows: sample.as_news(rows, sample.SEGMENT_SYMBOLS, sample.SEGMENT_FIRST_DAY, 730)
     lexicons = (sample.valences(spark), sample.classes(spark))
-    history = sentiment.daily_sentiment(score_articles(sample.segment_news(spark, sf), *lexicons))
-    deviation = materialize(history.groupBy("symbol").agg(F.stddev_samp("afinn_sentiment_mean").alias("deviation")))
+    history = materialize(sentiment.daily_sentiment(score_articles(sample.segment_news(spark, sf), *lexicons)))
+    model = _trend_model(spark, scale_daily(history), _segment_changes(spark, sf))
+    deviation = history.groupBy("symbol").agg(F.stddev_samp("afinn_sentiment_mean").alias("deviation"))
     daily = streaming.stream_daily_sentiment(_news_stream(spark, sf, segments), *lexicons, watermark="731 days")
     path = scratch_path(spark, "trend")
     job = streaming.stream_trend(
-        daily, _segment_changes(spark, sf), model, True, path, scratch_path(spark, "offsets"), deviation,
-        available_now=True,
+        daily, _segment_changes(spark, sf), model, True, path, scratch_path(spark, "offsets"),
+        materialize(deviation), available_now=True,
     )
     job.awaitTermination()
     return spark.read.parquet(path).drop("batch_id")

@@ -31,7 +31,10 @@ def daily_scores(news: DataFrame, valences: DataFrame, classes: DataFrame, lemma
 
     The articles are read once and only sums per symbol and day are shuffled.
     """
-    daily = daily_sentiment(score_articles(news, valences, classes, lemmas, text_col))
+    return scale_daily(daily_sentiment(score_articles(news, valences, classes, lemmas, text_col)))
+
+
+def scale_daily(daily: DataFrame) -> DataFrame:
     scaled = scale(daily, "afinn_sentiment_mean", center=False, by="symbol", out="afinn_sentiment", per_day=True)
     return scaled.select("symbol", "date", "afinn_sentiment", "pnn_sentiment")
 

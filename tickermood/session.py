@@ -43,6 +43,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of an input that comes in fewer partitions than cores.
+
+    The partition count is known from planning, without a job. An input of at
+    least one partition per core, as any large one is, passes unchanged; what is
+    moved is therefore at most one file split per core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a small frame that several jobs reuse to reliable storage.
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickermood.operators.market import daily_bars
 from tickermood.schemas import CLASS_LEXICON, LEMMAS, TICKERS, VALENCE_LEXICON
+from tickermood.session import spread
 from tickermood.sources.local import small_frame
 
 EVENT_SYMBOLS = ["click", "error", "purchase", "signup", "view"]
@@ -58,8 +59,13 @@ def as_news(documents: DataFrame, symbols=EVENT_SYMBOLS, first_day=FIRST_DAY, da
     )
 
 
+def documents(spark, sf_dir, *columns) -> DataFrame:
+    """The document texts, in enough partitions to cut them into words in parallel."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *columns), "doc_id")
+
+
 def news(spark, sf_dir) -> DataFrame:
-    return as_news(table(spark, sf_dir, "documents"))
+    return as_news(documents(spark, sf_dir))
 
 
 def prices(spark, sf_dir) -> DataFrame:
@@ -70,7 +76,7 @@ def prices(spark, sf_dir) -> DataFrame:
 
 def segment_news(spark, sf_dir) -> DataFrame:
     """Documents dealt out over market segments and two years of days."""
-    return as_news(table(spark, sf_dir, "documents"), SEGMENT_SYMBOLS, SEGMENT_FIRST_DAY, 730)
+    return as_news(documents(spark, sf_dir), SEGMENT_SYMBOLS, SEGMENT_FIRST_DAY, 730)
 
 
 def segment_prices(spark, sf_dir) -> DataFrame:
