@@ -151,7 +151,7 @@ def news_landing(spark, sf):
     """Articles written as JSON, read back with the fixed schema, counted per day."""
     path = scratch_path(spark, "landing")
     news_files.land_news(news_files.flatten_news(_raw_news(spark, sf)), path)
-    rows = news_files.clean_news(spark.read.schema(news_files.NEWS.add("symbol", "string")).json(path))
+    rows = news_files.read_landed_news(spark, path)
     return rows.groupBy("symbol", news_date("`published date`").alias("date")).agg(
         F.count(F.lit(1)).alias("articles"), F.sum(F.length("article")).alias("n_chars")
     )
@@ -314,7 +314,7 @@ def feature_files(spark, sf):
     """Feature rows written as headerless CSV and read back by position."""
     path = scratch_path(spark, "features")
     tables.write_features(_features(spark, sf), path, format="csv")
-    return rounded(spark.read.schema(tables.FEATURES.add("symbol", "string")).csv(path))
+    return rounded(tables.read_features(spark, path))
 
 
 @query

@@ -20,6 +20,9 @@ NEWS = _struct(
     ("url", _S),
 )
 
+# The same with the symbol of a landing folder written by ``land_news``.
+LANDED_NEWS = T.StructType([*NEWS.fields, T.StructField("symbol", _S, True)])
+
 # One search result before shaping: the publisher is still nested.
 RAW_NEWS = _struct(
     ("article", _S),

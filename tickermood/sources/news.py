@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tickermood.functions.columns import landing_name
 from tickermood.functions.dates import assign_window, news_date
 from tickermood.operators.ordinal import article_ordinal
-from tickermood.schemas import NEWS
+from tickermood.schemas import LANDED_NEWS, NEWS
 
 
 def folder_name() -> Column:
@@ -73,3 +73,8 @@ def land_news(flat: DataFrame, path, articles_per_file=None) -> None:
     if articles_per_file:
         writer = writer.option("maxRecordsPerFile", articles_per_file)
     writer.json(path)
+
+
+def read_landed_news(spark: SparkSession, path) -> DataFrame:
+    """Articles written by ``land_news``, with the symbol of their folder."""
+    return clean_news(spark.read.schema(LANDED_NEWS).json(path))

@@ -2,6 +2,7 @@
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tickermood.schemas import FEATURES, HISTORY, PRICES
 
@@ -34,8 +35,9 @@ def read_features(spark: SparkSession, path, header=False, format="csv", symbol=
     reader = spark.read
     if format == "csv":
         reader = reader.option("header", header).option("enforceSchema", True)
-    rows = reader.schema(FEATURES).format(format).load(path)
-    return rows if symbol is None else rows.withColumn("symbol", F.lit(symbol))
+    if symbol is not None:
+        return reader.schema(FEATURES).format(format).load(path).withColumn("symbol", F.lit(symbol))
+    return reader.schema(StructType([*FEATURES.fields, StructField("symbol", StringType())])).format(format).load(path)
 
 
 def write_features(df: DataFrame, path, format="parquet") -> None:
