@@ -56,6 +56,22 @@ def auc(df: DataFrame, label="label", score="score", by=(), slices=1000) -> Data
     )
 
 
+def _batched(df: DataFrame, by, order, batch_size) -> DataFrame:
+    number = F.row_number().over(Window.partitionBy(by).orderBy(order))
+    return df.withColumn("batch_id", F.floor((number - 1) / batch_size))
+
+
+def batched_accuracy(
+    df: DataFrame, label="label", prediction="prediction", by="symbol", order="date", batch_size=32
+) -> DataFrame:
+    """Unweighted mean of the accuracy of consecutive batches. Daily frames only."""
+    per_batch = classification_metrics(_batched(df, by, order, batch_size), label, prediction, [by, "batch_id"])
+    return per_batch.groupBy(by).agg(
+        F.count(F.lit(1)).alias("batches"), F.avg("accuracy").alias("mean_batch_accuracy"),
+        F.try_divide(F.sum(F.col("accuracy") * F.col("rows")), F.sum("rows")).alias("accuracy"),
+    )
+
+
 def batched_r2(
     df: DataFrame, label="label", prediction="prediction", by="symbol", order="date", batch_size=32
 ) -> DataFrame:
@@ -63,10 +79,9 @@ def batched_r2(
 
     A batch without spread has no R2 and does not count. Daily frames only.
     """
-    number = F.row_number().over(Window.partitionBy(by).orderBy(order))
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     per_batch = (
-        df.withColumn("batch_id", F.floor((number - 1) / batch_size))
+        _batched(df, by, order, batch_size)
         .groupBy(by, "batch_id")
         .agg(
             F.count(y).alias("n"),

@@ -1,7 +1,5 @@
 """Row numbers for groups of any size."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 SLICE_ROWS = 1_000_000
@@ -28,22 +26,19 @@ def article_ordinal(
         ).alias("span")
     ).scalar()
     share = F.coalesce(F.try_divide(position - span["low"], span["width"]), F.lit(0.0))
-    sliced = df.withColumn("_slice", F.floor(share * span["slices"]))
-
-    cell = by + order + ["_slice"]
+    # One struct as key: its nulls compare as equal, and the shuffle that the
+    # numbering needs serves the join as well.
+    cell = F.struct(*by, *order, F.floor(share * span["slices"]).alias("_slice"))
+    sliced = df.withColumn("_cell", cell)
     numbered = sliced.withColumn(
-        "_row", F.row_number().over(Window.partitionBy(*cell).orderBy(key, *tie_break))
+        "_row", F.row_number().over(Window.partitionBy("_cell").orderBy(key, *tie_break))
     )
-    earlier = Window.partitionBy(*by).orderBy(*order, "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    inside = lambda names: [f"_cell.{c}" for c in names]
+    earlier = Window.partitionBy(*inside(by)).orderBy(*inside([*order, "_slice"]))
     before = (
-        sliced.groupBy(*cell)
+        sliced.groupBy("_cell")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .select(*[F.col(c).alias(f"_cell_{i}") for i, c in enumerate(cell)], "_before")
-    )
-    same_cell = reduce(
-        lambda a, b: a & b, [numbered[c].eqNullSafe(before[f"_cell_{i}"]) for i, c in enumerate(cell)]
-    )
-    return numbered.join(before, same_cell).select(
-        *[numbered[c] for c in df.columns], (F.col("_before") + F.col("_row")).alias(out)
+        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .select("_cell", "_before")
     )
+    return numbered.join(before, "_cell").select(*df.columns, (F.col("_before") + F.col("_row")).alias(out))

@@ -63,6 +63,12 @@ def make_sequences(df: DataFrame, cols, target: str, length=10, by="symbol", ord
     )
 
 
+def sample_arrays(df: DataFrame, cols, target: str, keys=("symbol", "date")) -> DataFrame:
+    """(keys, x, label): the inputs of a row as one array, kept distributed."""
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    return df.select(*keys, x.alias("x"), F.col(target).cast("double").alias("label"))
+
+
 def latest_row(df: DataFrame, by="symbol", order="date") -> DataFrame:
     """The last row of each symbol, by an aggregate with map-side partials."""
     rest = [c for c in df.columns if c != by]

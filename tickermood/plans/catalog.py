@@ -1,8 +1,9 @@
 """Every operator as a query over the sample tables: (spark, sf_dir) -> DataFrame."""
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, functions as F
 
-from tickermood.functions.columns import direction, feature_columns, label_direction, trend_label
+from tickermood.functions.columns import direction, feature_columns, first_element, label_direction, trend_label
 from tickermood.functions.dates import assign_window, fetch_windows, month_name, news_date, next_session_date
 from tickermood.functions.text import sentence_array
 from tickermood.operators import evaluation, features, market, neighbours, scaling, sentiment, splits, stats, text
@@ -323,7 +324,7 @@ def price_files(spark, sf):
     path = scratch_path(spark, "prices")
     tables.write_prices(sample.segment_prices(spark, sf), path)
     bars = tables.read_prices(spark, path, symbols=["BUILDING", "MACHINERY"], start="1996-01-01", end="1997-12-31")
-    return rounded(bars)
+    return rounded(bars, 6)
 
 
 @query
@@ -391,6 +392,21 @@ def volume_zscore_all_rows(spark, sf):
     return rounded(rows.select("symbol", "date", "volume_z"))
 
 
+@query
+def volume_zscore_stages(spark, sf):
+    """The same by pipeline stages: assembler, scaler, first element of the vector."""
+    rows = _segment_changes(spark, sf).dropna()
+    scaled = Pipeline(stages=training.feature_stages(False)[:2]).fit(rows).transform(rows)
+    return rounded(scaled.select("symbol", "date", first_element("volume_z").alias("volume_z")))
+
+
+@query
+def sample_arrays(spark, sf):
+    """Inputs without sentiment as arrays, one row per number in them."""
+    rows = splits.sample_arrays(_segment_changes(spark, sf).dropna(), feature_columns(False), TARGET)
+    return rounded(rows.select("symbol", "date", "label", F.posexplode("x").alias("feature", "value")))
+
+
 @query
 def sequences(spark, sf):
     """Windows of ten sessions, one row per number in them."""
@@ -466,6 +482,19 @@ def batched_r2(spark, sf):
     return rounded(evaluation.batched_r2(_persistence(spark, sf)))
 
 
+@query
+def batched_accuracy(spark, sf):
+    return rounded(evaluation.batched_accuracy(_persistence_direction(spark, sf)))
+
+
+@query
+def metric_files(spark, sf):
+    """Metrics written as CSV with a header and read back."""
+    path = scratch_path(spark, "metrics")
+    tables.write_metrics(evaluation.classification_metrics(_persistence_direction(spark, sf), by=["symbol"]), path)
+    return rounded(spark.read.option("header", True).schema("symbol string, rows long, accuracy double").csv(path))
+
+
 @query
 def knn_vote(spark, sf):
     rows = label_direction(materialize(splits.chrono_split(_segment_features(spark, sf))), TARGET)
@@ -478,41 +507,44 @@ def knn_vote(spark, sf):
 
 
 def _fitted(spark, sf, fit, rule="gt0", emotion=True, **params):
-    """Predictions of a model fitted on the first rows of every segment."""
+    """Predictions for both splits by a model fitted on the first rows of every segment."""
     parts = training.labelled(materialize(splits.chrono_split(_segment_features(spark, sf))), rule)
     model = fit(parts.filter("split = 'train'"), emotion, **params)
-    return training.predict(model, parts.filter("split = 'test'"))
-
+    return training.predict(model, parts, keep=["split"])
 
 
 @query
 def linear_model(spark, sf):
-    return evaluation.regression_metrics(_fitted(spark, sf, training.fit_linear, rule=None))
+    return evaluation.regression_metrics(_fitted(spark, sf, training.fit_linear, rule=None), by=["split"])
 
 
 @query
 def svm(spark, sf):
-    return evaluation.classification_metrics(_fitted(spark, sf, training.fit_svm))
+    return evaluation.classification_metrics(_fitted(spark, sf, training.fit_svm), by=["split"])
 
 
 @query
 def forest(spark, sf):
-    return evaluation.classification_metrics(_fitted(spark, sf, training.fit_forest))
+    return evaluation.classification_metrics(_fitted(spark, sf, training.fit_forest), by=["split"])
 
 
 @query
 def forest_66(spark, sf):
-    return evaluation.classification_metrics(_fitted(spark, sf, training.fit_forest, numTrees=66, maxDepth=5))
+    predictions = _fitted(spark, sf, training.fit_forest, numTrees=66, maxDepth=5)
+    return evaluation.classification_metrics(predictions, by=["split"])
 
 
 @query
 def gbt(spark, sf):
-    return evaluation.auc(_fitted(spark, sf, training.fit_gbt))
+    """Accuracy and area under the curve, each by its name."""
+    predictions = materialize(_fitted(spark, sf, training.fit_gbt))
+    accuracy = evaluation.classification_metrics(predictions, by=["split"])
+    return accuracy.join(evaluation.auc(predictions, by=["split"]), "split")
 
 
 @query
 def logistic(spark, sf):
-    return evaluation.classification_metrics(_fitted(spark, sf, training.fit_logistic))
+    return evaluation.classification_metrics(_fitted(spark, sf, training.fit_logistic), by=["split"])
 
 
 def _sequence_parts(spark, sf):
@@ -530,7 +562,7 @@ def sequence_regressor(spark, sf):
 def sequence_mlp(spark, sf):
     samples = _sequence_parts(spark, sf).withColumn("label", direction("target", "ge0").cast("double"))
     model = training.fit_sequence_classifier(samples.filter("split = 'train'"), inputs=10 * len(feature_columns(True)))
-    return evaluation.classification_metrics(model.transform(samples.filter("split = 'test'")), by=["symbol"])
+    return evaluation.batched_accuracy(model.transform(samples.filter("split = 'test'")))
 
 
 @query
@@ -562,21 +594,25 @@ def training_histories(spark, sf):
     return tables.read_histories(spark, path)
 
 
-def _trend_model(spark, scores, changes):
-    """Fit on the train rows with sentiment, save, load."""
+def _trend_model(spark, scores, changes, emotion):
+    """Fit on the train rows, save, load."""
     rows = materialize(splits.chrono_split(features.join_features(scores, changes)))
     path = scratch_path(spark, "model")
-    tables.save_model(training.fit_svm(training.labelled(rows, "gt0").filter("split = 'train'"), True), path)
+    tables.save_model(training.fit_svm(training.labelled(rows, "gt0").filter("split = 'train'"), emotion), path)
     return tables.load_model(path)
 
 
 @query
 def predict_trend(spark, sf):
-    """Training and inference share the daily scores, so articles are read once."""
+    """Calls without and with sentiment; all steps share the daily scores, so articles are read once."""
     scores = materialize(daily_scores(sample.segment_news(spark, sf), sample.valences(spark), sample.classes(spark)))
-    changes = _segment_changes(spark, sf)
-    model = _trend_model(spark, scores, changes)
-    return inference.predict_trend(features.join_features(scores, changes, inference=True), model, emotion=True)
+    changes = materialize(_segment_changes(spark, sf))
+    rows = features.join_features(scores, changes, inference=True)
+    calls = [
+        inference.predict_trend(rows, _trend_model(spark, scores, changes, emotion), emotion)
+        for emotion in (False, True)
+    ]
+    return inference.trend_text(calls[0].unionByName(calls[1]))
 
 
 # --- streams ----------------------------------------------------------------
@@ -609,7 +645,7 @@ def stream_trend(spark, sf):
     segments = lambda rows: sample.as_news(rows, sample.SEGMENT_SYMBOLS, sample.SEGMENT_FIRST_DAY, 730)
     lexicons = (sample.valences(spark), sample.classes(spark))
     history = materialize(sentiment.daily_sentiment(score_articles(sample.segment_news(spark, sf), *lexicons)))
-    model = _trend_model(spark, scale_daily(history), _segment_changes(spark, sf))
+    model = _trend_model(spark, scale_daily(history), _segment_changes(spark, sf), emotion=True)
     deviation = history.groupBy("symbol").agg(F.stddev_samp("afinn_sentiment_mean").alias("deviation"))
     daily = streaming.stream_daily_sentiment(_news_stream(spark, sf, segments), *lexicons, watermark="731 days")
     path = scratch_path(spark, "trend")

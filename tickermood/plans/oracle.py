@@ -342,7 +342,7 @@ ORACLE = {
     "feature_files": _sql(_FEATURES, f"{_ROUNDED_FEATURES} from features"),
     "price_files": _sql(
         "segprices",
-        """select symbol, date, round(adjclose, 4) as adjclose, volume from prices
+        """select symbol, date, round(adjclose, 6) as adjclose, volume from prices
         where symbol in ('BUILDING', 'MACHINERY') and date between date '1996-01-01' and date '1997-12-31'""",
     ),
     "resolve_symbol": _sql(
@@ -456,6 +456,15 @@ ORACLE = {
         select p.symbol, count(*) as batches, round(avg(p.r2), 4) as mean_batch_r2, round(any_value(w.r2), 4) as r2
         from perbatch p join whole w on p.symbol = w.symbol group by 1""",
     ),
+    "batched_accuracy": _sql(
+        "segprices changes known forecast calls",
+        """, batched as (
+            select symbol, case when label = prediction then 1.0 else 0.0 end as ok,
+                   (row_number() over (partition by symbol order by date) - 1) // 32 as batch_id from calls),
+        perbatch as (select symbol, batch_id, avg(ok) as a, count(*) as n, sum(ok) as s from batched group by 1, 2)
+        select symbol, count(*) as batches, round(avg(a), 4) as mean_batch_accuracy,
+            round(sum(s) / sum(n), 4) as accuracy from perbatch group by 1""",
+    ),
     "knn_vote": _sql(
         f"{_SEGMENT_FEATURES} knn", "select symbol, date, label, vote as prediction from best where place = 1"
     ),
@@ -465,3 +474,12 @@ ORACLE = {
             round(pnn_sentiment, 4) as pnn_sentiment from daily""",
     ),
 }
+
+ORACLE["metric_files"] = ORACLE["classification_metrics"]
+ORACLE["volume_zscore_stages"] = ORACLE["volume_zscore_all_rows"]
+ORACLE["sample_arrays"] = _sql(
+    "segprices changes known",
+    f"""select symbol, date, round({_T}, 4) as label, feature,
+        round(case feature when 0 then price_percent_change else volume_percent_change end, 4) as value
+    from known cross join (values (0), (1)) f(feature)""",
+)

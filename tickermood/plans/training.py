@@ -118,14 +118,14 @@ def labelled(features: DataFrame, rule) -> DataFrame:
     return rows.withColumn("label", F.col("label").cast("double"))
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def predict(model: PipelineModel, rows: DataFrame, keep=()) -> DataFrame:
     """(symbol, date, label, prediction, score), score ranking rows by upwardness."""
     scored = model.transform(rows)
     if "rawPrediction" in scored.columns:
         score = vector_to_array("rawPrediction")[1]
     else:
         score = F.col("prediction")
-    return scored.select("symbol", "date", "label", "prediction", score.alias("score"))
+    return scored.select("symbol", "date", *keep, "label", "prediction", score.alias("score"))
 
 
 def experiment_predictions(features: DataFrame, symbols, models=("SVM", "RandomForest", "GradientBoosting"),

@@ -66,9 +66,11 @@ def shape_news(raw: DataFrame, origin, day_range=2, key=None) -> DataFrame:
 def land_news(flat: DataFrame, path, articles_per_file=None) -> None:
     """Write landing rows as JSON, one folder per symbol.
 
+    The rebalance hint spares every task from writing a small file per symbol;
+    adaptive execution splits a symbol too large for one task.
     ``articles_per_file=1`` gives one object per file; at scale leave it unset.
     """
-    rows = flat.select(*[F.col(f"`{f.name}`") for f in NEWS.fields], "symbol")
+    rows = flat.select(*[F.col(f"`{f.name}`") for f in NEWS.fields], "symbol").hint("rebalance", "symbol")
     writer = rows.write.mode("append").partitionBy("symbol")
     if articles_per_file:
         writer = writer.option("maxRecordsPerFile", articles_per_file)
