@@ -61,28 +61,25 @@ def _phrase_lookup(entries: DataFrame, limit):
 def _hits(words: Column, lookup: Lookup, max_n: int) -> Column:
     """Longest dictionary entry at each position: array<struct<pos,end,value,factor>>."""
 
-    def hit(word, i):
-        found = lookup.get(word)
-        if max_n > 1:
-            matching = F.filter(found, lambda e: (e["n"] == 1) | (F.slice(words, i + 1, e["n"]) == e["words"]))
-        else:
-            matching = found
-        return F.transform(
-            F.slice(matching, 1, 1),
-            lambda e: F.struct(
-                i.cast("int").alias("pos"),
-                (i + e["n"] - 1).cast("int").alias("end"),
-                e["value"].alias("value"),
-                e["factor"].alias("factor"),
-            ),
+    def as_hit(entry, i):
+        return F.struct(
+            i.cast("int").alias("pos"),
+            (i + entry["n"] - 1).cast("int").alias("end"),
+            entry["value"].alias("value"),
+            entry["factor"].alias("factor"),
         )
 
-    return F.flatten(
-        F.filter(
-            F.transform(words, lambda word, i: F.when(lookup.get(word).isNotNull(), hit(word, i))),
-            lambda h: h.isNotNull(),
-        )
-    )
+    def hit(word, i):
+        first = lookup.get(word)[0]
+        if max_n == 1:
+            return as_hit(first, i)
+        # Entries are sorted by length: a first one of one word is the only one.
+        fits = lambda e: (e["n"] == 1) | (F.slice(words, i + 1, e["n"]) == e["words"])
+        longest = F.get(F.filter(lookup.get(word), fits), F.lit(0))
+        return F.when(first["n"] == 1, as_hit(first, i)).when(longest.isNotNull(), as_hit(longest, i))
+
+    found = F.transform(words, lambda word, i: F.when(lookup.get(word).isNotNull(), hit(word, i)))
+    return F.filter(found, lambda h: h.isNotNull())
 
 
 def _fold(hits: Column) -> Column:
@@ -178,8 +175,8 @@ def valence_score(
     if found is not None:
         lookup, max_n = found
         if max_n == 1:
-            value = lambda word: F.coalesce(lookup.get(word)[0]["value"], F.lit(0.0))
-            total = F.aggregate("_words", F.lit(0.0), lambda sum_, word: sum_ + value(word))
+            known = F.filter(F.transform("_words", lookup.get), lambda entry: entry.isNotNull())
+            total = F.aggregate(known, F.lit(0.0), lambda sum_, entry: sum_ + entry[0]["value"])
         else:
             total = _fold(_hits(F.col("_words"), lookup, max_n))
         return with_words.withColumn(out, F.coalesce(total, F.lit(0.0))).drop("_words")
