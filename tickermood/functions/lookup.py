@@ -8,7 +8,7 @@ are joined instead (see ``operators.sentiment``).
 
 import json
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # The plan carries the dictionary; planning slows down noticeably beyond this.
 MAX_INLINE_TERMS = 5_000
@@ -29,11 +29,12 @@ class Lookup:
         for word, word_hash, value in hashed:
             slots[word_hash % size][word] = value
         self._size = size
-        self._slots = F.from_json(F.lit(json.dumps(slots)), f"array<map<string,{value_type}>>")
+        text = json.dumps(slots).replace("\\", "\\\\").replace("'", "\\'")
+        self._slots = f"from_json('{text}', 'array<map<string,{value_type}>>')"
 
-    def get(self, word: Column) -> Column:
-        slot = self._slots[F.pmod(F.hash(word), F.lit(self._size))]
-        return F.try_element_at(slot, word)
+    def get(self, word: str) -> str:
+        """SQL of the value of ``word``, itself SQL; null for an unknown word."""
+        return f"try_element_at({self._slots}[pmod(hash({word}), {self._size})], {word})"
 
 
 def fetch_lookup_rows(rows: DataFrame, limit=MAX_INLINE_TERMS):

@@ -58,58 +58,41 @@ def _phrase_lookup(entries: DataFrame, limit):
     return lookup, max((r["n"] for r in rows), default=1)
 
 
-def _hits(words: Column, lookup: Lookup, max_n: int) -> Column:
-    """Longest dictionary entry at each position: array<struct<pos,end,value,factor>>."""
-
-    def as_hit(entry, i):
-        return F.struct(
-            i.cast("int").alias("pos"),
-            (i + entry["n"] - 1).cast("int").alias("end"),
-            entry["value"].alias("value"),
-            entry["factor"].alias("factor"),
-        )
+# The expressions below are SQL text: one call to the JVM instead of hundreds, one
+# for every function in them.
 
-    def hit(word, i):
-        first = lookup.get(word)[0]
-        if max_n == 1:
-            return as_hit(first, i)
-        # Entries are sorted by length: a first one of one word is the only one.
-        fits = lambda e: (e["n"] == 1) | (F.slice(words, i + 1, e["n"]) == e["words"])
-        longest = F.get(F.filter(lookup.get(word), fits), F.lit(0))
-        return F.when(first["n"] == 1, as_hit(first, i)).when(longest.isNotNull(), as_hit(longest, i))
 
-    found = F.transform(words, lambda word, i: F.when(lookup.get(word).isNotNull(), hit(word, i)))
-    return F.filter(found, lambda h: h.isNotNull())
+def _hits(words: str, lookup: Lookup, max_n: int) -> str:
+    """SQL of the longest dictionary entry at each position of ``words``.
 
+    array<struct<pos,end,value,factor>>; entries of a word are sorted by length.
+    """
+    found = lookup.get("w")
+    if max_n > 1:
+        found = f"filter({found}, e -> e.n = 1 or slice({words}, i + 1, e.n) = e.words)"
+    hit = f"""transform(slice({found}, 1, 1), e -> named_struct(
+        'pos', i, 'end', i + e.n - 1, 'value', e.value, 'factor', e.factor))"""
+    listed = f"transform({words}, (w, i) -> case when {lookup.get('w')} is not null then {hit} end)"
+    return f"flatten(filter({listed}, h -> h is not null))"
 
-def _fold(hits: Column) -> Column:
-    """Sum of one sentence's hits, in order of position and longest first.
+
+def _fold(hits: str) -> str:
+    """SQL of the sum of one sentence's hits, in order of position and longest first.
 
     A hit that starts inside an earlier one is passed over. A value is multiplied
     by the factor of the hit directly before it, if that is a modifier, and then
     by the factor of the modifier before that.
     """
-    none = F.lit(None).cast("double")
-    start = F.struct(
-        F.lit(-1).alias("end"), none.alias("near"), none.alias("far"), F.lit(0.0).alias("total")
-    )
-
-    def step(state, h):
-        inside = h["pos"] <= state["end"]
-        one = F.lit(1.0)
-        factor = F.when(
-            state["near"].isNotNull(), state["near"] * F.coalesce(state["far"], one)
-        ).otherwise(one)
-        return F.struct(
-            F.greatest(state["end"], h["end"]).alias("end"),
-            F.when(inside, state["near"]).otherwise(h["factor"]).alias("near"),
-            F.when(inside, state["far"]).otherwise(state["near"]).alias("far"),
-            (
-                state["total"] + F.when(inside, 0.0).otherwise(F.coalesce(h["value"] * factor, F.lit(0.0)))
-            ).alias("total"),
-        )
-
-    return F.aggregate(hits, start, step, lambda state: state["total"])
+    inside = "h.pos <= s.`end`"
+    factor = "if(s.near is null, 1D, s.near * coalesce(s.far, 1D))"
+    return f"""aggregate({hits},
+        named_struct('end', -1, 'near', cast(null as double), 'far', cast(null as double), 'total', 0D),
+        (s, h) -> named_struct(
+            'end', greatest(s.`end`, h.`end`),
+            'near', if({inside}, s.near, h.factor),
+            'far', if({inside}, s.far, s.near),
+            'total', s.total + if({inside}, 0D, coalesce(h.value * {factor}, 0D))),
+        s -> s.total)"""
 
 
 def _joined_hits(rows: DataFrame, keys, words_col, entries: DataFrame) -> DataFrame:
@@ -133,7 +116,7 @@ def _joined_totals(hits: DataFrame, keys) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("pos", (-F.col("end")).alias("back"), "value", "factor"))),
         lambda h: F.struct(h["pos"], (-h["back"]).alias("end"), h["value"], h["factor"]),
     )
-    return hits.groupBy(*keys).agg(ordered.alias("hits")).select(*keys, _fold(F.col("hits")).alias("total"))
+    return hits.groupBy(*keys).agg(ordered.alias("hits")).select(*keys, F.expr(_fold("hits")).alias("total"))
 
 
 def _lemmatized(df: DataFrame, words_col, id_col, lemmas, limit) -> DataFrame:
@@ -141,8 +124,8 @@ def _lemmatized(df: DataFrame, words_col, id_col, lemmas, limit) -> DataFrame:
     rows = lemmas.select(F.lower("form").alias("word"), F.lower("lemma").alias("lemma"))
     lookup = word_lookup(rows, "lemma", "string", limit)
     if lookup is not None:
-        to_lemma = lambda word: F.coalesce(lookup.get(word), word)
-        return df.withColumn(words_col, F.transform(words_col, lambda s: F.transform(s, to_lemma)))
+        lemma = f"coalesce({lookup.get('w')}, w)"
+        return df.withColumn(words_col, F.expr(f"transform({words_col}, s -> transform(s, w -> {lemma}))"))
     flat = each(each(df, [id_col], words_col, "sent", "_s"), [id_col, "sent"], "_s", "pos", "word")
     in_order = lambda c: F.array_sort(F.collect_list(c))
     changed = (
@@ -175,10 +158,10 @@ def valence_score(
     if found is not None:
         lookup, max_n = found
         if max_n == 1:
-            known = F.filter(F.transform("_words", lookup.get), lambda entry: entry.isNotNull())
-            total = F.aggregate(known, F.lit(0.0), lambda sum_, entry: sum_ + entry[0]["value"])
+            known = f"filter(transform(_words, w -> {lookup.get('w')}), e -> e is not null)"
+            total = F.expr(f"aggregate({known}, 0D, (total, e) -> total + e[0].value)")
         else:
-            total = _fold(_hits(F.col("_words"), lookup, max_n))
+            total = F.expr(_fold(_hits("_words", lookup, max_n)))
         return with_words.withColumn(out, F.coalesce(total, F.lit(0.0))).drop("_words")
     totals = _joined_totals(_joined_hits(with_words, [id_col], "_words", entries), [id_col])
     return df.join(totals, id_col, "left").withColumn(out, F.coalesce("total", F.lit(0.0))).drop("total")
@@ -207,8 +190,7 @@ def dictionary_sentiment(
     if lemmas is not None:
         with_words = _lemmatized(with_words, "_words", id_col, lemmas, inline_terms)
     if found is not None:
-        lookup, max_n = found
-        scored = with_words.withColumn("_totals", F.transform("_words", lambda s: _fold(_hits(s, lookup, max_n))))
+        scored = with_words.withColumn("_totals", F.expr(f"transform(_words, words -> {_fold(_hits('words', *found))})"))
     else:
         by_sentence = each(with_words, [id_col], "_words", "_sent", "_s")
         keys = [id_col, "_sent"]
@@ -239,8 +221,7 @@ def dictionary_hits(
     by_sentence = each(df, [id_col], sentence_words(text_col), "sent_id", "_s")
     found = _phrase_lookup(entries, MAX_INLINE_TERMS)
     if found is not None:
-        hits = _hits(F.col("_s"), *found)
-        rows = by_sentence.withColumn("_hits", hits)
+        rows = by_sentence.withColumn("_hits", F.expr(_hits("_s", *found)))
     else:
         keys = [id_col, "sent_id"]
         joined = _joined_hits(by_sentence, keys, "_s", entries).groupBy(*keys, "pos")
@@ -290,9 +271,9 @@ def wordlist_polarity(
         marked = [(w, h, {c: c in held for c in ("positive", "negative")}) for (w, h), held in classes.items()]
         lookup = Lookup(marked, "struct<positive:boolean,negative:boolean>")
         marks = with_words.withColumn(
-            "_marks", F.filter(F.transform("_words", lookup.get), lambda m: m.isNotNull())
+            "_marks", F.expr(f"filter(transform(_words, w -> {lookup.get('w')}), m -> m is not null)")
         )
-        count = lambda field: F.size(F.filter("_marks", lambda m: m[field]))
+        count = lambda field: F.expr(f"size(filter(_marks, m -> m.{field}))")
         score = polarity(count("positive"), count("negative"))
         scored = marks.withColumn(out, F.when(F.col("_marks").isNotNull(), score).otherwise(0.0))
         return scored.drop("_words", "_marks")
