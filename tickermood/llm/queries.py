@@ -2,8 +2,12 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tickermood.llm import embedding_dedup, simhash
 from tickermood.llm.line_dedup import dedup_lines
+from tickermood.llm.packing import pack_documents
 from tickermood.llm.quality_rules import quality_verdicts
+from tickermood.llm.secret_scan import scan_secrets
+from tickermood.llm.toxicity import toxicity_scores
 from tickermood.llm.url_filters import PATTERN_RULES, url_verdicts
 
 
@@ -17,10 +21,23 @@ def op1_quality_rules(spark, sf_dir) -> DataFrame:
     )
 
 
+def op4_simhash(spark, sf_dir) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op5_url_filters(spark, sf_dir) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_embedding_dedup(spark, sf_dir) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_packing(spark, sf_dir) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark, sf_dir) -> DataFrame:
     docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select(
@@ -28,10 +45,23 @@ def op8_line_dedup(spark, sf_dir) -> DataFrame:
     )
 
 
+def op9_secret_scan(spark, sf_dir) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark, sf_dir) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_simhash": op4_simhash,
     "op5_url_filters": op5_url_filters,
+    "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_packing": op7_packing,
     "op8_line_dedup": op8_line_dedup,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_toxicity": op10_toxicity,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
