@@ -3,10 +3,12 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickermood.llm import embedding_dedup, simhash
+from tickermood.llm.html_text import extract_text
 from tickermood.llm.line_dedup import dedup_lines
 from tickermood.llm.packing import pack_documents
 from tickermood.llm.quality_rules import quality_verdicts
 from tickermood.llm.secret_scan import scan_secrets
+from tickermood.llm.sentence_pieces import decoded, encoded
 from tickermood.llm.toxicity import toxicity_scores
 from tickermood.llm.url_filters import PATTERN_RULES, url_verdicts
 
@@ -21,6 +23,18 @@ def op1_quality_rules(spark, sf_dir) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark, sf_dir) -> DataFrame:
+    """Ids of every whole text, and a digest of what they decode to."""
+    found = decoded(encoded(table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
+def op3_html_extraction(spark, sf_dir) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_simhash(spark, sf_dir) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -55,6 +69,8 @@ def op10_toxicity(spark, sf_dir) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_html_extraction": op3_html_extraction,
     "op4_simhash": op4_simhash,
     "op5_url_filters": op5_url_filters,
     "op6_embedding_dedup": op6_embedding_dedup,
