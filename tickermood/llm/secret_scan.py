@@ -127,31 +127,38 @@ def masked(text: str | None, spans, mask="[SECRET]") -> str | None:
     return "".join([*parts, text[at:]])
 
 
-def scan_secrets(docs: DataFrame, keep_text=False) -> DataFrame:
-    """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans[, text])`` for every row.
-
-    With ``keep_text``, ``text`` is the input with its secrets masked.
-    """
-    schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+def scan_secrets(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans)`` for every row."""
+    fields = {"doc_id": pa.int64(), "n_assign": pa.int64(), "n_access": pa.int64(), "n_hex": pa.int64(),
+              "base_sha256": pa.string(), "spans": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = automaton()
         for batch in batches:
-            rows: dict[str, list] = {name.split()[0]: [] for name in columns}
-            rows["doc_id"] = batch.column(0)
-            for value in batch.column(1):
-                text = value.as_py()
-                spans = scan(text, words)
+            rows = []
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+                spans = scan(text.as_py(), words)
                 base = [span for span in spans if span[0] in BASE_KINDS]
-                for kind in BASE_KINDS:
-                    rows[f"n_{kind}"].append(sum(span[0] == kind for span in base))
-                rows["base_sha256"].append(hashlib.sha256(joined(base).encode()).hexdigest())
-                rows["spans"].append(joined(spans))
-                if keep_text:
-                    rows["text"].append(masked(text, spans))
-            yield pa.record_batch([pa.array(rows[f.name], f.type) for f in arrow], schema=arrow)
-
-    columns = schema.split(", ") + (["text string"] if keep_text else [])
-    kinds = {"long": pa.int64(), "string": pa.string()}
-    arrow = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in columns)])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, ", ".join(columns))
+                counts = [sum(span[0] == kind for span in base) for kind in BASE_KINDS]
+                digest = hashlib.sha256(joined(base).encode()).hexdigest()
+                rows.append((doc_id.as_py(), *counts, digest, joined(spans)))
+            found = list(zip(*rows, strict=True)) or [[] for _ in fields]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(found, fields.values(), strict=True)], names=[*fields])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
+    )
+
+
+def mask_secrets(docs: DataFrame, text="text") -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by a mask; all columns and rows stay."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = automaton()
+        for batch in batches:
+            values = [value.as_py() for value in batch.column(at)]
+            hidden = pa.array([masked(value, scan(value, words)) for value in values], batch.column(at).type)
+            yield batch.set_column(at, batch.schema.names[at], hidden)
+
+    return docs.mapInArrow(run, docs.schema)

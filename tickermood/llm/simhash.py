@@ -20,6 +20,7 @@ null, if there is one. Repeated rows are returned as often as they come.
 """
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,38 +79,40 @@ def fingerprints(docs: DataFrame, shingle=SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def parity_masks(parities: int) -> list[int]:
-    return [sum(1 << bit for bit in range(group, 64, parities)) for group in range(parities)]
+def parity_masks(parities: int, bits=64) -> list[int]:
+    return [sum(1 << bit for bit in range(group, bits, parities)) for group in range(parities)]
 
 
-def parity_count(n_fingerprints: int, radius=RADIUS) -> int:
+def parity_count(n_fingerprints: int, radius=RADIUS, bits=64, least=MIN_PARITIES) -> int:
     """Parity bits that keep the variants of an average bucket in memory."""
-    ball = sum(len(list(itertools.combinations(range(64), k))) for k in range(radius // 2 + 1))
+    ball = sum(math.comb(bits, k) for k in range(radius // 2 + 1))
     wanted = max(1, n_fingerprints * ball // VARIANTS_PER_BUCKET)
-    return min(32, max(MIN_PARITIES, wanted.bit_length()))
+    return min(bits // 2, max(least, wanted.bit_length()))
 
 
-def _flips(parities: int, half: int) -> dict[int, np.ndarray]:
-    """Bucket change -> the flips of at most ``half`` bits that cause it."""
+def bit_flips(parities: int, radius: int, bits=64) -> dict[int, np.ndarray]:
+    """Bucket change -> the flips of at most half the radius that cause it."""
+    if radius % 2:
+        raise ValueError("the radius must be even, to be met in the middle")
     found: dict[int, list[int]] = {}
-    for k in range(half + 1):
-        for bits in itertools.combinations(range(64), k):
+    for k in range(radius // 2 + 1):
+        for places in itertools.combinations(range(bits), k):
             change, flip = 0, 0
-            for bit in bits:
+            for bit in places:
                 change ^= 1 << (bit % parities)
                 flip |= 1 << bit
             found.setdefault(change, []).append(flip)
     return {change: np.array(flips, np.uint64) for change, flips in found.items()}
 
 
-def _buckets(fps: np.ndarray, parities: int) -> np.ndarray:
+def home_buckets(fps: np.ndarray, parities: int, bits=64) -> np.ndarray:
     out = np.zeros(len(fps), np.int64)
-    for group, mask in enumerate(parity_masks(parities)):
+    for group, mask in enumerate(parity_masks(parities, bits)):
         out |= (np.bitwise_count(fps & np.uint64(mask)).astype(np.int64) & 1) << group
     return out
 
 
-def _slices(fps: np.ndarray, homes: np.ndarray, bucket: int, flips, step: int) -> Iterator[tuple]:
+def variant_slices(fps: np.ndarray, homes: np.ndarray, bucket: int, flips, step: int) -> Iterator[tuple]:
     """The variants in ``bucket`` of all fingerprints, as ``(variant, index)`` arrays of bounded size.
 
     A slice takes the variants of one residue of a hash, so that equal ones are in one slice.
@@ -136,22 +139,29 @@ def _slices(fps: np.ndarray, homes: np.ndarray, bucket: int, flips, step: int) -
         yield np.concatenate(found), np.concatenate(index)
 
 
+def collisions(variants: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(group, owner)`` of the variants that come more than once, groups numbered from 0."""
+    ordered = np.sort(variants)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(twice):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    at = np.searchsorted(twice, variants)
+    at[at == len(twice)] = 0
+    hit = np.flatnonzero(twice[at] == variants)
+    return at[hit], owners[hit]
+
+
 def bucket_links(fps: np.ndarray, bucket: int, parities: int, radius: int, flips=None, step=SLICE_ROWS) -> np.ndarray:
     """Links ``(fp, smaller fp)`` that join what meets in a bucket; ``fps`` are distinct."""
     fps = np.sort(fps)
-    flips = flips or _flips(parities, radius // 2)
-    homes = _buckets(fps, parities)
+    flips = flips or bit_flips(parities, radius)
+    homes = home_buckets(fps, parities)
     root = np.arange(len(fps))
-    for variants, owners in _slices(fps, homes, bucket, flips, step):
-        ordered = np.sort(variants)
-        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        if not len(twice):
+    for variants, owners in variant_slices(fps, homes, bucket, flips, step):
+        group, owner = collisions(variants, owners)
+        if not len(group):
             continue
-        at = np.searchsorted(twice, variants)
-        at[at == len(twice)] = 0
-        hit = np.flatnonzero(twice[at] == variants)
-        group, owner = at[hit], owners[hit]
-        least = np.full(len(twice), len(fps))
+        least = np.full(group.max() + 1, len(fps))
         np.minimum.at(least, group, owner)
         partner = least[group]
         near = np.bitwise_count(fps[owner] ^ fps[partner]) <= radius
@@ -167,12 +177,27 @@ def bucket_links(fps: np.ndarray, bucket: int, parities: int, radius: int, flips
     return np.stack([fps[moved], fps[root[moved]]], 1)
 
 
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Each run of equal first columns with its other columns; rows come sorted by the first."""
+    now, held = None, []
+    for batch in batches:
+        bucket, *rest = (column.to_numpy() for column in batch.columns)
+        cuts = (np.flatnonzero(bucket[1:] != bucket[:-1]) + 1).tolist()
+        for start, end in itertools.pairwise([0, *cuts, len(bucket)]):
+            if start == end:
+                continue
+            if bucket[start] != now and held:
+                yield now, [np.concatenate(parts) for parts in zip(*held, strict=True)]
+                held = []
+            now = int(bucket[start])
+            held.append([column[start:end] for column in rest])
+    if held:
+        yield now, [np.concatenate(parts) for parts in zip(*held, strict=True)]
+
+
 def fingerprint_links(distinct: DataFrame, parities: int, radius=RADIUS) -> DataFrame:
     """``(a, b)``: links that connect exactly what pairs within ``radius`` connect; ``distinct(fp)`` has no repeats."""
-    half = radius // 2
-    if radius % 2:
-        raise ValueError("the radius must be even, to be met in the middle")
-    flips = _flips(parities, half)
+    flips = bit_flips(parities, radius)
     home = F.lit(0)
     for group, mask in enumerate(parity_masks(parities)):
         signed = mask - (1 << 64) if mask >> 63 else mask
@@ -184,26 +209,10 @@ def fingerprint_links(distinct: DataFrame, parities: int, radius=RADIUS) -> Data
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(bucket, parts):
-            found = bucket_links(np.concatenate(parts), bucket, parities, radius, flips)
+        for bucket, (fps,) in by_bucket(batches):
+            found = bucket_links(fps.view(np.uint64), bucket, parities, radius, flips)
             found = np.ascontiguousarray(found).view(np.int64)
-            return pa.record_batch({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
-
-        now, parts = None, []
-        for batch in batches:
-            bucket = batch.column(0).to_numpy()
-            fps = batch.column(1).to_numpy().view(np.uint64)
-            cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-            for start, part in zip([0, *cuts.tolist()], np.split(fps, cuts), strict=True):
-                if not len(part):
-                    continue
-                if bucket[start] != now and parts:
-                    yield links(now, parts)
-                    parts = []
-                now = int(bucket[start])
-                parts.append(part)
-        if parts:
-            yield links(now, parts)
+            yield pa.record_batch({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
 
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
 

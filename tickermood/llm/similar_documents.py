@@ -1,0 +1,199 @@
+"""Near-duplicate documents by Jaccard similarity, found with SimHash ball hashing.
+
+Radius 4 of one 64-bit fingerprint only finds texts that hardly differ: at a Jaccard
+similarity of 0.8 of five-word shingles about ten bits do. This variant of operator 4
+therefore takes a sketch of 192 SimHash bits from three mixes of each shingle's hash and
+hashes balls of radius 4 around each of its first four 32-bit parts; of pairs at 0.8 about
+92 % share a variant of at least one part, of pairs at 0.9 over 99 %.
+
+All that share a variant form a group. The member nearest to the group's bitwise majority
+becomes a centre, those whose sketch is near it are its candidates, and any that are
+candidates of no centre become centres in turn. So a group of copies gives as many pairs
+as it has members. Every candidate pair is then verified: the exact Jaccard similarity of
+the two shingle sets must reach the threshold.
+"""
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from tickermood.llm.common import saved
+from tickermood.llm.components import connected_components
+from tickermood.llm.simhash import (
+    bit_flips, by_bucket, collisions, fingerprint, home_buckets, parity_count, parity_masks, shingle_hashes, variant_slices,
+)
+
+SHINGLE = 5
+SIMILARITY = 0.8
+RADIUS = 4
+BITS = 32
+TABLES = 4
+WORDS = 3
+MIN_PARITIES = 6
+# Sketch bits that may differ: 29 of 192 are expected at a similarity of 0.8, give or take 5.
+SKETCH_DISTANCE = 48
+# Odd 64-bit multipliers that mix the shingle hashes anew.
+MIXES = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93]
+SKETCH = ["s0", "s1", "s2"]
+
+
+def mixed(hashes: np.ndarray, by: int) -> np.ndarray:
+    x = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(by)
+    return x ^ (x >> np.uint64(29))
+
+
+def sketches(docs: DataFrame, shingle=SHINGLE) -> DataFrame:
+    """``(doc_id, n_shingles, s0, s1, s2)`` for every row: the SimHash sketch of its shingle set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, words = [], []
+            for text in batch.column(1):
+                found = np.unique(shingle_hashes(text.as_py(), shingle))
+                sizes.append(len(found))
+                words.append([fingerprint(mixed(found, by)) for by in MIXES])
+            table = np.array(words, np.uint64).reshape(-1, WORDS).view(np.int64)
+            yield pa.record_batch(
+                [batch.column(0), pa.array(sizes, pa.int64()), *(pa.array(table[:, k]) for k in range(WORDS))],
+                names=["doc_id", "n_shingles", *SKETCH],
+            )
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        run, "doc_id long, n_shingles long, s0 long, s1 long, s2 long"
+    )
+
+
+def _distance(some: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(some ^ one).sum(1, dtype=np.int64)
+
+
+def group_pairs(members: np.ndarray, sketch: np.ndarray, distance=SKETCH_DISTANCE) -> list[tuple[int, int]]:
+    """Candidate pairs ``(member, centre)`` of one group of row numbers."""
+    if len(members) == 2:
+        near = _distance(sketch[members[:1]], sketch[members[1]])[0] <= distance
+        return [(int(members[0]), int(members[1]))] if near else []
+    own = sketch[members]
+    bits = np.unpackbits(np.ascontiguousarray(own).view(np.uint8), axis=1, bitorder="little")
+    middle = np.packbits(2 * bits.sum(0, dtype=np.int64) > len(members), bitorder="little").view(np.uint64)
+    open_ = np.ones(len(members), bool)
+    pairs = []
+    for centre in np.argsort(_distance(own, middle), kind="stable").tolist():
+        if not open_[centre]:
+            continue
+        near = np.flatnonzero(_distance(own, own[centre]) <= distance)
+        open_[near] = False
+        pairs += [(int(members[i]), int(members[centre])) for i in near.tolist() if i != centre]
+    return pairs
+
+
+def bucket_pairs(ids: np.ndarray, sketch: np.ndarray, table: int, bucket: int, parities: int, flips, radius=RADIUS) -> np.ndarray:
+    """Distinct candidate pairs of ids that meet in a bucket of one part of the sketch."""
+    parts = sketch[:, table // 2] >> np.uint64(32 * (table % 2)) & np.uint64(0xFFFFFFFF)
+    values, of = np.unique(parts, return_inverse=True)
+    pairs: set[tuple[int, int]] = set()
+    order = np.argsort(of, kind="stable")
+    starts = np.searchsorted(of[order], np.arange(len(values) + 1))
+    for variants, owners in variant_slices(values, home_buckets(values, parities, BITS), bucket, flips, 2_000_000):
+        group_of, owner = collisions(variants, owners)
+        rank = np.lexsort((owner, group_of))
+        cuts = np.flatnonzero(np.diff(group_of[rank])) + 1
+        for group in {tuple(g.tolist()) for g in np.split(owner[rank], cuts) if len(g)}:
+            members = np.concatenate([order[starts[v] : starts[v + 1]] for v in group])
+            pairs.update(group_pairs(members, sketch))
+    # Documents whose parts are equal meet in the home bucket, whoever else does.
+    homes = home_buckets(values, parities, BITS)
+    for v in np.flatnonzero((np.diff(starts) > 1) & (homes == bucket)).tolist():
+        pairs.update(group_pairs(order[starts[v] : starts[v + 1]], sketch))
+    found = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+    a, b = ids[found[:, 0]], ids[found[:, 1]]
+    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+
+
+def candidate_pairs(classes: DataFrame, parities: int, radius=RADIUS) -> DataFrame:
+    """Distinct ``(a, b)`` of ids in ``classes(id, s0, s1, s2)`` whose sketches may be near."""
+    flips = bit_flips(parities, radius, BITS)
+    tables = []
+    for table in range(TABLES):
+        part = F.col(SKETCH[table // 2])
+        home = F.lit(0)
+        for group, mask in enumerate(parity_masks(parities, BITS)):
+            signed = mask << (32 * (table % 2))
+            signed = signed - (1 << 64) if signed >> 63 else signed
+            parity = F.bit_count(part.bitwiseAND(F.lit(signed).cast("long"))) % 2
+            home = home.bitwiseOR(F.shiftleft(parity.cast("int"), group))
+        tables.append(F.struct(F.lit(table).alias("table"), home.alias("home")))
+    changes = F.array(*[F.lit(c) for c in sorted(flips)])
+    sent = (
+        classes.select("id", *SKETCH, F.inline(F.array(*tables)))
+        .select("id", *SKETCH, "table", "home", F.explode(changes).alias("change"))
+        .select((F.col("table") * (1 << parities) + F.col("home").bitwiseXOR(F.col("change"))).alias("place"), "id", *SKETCH)
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for place, (ids, *words) in by_bucket(batches):
+            sketch = np.ascontiguousarray(np.stack(words, 1)).view(np.uint64)
+            pairs = bucket_pairs(ids, sketch, place >> parities, place & ((1 << parities) - 1), parities, flips, radius)
+            yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    met = sent.repartition("place").sortWithinPartitions("place").mapInArrow(run, "a long, b long")
+    return met.groupBy("a", "b").agg(F.lit(1).alias("met")).select("a", "b")
+
+
+def jaccard(a: str | None, b: str | None, shingle=SHINGLE) -> float:
+    x, y = np.unique(shingle_hashes(a, shingle)), np.unique(shingle_hashes(b, shingle))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    union = len(x) + len(y) - both
+    return both / union if union else 1.0
+
+
+def verified(pairs: DataFrame, texts: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) -> DataFrame:
+    """The pairs whose exact similarity reaches the threshold; ``texts(id, text)`` has each id once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [
+                jaccard(a.as_py(), b.as_py(), shingle) >= similarity
+                for a, b in zip(batch.column(2), batch.column(3), strict=True)
+            ]
+            yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(near))
+
+    left = texts.select(F.col("id").alias("a_id"), F.col("text").alias("a_text"))
+    right = texts.select(F.col("id").alias("b_id"), F.col("text").alias("b_text"))
+    met = pairs.join(left, F.col("a") == F.col("a_id")).join(right, F.col("b") == F.col("b_id"))
+    return met.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
+
+
+def duplicate_groups(docs: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) -> DataFrame:
+    """``(doc_id, component_id)`` of documents that are linked to one with a smaller id.
+
+    Rows with a null id are in no group. Texts without words are equal to one another.
+    Rows of one id are one document, whose text is the smallest of theirs.
+    """
+    found = saved(sketches(docs, shingle).where(F.col("doc_id").isNotNull()), "sketches")
+    classes = saved(found.groupBy("n_shingles", *SKETCH).agg(F.min("doc_id").alias("id")), "sketch-classes")
+    parities = parity_count(classes.count(), RADIUS, BITS, MIN_PARITIES)
+    pairs = saved(candidate_pairs(classes, parities), "candidate-pairs")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    texts = saved(
+        docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi")
+        .groupBy("id").agg(F.min("text").alias("text")),
+        "candidate-texts",
+    )
+    links = verified(pairs, texts, similarity, shingle)
+    roots = connected_components(links)
+    rooted = classes.join(roots, F.col("id") == F.col("node"), "left").select(
+        "n_shingles", *SKETCH, F.coalesce("root", "id").alias("component_id")
+    )
+    keys = ["n_shingles", *SKETCH]
+    return (
+        found.select("doc_id", *keys).join(rooted, keys).where("doc_id <> component_id").select("doc_id", "component_id")
+        .distinct()
+    )
+
+
+def without_duplicates(docs: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) -> DataFrame:
+    """``docs`` with one document of each group, the one of smallest id; all columns stay."""
+    gone = duplicate_groups(docs, similarity, shingle).select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
