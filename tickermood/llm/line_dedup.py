@@ -96,16 +96,18 @@ class LineRuns:
         return self.settled_hashes().union(late).distinct()
 
 
-def dedup_lines(docs: DataFrame, min_docs=MIN_DOCS, min_chars=MIN_CHARS, batches=BATCHES, fanout=FANOUT) -> DataFrame:
-    """``docs`` with frequent lines removed from ``text``; adds ``n_lines`` and ``n_dropped``.
+def dedup_lines(
+    docs: DataFrame, min_docs=MIN_DOCS, min_chars=MIN_CHARS, batches=BATCHES, fanout=FANOUT, counts=False
+) -> DataFrame:
+    """``docs`` with frequent lines removed from ``text``; all other columns stay.
 
-    All other columns stay. The text passes one shuffle, to meet the positions of
+    With ``counts``, ``n_lines`` and ``n_dropped`` are added (in place of columns of
+    that name). The text passes one shuffle, to meet the positions of
     its dropped lines; every other shuffle carries hashes only.
     """
     spark = docs.sparkSession
-    n_lines, n_dropped = "n_lines", "n_dropped"
-    if {n_lines, n_dropped} & {c.lower() for c in docs.columns}:
-        docs = docs.drop(n_lines, n_dropped)
+    if counts:
+        docs = docs.drop("n_lines", "n_dropped")
     mark, gone = unused(docs.columns, "text_mark"), unused(docs.columns, "dropped_lines")
     row_id = unused(docs.columns, "row_doc_id")
     # Rows of one id and one text have one result, so they may share their hashes.
@@ -124,14 +126,14 @@ def dedup_lines(docs: DataFrame, min_docs=MIN_DOCS, min_chars=MIN_CHARS, batches
         hashes.select("id", "mark", F.inline(entries)).where(F.col("hash").isNotNull()), "line-hashes"
     )
     runs = LineRuns(spark, min_docs, fanout)
-    counts = saved(
+    by_batch = saved(
         found.where(F.col("pos") == -1)
         .groupBy(F.pmod(F.xxhash64("id"), F.lit(batches)).alias("batch"), "hash")
         .agg(F.count(F.lit(1)).alias("n_docs")),
         "line-counts",
     )
     for batch in range(batches):
-        runs.add(counts.where(F.col("batch") == batch).select("hash", "n_docs"))
+        runs.add(by_batch.where(F.col("batch") == batch).select("hash", "n_docs"))
     dropped = (
         found.where(F.col("pos") >= 0)
         .join(runs.frequent(), "hash", "left_semi")
@@ -148,8 +150,9 @@ def dedup_lines(docs: DataFrame, min_docs=MIN_DOCS, min_chars=MIN_CHARS, batches
     kept = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(gone))
     short = F.array_join(F.transform(kept, lambda i: F.get(all_lines, i)), "\n")
     has = F.col(gone).isNotNull()
-    return met.select(
-        *[F.when(has, short).otherwise(F.col("text")).alias("text") if c.lower() == "text" else marked[c] for c in docs.columns],
-        F.size(all_lines).cast("long").alias(n_lines),
-        F.when(has, F.size(gone)).otherwise(0).cast("long").alias(n_dropped),
-    )
+    text = F.when(has, short).otherwise(F.col("text")).alias("text")
+    added = [
+        F.size(all_lines).cast("long").alias("n_lines"),
+        F.when(has, F.size(gone)).otherwise(0).cast("long").alias("n_dropped"),
+    ]
+    return met.select(*[text if c == "text" else marked[c] for c in docs.columns], *(added if counts else []))

@@ -53,7 +53,7 @@ def op7_packing(spark, sf_dir) -> DataFrame:
 
 
 def op8_line_dedup(spark, sf_dir) -> DataFrame:
-    docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), counts=True)
     return docs.select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )

@@ -13,7 +13,8 @@ Scoring reads every text whole and shuffles nothing.
 
 Cases: a null or empty text has no features and scores the bias. Rows without a label
 are scored only. Labels that are null are ignored; of several labels of one id the
-largest counts. Without labelled rows of both kinds every score is the bias.
+largest counts. Without labelled rows of both kinds every score is
+about 0.01.
 """
 
 import zlib
@@ -30,6 +31,8 @@ SAMPLE_CLEAN = 12_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 1.0
 REJECT_AT = 0.3
+# The bias where there is nothing to learn from: a score of about 0.01.
+UNTAUGHT = -4.6
 
 _BLANKS = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 # Odd 64-bit multipliers that keep the kinds of feature apart.
@@ -131,11 +134,12 @@ def fit(docs: DataFrame, labels: DataFrame, bits=BITS, epochs=EPOCHS) -> Model:
         for batch in batches:
             for toxic, found in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
                 rows.append((toxic, np.asarray(found.values.to_numpy(zero_copy_only=False))))
+        if len({toxic for toxic, _ in rows}) < 2:
+            return
         model = Ftrl(bits)
-        if len({toxic for toxic, _ in rows}) == 2:
-            for _ in range(epochs):
-                for toxic, index in rows:
-                    model.learn(index, toxic)
+        for _ in range(epochs):
+            for toxic, index in rows:
+                model.learn(index, toxic)
         every = np.arange((1 << bits) + 1)
         weights = model.weights(every)
         at = np.flatnonzero((weights != 0) | (every == model.bias))
@@ -143,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, bits=BITS, epochs=EPOCHS) -> Model:
 
     rows = training_rows(docs, labels, bits).repartition(1).sortWithinPartitions("order")
     found = rows.mapInArrow(run, "feature long, weight double").collect()
-    bias = sum(row["weight"] for row in found if row["feature"] == 1 << bits)
+    bias = next((row["weight"] for row in found if row["feature"] == 1 << bits), UNTAUGHT)
     rest = [row for row in found if row["feature"] < 1 << bits]
     return Model(
         np.array([row["feature"] for row in rest], np.int64), np.array([row["weight"] for row in rest], np.float32), bias, bits
@@ -157,7 +161,8 @@ def document_score(text: str | None, weights: np.ndarray, bias: float, bits: int
 
 
 def scored(docs: DataFrame, model: Model, text="text", score="score") -> DataFrame:
-    """``docs`` with the column ``score`` added."""
+    """``docs`` with the column ``score`` added (in place of one of that name)."""
+    docs = docs.drop(score)
     arrow_types = docs.withColumn(score, F.lit(0.0)).schema
     at = docs.columns.index(text)
 
