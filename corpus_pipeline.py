@@ -7,7 +7,7 @@ last returns packed sequences. Each result is written as Parquet and read again.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickermood.llm import toxicity
-from tickermood.llm.common import saved
+from tickermood.llm.common import saved, unused
 from tickermood.llm.line_dedup import dedup_lines
 from tickermood.llm.packing import pack_documents
 from tickermood.llm.secret_scan import mask_secrets
@@ -17,14 +17,14 @@ from tickermood.llm.similar_documents import without_duplicates
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.scored(docs, toxicity.fit(docs, labels), score="toxicity_score")
-    return scored.where(F.col("toxicity_score") < toxicity.REJECT_AT).drop("toxicity_score")
+    score = unused(docs.columns, "toxicity_score")
+    scored = toxicity.scored(docs, toxicity.fit(docs, labels), score=score)
+    return scored.where(F.col(score) < toxicity.REJECT_AT).drop(score)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir) -> DataFrame:
     """Documents without the lines that ten or more of them share; ``n_chars`` follows the text."""
-    kept = dedup_lines(docs).drop("n_lines", "n_dropped")
-    return kept.withColumn("n_chars", F.length("text").cast("long"))
+    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir) -> DataFrame:
