@@ -1,11 +1,12 @@
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tickermood.schemas import RAW_NEWS
-from tickermood.session import materialize, scratch_path, spread
+from tickermood.session import materialize, saved, scratch_path, shared_folder, spread_single
 from tickermood.sources import dictionaries, news, tables
 
 
@@ -72,11 +73,11 @@ def test_price_files_prune_and_push_down(spark, tmp_path):
 
 def test_dictionaries(spark, tmp_path):
     path = tmp_path / "d.txt"
-    path.write_text("good,positive\nlack of,revert\n\n")
+    path.write_text("good,positive\nlack of,revert\n\nalone\n,x\n")
     assert [tuple(r) for r in dictionaries.read_lexicon(spark, str(path)).collect()] == [("good", "positive"), ("lack of", "revert")]
-    path.write_text("abandon\t-2\ncan't stand\t-3\n")
+    path.write_text("abandon\t-2\n\nbad\tline\nalone\ncan't stand\t-3\n")
     assert [tuple(r) for r in dictionaries.read_valences(spark, str(path)).collect()] == [("abandon", -2), ("can't stand", -3)]
-    path.write_text("go->went\tgoing\nbe->is\twas\n")
+    path.write_text("go->went\tgoing\n\nalone\nbe->is\twas\tWAS\n")
     found = sorted(tuple(r) for r in dictionaries.read_lemmas(spark, str(path)).collect())
     assert found == [("going", "go"), ("is", "be"), ("was", "be"), ("went", "go")]
 
@@ -105,10 +106,34 @@ def test_shared_folder_comes_from_the_session(spark):
     assert df.count() == 10 and "LogicalRDD" in df._jdf.queryExecution().logical().toString()
 
 
-def test_spread_only_few_partitions(spark):
-    few, many = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 9)
-    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many, "id") is many
+def test_only_a_single_split_is_dealt_out(spark):
+    one, two = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 2)
+    assert spread_single(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread_single(two, "id") is two
+
+
+class _Cluster:
+    """A session on a cluster, as far as the shared folder asks."""
+
+    def __init__(self, folder):
+        self.conf = {"spark.checkpoint.dir": folder}
+        self.sparkContext = self
+        self.master = "yarn"
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_a_cluster_needs_a_shared_folder():
+    assert shared_folder(_Cluster("hdfs://h/x")) == "hdfs://h/x"
+    for folder in (None, "file:///data", "/tmp/x"):
+        with pytest.raises(RuntimeError):
+            shared_folder(_Cluster(folder))
+
+
+def test_saved_frames_are_read_back(spark):
+    df = saved(spark.range(10).withColumn("x", F.col("id") * 2), "x")
+    assert df.agg(F.sum("x")).first()[0] == 90 and "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_models_round_trip(spark, tmp_path):

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tickermood.functions import lookup
 from tickermood.operators import sentiment, text
 from tickermood.schemas import CLASS_LEXICON, LEMMAS, VALENCE_LEXICON
 from tickermood.sources.dictionaries import NEGATIVE_WORDS, POSITIVE_WORDS, default_lexicon, default_wordlist
@@ -11,8 +12,18 @@ from tickermood.sources.local import small_frame
 
 SCHEMA = "doc_id long, article string"
 
-# Dictionary as a constant of the plan, and joined as if it were too large.
-BOTH_WAYS = pytest.mark.parametrize("inline_terms", [5000, 0])
+# Scores must not depend on the size of the dictionary.
+BOTH_SIZES = pytest.mark.parametrize("filler", [0, 10_000])
+
+
+def padded(spark, lexicon, filler):
+    """The dictionary with as many terms more that occur in no text."""
+    first, second = lexicon.columns
+    rest = spark.range(filler).select(
+        F.concat(F.lit("zq"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias(first),
+        F.lit("1" if second == "valence" else "positive").cast(lexicon.schema[second].dataType).alias(second),
+    )
+    return lexicon.unionByName(rest)
 
 
 def docs(spark, *texts):
@@ -55,8 +66,8 @@ def test_explode_sentences_pads_the_shorter_array(spark):
     assert [(r["sentence"], r["embedding"]) for r in found] == [("a", [1.0]), ("b", None)]
 
 
-@BOTH_WAYS
-def test_dictionary_scores(spark, inline_terms):
+@BOTH_SIZES
+def test_dictionary_scores(spark, filler):
     cases = {
         "not good": -1.0,
         "very good": 2.0,
@@ -73,19 +84,19 @@ def test_dictionary_scores(spark, inline_terms):
         "": 0.0,
     }
     df = docs(spark, *cases, None)
-    scored = sentiment.dictionary_sentiment(df, default_lexicon(spark), inline_terms=inline_terms)
+    scored = sentiment.dictionary_sentiment(df, padded(spark, default_lexicon(spark), filler))
     assert column(scored, "sentiment_score") == [*cases.values(), 0.0]
     label = lambda v: "positive" if v > 0 else "negative" if v < 0 else "neutral"
     assert column(scored, "sentiment") == [[label(v)] for v in [*cases.values(), 0.0]]
     assert column(sentiment.pnn_score(scored), "pnn_sentiment") == [(v > 0) - (v < 0) for v in [*cases.values(), 0.0]]
 
 
-@BOTH_WAYS
-def test_sentence_labels_and_lemmas(spark, inline_terms):
+@BOTH_SIZES
+def test_sentence_labels_and_lemmas(spark, filler):
     df = docs(spark, "Good. Bad. Table.", "goods", None)
-    lemmas = small_frame(spark, [("goods", "good")], LEMMAS)
+    lemmas = padded(spark, small_frame(spark, [("goods", "good")], LEMMAS), filler)
     scored = sentiment.dictionary_sentiment(
-        df, default_lexicon(spark), lemmas=lemmas, granularity="sentence", inline_terms=inline_terms
+        df, padded(spark, default_lexicon(spark), filler), lemmas=lemmas, granularity="sentence"
     )
     assert column(scored, "sentiment") == [["negative", "neutral", "positive"], ["positive"], []]
     assert column(sentiment.pnn_score(scored), "pnn_sentiment") == [1, 1, 0]
@@ -117,8 +128,8 @@ def _brute_force(article, lexicon):
     return total
 
 
-@BOTH_WAYS
-def test_dictionary_scores_of_random_texts(spark, inline_terms):
+@BOTH_SIZES
+def test_dictionary_scores_of_random_texts(spark, filler):
     lexicon = {
         "a": "positive", "b": "negative", "c": "revert", "d": "increment", "e": "decrement",
         "a b": "negative", "b c d": "positive", "c d": "increment", "d e a b": "negative", "f": "positive",
@@ -128,33 +139,30 @@ def test_dictionary_scores_of_random_texts(spark, inline_terms):
         "".join(draw.choice("abcdefgh") + draw.choice([" ", " ", " ", ". ", ", "]) for _ in range(draw.randint(0, 40)))
         for _ in range(200)
     ]
-    scored = sentiment.dictionary_sentiment(
-        docs(spark, *texts), small_frame(spark, lexicon.items(), CLASS_LEXICON), inline_terms=inline_terms
-    )
+    entries = padded(spark, small_frame(spark, lexicon.items(), CLASS_LEXICON), filler)
+    scored = sentiment.dictionary_sentiment(docs(spark, *texts), entries)
     assert column(scored, "sentiment_score") == [_brute_force(t, lexicon) for t in texts]
 
 
-def test_hits_of_both_ways_agree(spark, monkeypatch):
-    lexicon = small_frame(spark, [(t, "positive") for t in ("a", "a b", "b c", "c")], CLASS_LEXICON)
+@BOTH_SIZES
+def test_hits(spark, filler):
+    lexicon = padded(spark, small_frame(spark, [(t, "positive") for t in ("a", "a b", "b c", "c")], CLASS_LEXICON), filler)
     df = docs(spark, "a b c. a c", "b c a b")
-    inline = rows(sentiment.dictionary_hits(df, lexicon), "doc_id", "sent_id", "pos")
-    monkeypatch.setattr(sentiment, "MAX_INLINE_TERMS", 0)
-    joined = rows(sentiment.dictionary_hits(df, lexicon), "doc_id", "sent_id", "pos")
-    assert inline == joined
+    found = rows(sentiment.dictionary_hits(df, lexicon), "doc_id", "sent_id", "pos")
     # "b c" starts inside "a b" and goes; so does "c", which starts inside "b c".
-    assert [(r["doc_id"], r["sent_id"], r["pos"], r["term"]) for r in inline] == [
+    assert [(r["doc_id"], r["sent_id"], r["pos"], r["term"]) for r in found] == [
         (0, 0, 0, "a b"), (0, 1, 0, "a"), (0, 1, 1, "c"), (1, 0, 0, "b c"), (1, 0, 2, "a b"),
     ]
 
 
-@BOTH_WAYS
-def test_valence_score(spark, inline_terms):
+@BOTH_SIZES
+def test_valence_score(spark, filler):
     words = [("good", 3), ("bad", -3), ("can t stand", -4)]
     df = docs(spark, "Good good. BAD", "I can't stand good", "none", None)
-    single = small_frame(spark, words[:2], VALENCE_LEXICON)
-    assert column(sentiment.valence_score(df, single, inline_terms=inline_terms), "afinn_sentiment") == [3.0, 3.0, 0.0, 0.0]
-    phrases = small_frame(spark, words, VALENCE_LEXICON)
-    assert column(sentiment.valence_score(df, phrases, inline_terms=inline_terms), "afinn_sentiment") == [3.0, -1.0, 0.0, 0.0]
+    single = padded(spark, small_frame(spark, words[:2], VALENCE_LEXICON), filler)
+    assert column(sentiment.valence_score(df, single), "afinn_sentiment") == [3.0, 3.0, 0.0, 0.0]
+    phrases = padded(spark, small_frame(spark, words, VALENCE_LEXICON), filler)
+    assert column(sentiment.valence_score(df, phrases), "afinn_sentiment") == [3.0, -1.0, 0.0, 0.0]
 
 
 def test_text_column_is_honoured(spark):
@@ -163,10 +171,10 @@ def test_text_column_is_honoured(spark):
     assert column(sentiment.valence_score(df, lexicon, text_col="title"), "afinn_sentiment") == [3.0]
 
 
-@BOTH_WAYS
-def test_wordlist_polarity(spark, inline_terms):
+@BOTH_SIZES
+def test_wordlist_polarity(spark, filler):
     df = docs(spark, "I love this GREAT product", "love hate", "terrible awful love", "nothing", " \n", None)
-    scored = sentiment.wordlist_polarity(df, default_wordlist(spark), inline_terms=inline_terms)
+    scored = sentiment.wordlist_polarity(df, padded(spark, default_wordlist(spark), filler))
     found = column(scored, "sentiment_score")
     assert found == pytest.approx([1.0, 0.0, -1 / 3, 0.0, 0.0, 0.0])
     assert all(-1 <= v <= 1 for v in found)
@@ -176,13 +184,30 @@ def test_word_lists_do_not_overlap():
     assert not {w.lower() for w in POSITIVE_WORDS} & {w.lower() for w in NEGATIVE_WORDS}
 
 
-def test_large_dictionary_is_joined(spark):
-    terms = [(f"w{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10 % 10]}{'abcdefghij'[i // 100 % 10]}{'abcdefghij'[i // 1000]}", 1) for i in range(6000)]
-    lexicon = small_frame(spark, terms, VALENCE_LEXICON)
-    df = docs(spark, "waaaa wjjjf other", "other")
-    scored = sentiment.valence_score(df, lexicon)
-    assert "HashJoin" in scored._jdf.queryExecution().executedPlan().toString() or "SortMergeJoin" in scored._jdf.queryExecution().executedPlan().toString()
-    assert column(scored, "afinn_sentiment") == [2.0, 0.0]
+@BOTH_SIZES
+def test_scores_need_no_id_and_bear_repeated_ones(spark, filler):
+    valences = padded(spark, small_frame(spark, [("good", 3), ("Good", 3), ("bad", -3)], VALENCE_LEXICON), filler)
+    twice = spark.createDataFrame([(1, "good"), (1, "good bad")], "doc_id int, article string")
+    assert sorted(column(sentiment.valence_score(twice, valences), "afinn_sentiment")) == [0.0, 3.0]
+    nameless = twice.drop("doc_id")
+    assert sorted(r["afinn_sentiment"] for r in rows(sentiment.valence_score(nameless, valences))) == [0.0, 3.0]
+
+
+@BOTH_SIZES
+def test_forms_that_differ_in_case_are_one(spark, filler):
+    lemmas = padded(spark, small_frame(spark, [("US", "usa"), ("us", "we")], LEMMAS), filler)
+    lexicon = small_frame(spark, [("usa", "positive"), ("we", "negative"), ("not", "revert")], CLASS_LEXICON)
+    df = docs(spark, "us not us")
+    # The alphabetically first lemma: usa, not usa.
+    assert column(sentiment.dictionary_sentiment(df, lexicon, lemmas=lemmas), "sentiment_score") == [0.0]
+    tokens = text.lemmatize(text.tokens(df), lemmas)
+    assert sorted(r["token"] for r in rows(tokens)) == ["not", "usa", "usa"]
+
+
+def test_too_large_a_dictionary_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "MAX_TERMS", 3)
+    with pytest.raises(ValueError, match="at most 3 terms"):
+        sentiment.valence_score(docs(spark, "x"), padded(spark, small_frame(spark, [("good", 3)], VALENCE_LEXICON), 3))
 
 
 def test_daily_mean_and_sum(spark):

@@ -8,18 +8,13 @@ def _col(c):
 
 
 def news_date(published) -> Column:
-    """Day of an RFC-1123 publication text; null when it holds none."""
-    day = F.regexp_extract(_col(published), r"^.*,\s*(.+)\s\d+:\d+:\d+", 1)
-    return F.try_to_date(day, "d MMM yyyy")
+    """Day of an RFC-1123 publication text; null when it holds none.
 
-
-def iso_day(date) -> Column:
-    return F.date_format(_col(date), "yyyy-MM-dd")
-
-
-def window_day(date) -> Column:
-    """Day as written into landing names, such as 03-May-2024."""
-    return F.date_format(_col(date), "dd-MMMM-yyyy")
+    After the weekday and its comma come day, month and year, then a time of day.
+    """
+    words = F.split(F.trim(F.split_part(_col(published), F.lit(","), F.lit(2))), " +")
+    timed = F.contains(F.get(words, F.lit(3)), F.lit(":"))
+    return F.when(timed, F.try_to_date(F.array_join(F.slice(words, 1, 3), " "), "d MMM yyyy"))
 
 
 def month_name(date) -> Column:

@@ -1,17 +1,18 @@
 """Dictionary lookup inside an expression.
 
-Scoring a text needs nothing but the text and a small dictionary. Held as a
-constant of the plan, the dictionary is looked up where the text is read: no row
-leaves its task and nothing is shuffled. Dictionaries above ``MAX_INLINE_TERMS``
-are joined instead (see ``operators.sentiment``).
+Scoring a text needs nothing but the text and a dictionary of the language, which
+does not grow with the texts. Held as a constant of the plan, it is looked up where
+the text is read: no row leaves its task, nothing is shuffled, no column is needed to
+tell rows apart, and a stream is scored like a table. This holds for every dictionary
+of up to ``MAX_TERMS`` rows; a larger one is refused.
 """
 
 import json
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# The plan carries the dictionary; planning slows down noticeably beyond this.
-MAX_INLINE_TERMS = 5_000
+# What goes to every task has a bound: some tens of MB at this many terms.
+MAX_TERMS = 200_000
 
 
 class Lookup:
@@ -32,20 +33,25 @@ class Lookup:
         text = json.dumps(slots).replace("\\", "\\\\").replace("'", "\\'")
         self._slots = f"from_json('{text}', 'array<map<string,{value_type}>>')"
 
+    def of(self, word: Column) -> Column:
+        """The value of ``word``, null for an unknown one."""
+        slot = F.pmod(F.hash(word), F.lit(self._size))
+        return F.try_element_at(F.get(F.expr(self._slots), slot), word)
+
     def get(self, word: str) -> str:
         """SQL of the value of ``word``, itself SQL; null for an unknown word."""
         return f"try_element_at({self._slots}[pmod(hash({word}), {self._size})], {word})"
 
 
-def fetch_lookup_rows(rows: DataFrame, limit=MAX_INLINE_TERMS):
-    """The rows of a small table with the hash of ``word``, or None above ``limit``."""
-    found = rows.withColumn("word_hash", F.hash("word")).limit(limit + 1).collect()
-    return found if len(found) <= limit else None
+def fetch_lookup_rows(rows: DataFrame):
+    """The rows of a dictionary with the hash of ``word``; refuses more than ``MAX_TERMS``."""
+    found = rows.withColumn("word_hash", F.hash("word")).limit(MAX_TERMS + 1).collect()
+    if len(found) > MAX_TERMS:
+        raise ValueError(f"a dictionary holds at most {MAX_TERMS} terms")
+    return found
 
 
-def word_lookup(rows: DataFrame, value: str, value_type: str, limit=MAX_INLINE_TERMS):
-    """Lookup of a ``(word, value)`` table with one row per word; None if it is too large."""
-    found = fetch_lookup_rows(rows.select("word", value), limit)
-    if found is None:
-        return None
+def word_lookup(rows: DataFrame, value: str, value_type: str) -> Lookup:
+    """Lookup of a ``(word, value)`` table with one row per word."""
+    found = fetch_lookup_rows(rows.select("word", value))
     return Lookup([(r["word"], r["word_hash"], r[value]) for r in found], value_type)

@@ -3,14 +3,9 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickermood.functions.columns import polarity
-from tickermood.functions.lookup import (
-    MAX_INLINE_TERMS,
-    Lookup,
-    fetch_lookup_rows,
-    word_lookup,
-)
-from tickermood.functions.text import ahead, blank_separated, sentence_words, word_array
-from tickermood.operators.text import each
+from tickermood.functions.lookup import Lookup, fetch_lookup_rows, word_lookup
+from tickermood.functions.text import blank_separated, sentence_words, word_array
+from tickermood.operators.text import each, lemma_forms
 
 _ENTRY = "struct<n:int,words:array<string>,value:double,factor:double>"
 
@@ -44,11 +39,12 @@ def valence_entries(lexicon: DataFrame) -> DataFrame:
     return _entries(lexicon, F.col("valence").cast("double"), F.lit(None).cast("double"))
 
 
-def _phrase_lookup(entries: DataFrame, limit):
-    """(lookup of first word -> entries, longest first; largest n), or None if too large."""
-    rows = fetch_lookup_rows(entries, limit)
-    if rows is None:
-        return None
+def _phrase_lookup(entries: DataFrame) -> tuple[Lookup, int]:
+    """(lookup of first word -> entries, longest first; largest n).
+
+    Of several entries with the same words the one of smallest value counts.
+    """
+    rows = fetch_lookup_rows(entries)
     grouped: dict = {}
     nulls_first = lambda v: (v is not None, v or 0.0)
     for r in sorted(rows, key=lambda r: (-r["n"], nulls_first(r["value"]), nulls_first(r["factor"]))):
@@ -72,7 +68,7 @@ def _hits(words: str, lookup: Lookup, max_n: int) -> str:
         found = f"filter({found}, e -> e.n = 1 or slice({words}, i + 1, e.n) = e.words)"
     hit = f"""transform(slice({found}, 1, 1), e -> named_struct(
         'pos', i, 'end', i + e.n - 1, 'value', e.value, 'factor', e.factor))"""
-    listed = f"transform({words}, (w, i) -> case when {lookup.get('w')} is not null then {hit} end)"
+    listed = f"transform({words}, (w, i) -> {hit})"
     return f"flatten(filter({listed}, h -> h is not null))"
 
 
@@ -95,76 +91,27 @@ def _fold(hits: str) -> str:
         s -> s.total)"""
 
 
-def _joined_hits(rows: DataFrame, keys, words_col, entries: DataFrame) -> DataFrame:
-    """Hits of a dictionary too large for a constant: one row per key and hit.
-
-    The words ahead of each position travel with it, so phrases need no further
-    join. No hint: Spark picks the join by size and splits skewed words.
-    """
-    longest = entries.agg(F.max("n")).first()[0] or 1
-    windows = each(rows, keys, ahead(F.col(words_col), longest), "pos", "ahead").withColumn("word", F.col("ahead")[0])
-    return (
-        windows.join(entries, "word")
-        .filter((F.col("n") == 1) | (F.slice("ahead", F.lit(1), F.col("n")) == F.col("words")))
-        .select(*keys, "pos", (F.col("pos") + F.col("n") - 1).alias("end"), "value", "factor")
-    )
-
-
-def _joined_totals(hits: DataFrame, keys) -> DataFrame:
-    """Fold joined hits per key. Partial lists keep it to one row per key and task."""
-    ordered = F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", (-F.col("end")).alias("back"), "value", "factor"))),
-        lambda h: F.struct(h["pos"], (-h["back"]).alias("end"), h["value"], h["factor"]),
-    )
-    return hits.groupBy(*keys).agg(ordered.alias("hits")).select(*keys, F.expr(_fold("hits")).alias("total"))
-
-
-def _lemmatized(df: DataFrame, words_col, id_col, lemmas, limit) -> DataFrame:
-    """Replace the words of array<array<string>> by their lemmas."""
-    rows = lemmas.select(F.lower("form").alias("word"), F.lower("lemma").alias("lemma"))
-    lookup = word_lookup(rows, "lemma", "string", limit)
-    if lookup is not None:
-        lemma = f"coalesce({lookup.get('w')}, w)"
-        return df.withColumn(words_col, F.expr(f"transform({words_col}, s -> transform(s, w -> {lemma}))"))
-    flat = each(each(df, [id_col], words_col, "sent", "_s"), [id_col, "sent"], "_s", "pos", "word")
-    in_order = lambda c: F.array_sort(F.collect_list(c))
-    changed = (
-        flat.join(rows, "word", "left")
-        .groupBy(id_col, "sent")
-        .agg(in_order(F.struct("pos", F.coalesce("lemma", "word").alias("w"))).alias("s"))
-        .groupBy(id_col)
-        .agg(in_order(F.struct("sent", F.col("s.w").alias("w"))).alias("s"))
-        .select(id_col, F.col("s.w").alias("_changed"))
-    )
-    empty = F.expr("cast(array() as array<array<string>>)")
-    return (
-        df.join(changed, id_col, "left")
-        .withColumn(words_col, F.coalesce("_changed", empty))
-        .drop("_changed")
-    )
+def _lemmatized(words: Column, lemmas: DataFrame) -> Column:
+    """The words of array<array<string>> replaced by their lemmas."""
+    lookup = word_lookup(lemma_forms(lemmas), "lemma", "string")
+    return F.transform(words, lambda s: F.transform(s, lambda w: F.coalesce(lookup.of(w), w)))
 
 
 def valence_score(
-    df: DataFrame, lexicon: DataFrame, text_col="article", id_col="doc_id",
-    out="afinn_sentiment", words=None, inline_terms=MAX_INLINE_TERMS,
+    df: DataFrame, lexicon: DataFrame, text_col="article", out="afinn_sentiment", words=None
 ) -> DataFrame:
     """Sum of the valences of a text's matching words and phrases; 0 without any.
 
     ``words`` gives the words of the text where they are at hand already.
     """
-    entries = valence_entries(lexicon)
-    found = _phrase_lookup(entries, inline_terms)
+    lookup, max_n = _phrase_lookup(valence_entries(lexicon))
     with_words = df.withColumn("_words", word_array(text_col) if words is None else words)
-    if found is not None:
-        lookup, max_n = found
-        if max_n == 1:
-            known = f"filter(transform(_words, w -> {lookup.get('w')}), e -> e is not null)"
-            total = F.expr(f"aggregate({known}, 0D, (total, e) -> total + e[0].value)")
-        else:
-            total = F.expr(_fold(_hits("_words", lookup, max_n)))
-        return with_words.withColumn(out, F.coalesce(total, F.lit(0.0))).drop("_words")
-    totals = _joined_totals(_joined_hits(with_words, [id_col], "_words", entries), [id_col])
-    return df.join(totals, id_col, "left").withColumn(out, F.coalesce("total", F.lit(0.0))).drop("total")
+    if max_n == 1:
+        known = f"filter(transform(_words, w -> {lookup.get('w')}), e -> e is not null)"
+        total = F.expr(f"aggregate({known}, 0D, (total, e) -> total + e[0].value)")
+    else:
+        total = F.expr(_fold(_hits("_words", lookup, max_n)))
+    return with_words.withColumn(out, F.coalesce(total, F.lit(0.0))).drop("_words")
 
 
 def _label(total: Column) -> Column:
@@ -172,34 +119,20 @@ def _label(total: Column) -> Column:
 
 
 def dictionary_sentiment(
-    df: DataFrame, lexicon: DataFrame, text_col="article", id_col="doc_id", lemmas=None,
-    granularity="document", sentences=None, inline_terms=MAX_INLINE_TERMS,
+    df: DataFrame, lexicon: DataFrame, text_col="article", lemmas=None, granularity="document", sentences=None
 ) -> DataFrame:
     """Adds ``sentiment_score`` and the label array ``sentiment``.
 
     Every sentence is scored by the class dictionary. ``granularity`` says whether
     the labels are that of the whole text or the distinct ones of its sentences.
     ``sentences`` gives the words of each sentence where they are at hand already.
-    ``id_col`` must be unique; it is used only for dictionaries joined by size.
     """
     if granularity not in ("document", "sentence"):
         raise ValueError(f"unknown granularity {granularity!r}: use 'document' or 'sentence'")
-    entries = class_entries(lexicon)
-    found = _phrase_lookup(entries, inline_terms)
-    with_words = df.withColumn("_words", sentence_words(text_col) if sentences is None else sentences)
-    if lemmas is not None:
-        with_words = _lemmatized(with_words, "_words", id_col, lemmas, inline_terms)
-    if found is not None:
-        scored = with_words.withColumn("_totals", F.expr(f"transform(_words, words -> {_fold(_hits('words', *found))})"))
-    else:
-        by_sentence = each(with_words, [id_col], "_words", "_sent", "_s")
-        keys = [id_col, "_sent"]
-        totals = _joined_totals(_joined_hits(by_sentence, keys, "_s", entries), keys)
-        listed = totals.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("_sent", "total"))).alias("_by"))
-        scored = with_words.join(listed, id_col, "left").withColumn(
-            "_totals",
-            F.transform("_words", lambda s, i: F.coalesce(F.try_element_at("_by", i), F.lit(0.0))),
-        )
+    words = sentence_words(text_col) if sentences is None else sentences
+    with_words = df.withColumn("_words", words if lemmas is None else _lemmatized(words, lemmas))
+    fold = _fold(_hits("words", *_phrase_lookup(class_entries(lexicon))))
+    scored = with_words.withColumn("_totals", F.expr(f"transform(_words, words -> {fold})"))
     total = F.aggregate("_totals", F.lit(0.0), lambda a, b: a + b)
     scored = scored.withColumn("sentiment_score", F.coalesce(total, F.lit(0.0)))
     if granularity == "document":
@@ -219,15 +152,7 @@ def dictionary_hits(
     terms = lexicon.select(F.array_join(word_array("term"), " ").alias("term")).distinct()
     entries = _entries(terms, F.lit(0.0), F.lit(0.0)).select("word", "n", "words", "value", "factor")
     by_sentence = each(df, [id_col], sentence_words(text_col), "sent_id", "_s")
-    found = _phrase_lookup(entries, MAX_INLINE_TERMS)
-    if found is not None:
-        rows = by_sentence.withColumn("_hits", F.expr(_hits("_s", *found)))
-    else:
-        keys = [id_col, "sent_id"]
-        joined = _joined_hits(by_sentence, keys, "_s", entries).groupBy(*keys, "pos")
-        longest = joined.agg(F.max("end").alias("end"))
-        listed = longest.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "end"))).alias("_hits"))
-        rows = by_sentence.join(listed, keys)
+    rows = by_sentence.withColumn("_hits", F.expr(_hits("_s", *_phrase_lookup(entries))))
     # A running maximum of the ends tells the hits that start inside an earlier one.
     state = F.struct(F.lit(-1).alias("end"), F.expr("cast(array() as array<struct<pos:int,n:int>>)").alias("kept"))
 
@@ -256,39 +181,20 @@ def pnn_score(df: DataFrame, sentiment="sentiment", out="pnn_sentiment") -> Data
     return df.withColumn(out, score)
 
 
-def wordlist_polarity(
-    df: DataFrame, words: DataFrame, text_col="article", id_col="doc_id",
-    out="sentiment_score", inline_terms=MAX_INLINE_TERMS,
-) -> DataFrame:
+def wordlist_polarity(df: DataFrame, words: DataFrame, text_col="article", out="sentiment_score") -> DataFrame:
     """(p - n) / max(p + n, 1) over the listed words, compared in lower case."""
-    listed = words.select(F.lower("term").alias("word"), "class")
-    found = fetch_lookup_rows(listed, inline_terms)
-    with_words = df.withColumn("_words", blank_separated(text_col))
-    if found is not None:
-        classes: dict = {}
-        for r in found:
-            classes.setdefault((r["word"], r["word_hash"]), set()).add(r["class"])
-        marked = [(w, h, {c: c in held for c in ("positive", "negative")}) for (w, h), held in classes.items()]
-        lookup = Lookup(marked, "struct<positive:boolean,negative:boolean>")
-        marks = with_words.withColumn(
-            "_marks", F.expr(f"filter(transform(_words, w -> {lookup.get('w')}), m -> m is not null)")
-        )
-        count = lambda field: F.expr(f"size(filter(_marks, m -> m.{field}))")
-        score = polarity(count("positive"), count("negative"))
-        scored = marks.withColumn(out, F.when(F.col("_marks").isNotNull(), score).otherwise(0.0))
-        return scored.drop("_words", "_marks")
-    marks = listed.groupBy("word").agg(
-        F.max(F.col("class") == "positive").alias("positive"),
-        F.max(F.col("class") == "negative").alias("negative"),
-    )
-    counts = (
-        each(with_words, [id_col], "_words", "pos", "word")
-        .join(marks, "word")
-        .groupBy(id_col)
-        .agg(F.count_if("positive").alias("_p"), F.count_if("negative").alias("_n"))
+    classes: dict = {}
+    for r in fetch_lookup_rows(words.select(F.lower("term").alias("word"), "class")):
+        classes.setdefault((r["word"], r["word_hash"]), set()).add(r["class"])
+    marked = [(w, h, {c: c in held for c in ("positive", "negative")}) for (w, h), held in classes.items()]
+    lookup = Lookup(marked, "struct<positive:boolean,negative:boolean>")
+    marks = df.withColumn("_words", blank_separated(text_col)).withColumn(
+        "_marks", F.expr(f"filter(transform(_words, w -> {lookup.get('w')}), m -> m is not null)")
     )
-    score = F.coalesce(polarity("_p", "_n"), F.lit(0.0))
-    return df.join(counts, id_col, "left").withColumn(out, score).drop("_p", "_n")
+    count = lambda field: F.expr(f"size(filter(_marks, m -> m.{field}))")
+    score = polarity(count("positive"), count("negative"))
+    scored = marks.withColumn(out, F.when(F.col("_marks").isNotNull(), score).otherwise(0.0))
+    return scored.drop("_words", "_marks")
 
 
 def daily_sentiment(df: DataFrame, agg="avg", by=("symbol", "date")) -> DataFrame:

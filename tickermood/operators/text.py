@@ -29,13 +29,19 @@ def tokens(df: DataFrame, text_col="article", id_col="doc_id") -> DataFrame:
     return each(by_sentence, [id_col, "sent_id"], "words", "pos", "token")
 
 
+def lemma_forms(lemmas: DataFrame) -> DataFrame:
+    """``(word, lemma)`` in lower case, one row per form; of several lemmas the first by alphabet."""
+    forms = lemmas.select(F.lower("form").alias("word"), F.lower("lemma").alias("lemma"))
+    return forms.groupBy("word").agg(F.min("lemma").alias("lemma"))
+
+
 def lemmatize(token_rows: DataFrame, lemmas: DataFrame) -> DataFrame:
     """Replace each token by its lemma; a form without one stays as it is.
 
     No join hint: Spark broadcasts a dictionary it knows to be small, and past
     that size joins by shuffle with skewed tokens split by adaptive execution.
     """
-    forms = lemmas.select(F.lower("form").alias("token"), F.lower("lemma").alias("_lemma"))
+    forms = lemma_forms(lemmas).select(F.col("word").alias("token"), F.col("lemma").alias("_lemma"))
     joined = token_rows.join(forms, "token", "left")
     others = [c for c in token_rows.columns if c != "token"]
     return joined.select(*others, F.coalesce("_lemma", "token").alias("token"))

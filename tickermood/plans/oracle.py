@@ -214,7 +214,7 @@ ORACLE = {
     "news_date_parse": _sql(
         "news",
         """select doc_id, published,
-            cast(strptime(regexp_extract(published, '^.*,\\s*(.+)\\s\\d+:\\d+:\\d+', 1), '%d %b %Y') as date) as published_date
+            cast(strptime(substr(published, 6, 11), '%d %b %Y') as date) as published_date
         from (select doc_id, strftime(date, '%a, %d %b %Y') || ' 07:00:00 GMT' as published from news) n""",
     ),
     "news_shape": _sql(

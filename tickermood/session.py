@@ -1,5 +1,6 @@
 """Session settings and the shared folder for written intermediates."""
 
+import re
 import tempfile
 import uuid
 
@@ -27,13 +28,17 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local session may go without that setting; it then gets a folder of
-    its own, remembered as the checkpoint folder.
+    its own, remembered as the checkpoint folder. On a cluster the setting is
+    demanded, and a path of one machine is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not spark.sparkContext.master.startswith("local"):
+        if not folder:
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        if re.match(r"file:|/tmp(/|$)", folder):
+            raise RuntimeError(f"spark.checkpoint.dir is {folder}, which other machines do not see")
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tickermood-"))
     return spark.sparkContext.getCheckpointDir()
 
@@ -43,15 +48,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of an input that comes in fewer partitions than cores.
+def spread_single(df: DataFrame, key: str) -> DataFrame:
+    """Deal out an input that is one file split, so that more than one core works on it.
+
+    A file written as a single row group cannot be cut by the reader. What moves is
+    at most one split, whatever the cluster; an input of two splits passes unchanged.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if df.rdd.getNumPartitions() == 1 else df
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame of any size as Parquet below the shared folder and read it back.
 
-    The partition count is known from planning, without a job. An input of at
-    least one partition per core, as any large one is, passes unchanged; what is
-    moved is therefore at most one file split per core.
+    Later jobs read rows and not the work behind them, prune columns, and depend
+    on no executor.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Word lists, dictionaries and the ticker map."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickermood.schemas import CLASS_LEXICON, TICKERS
 from tickermood.sources.local import small_frame
@@ -65,31 +65,39 @@ Tense Tiresome Unbearable Uncertain Unhappy Unpleasant Unsettled
 """.split()
 
 
+def _fields(delimiter: str) -> Column:
+    return F.split(F.trim("value"), F.lit(f"\\Q{delimiter}\\E"))
+
+
 def read_lexicon(spark: SparkSession, path, delimiter=",") -> DataFrame:
-    """``term,class`` lines; the term may hold several words."""
-    parts = F.split(F.trim("value"), F.lit(f"\\Q{delimiter}\\E"))
-    rows = spark.read.text(path).select(F.trim(parts[0]).alias("term"), F.trim(parts[1]).alias("class"))
-    return rows.filter("term <> '' and class is not null")
+    """``term,class`` lines; the term may hold several words. Other lines are passed over."""
+    parts = _fields(delimiter)
+    rows = spark.read.text(path).select(
+        F.trim(F.get(parts, F.lit(0))).alias("term"), F.trim(F.get(parts, F.lit(1))).alias("class")
+    )
+    return rows.filter("term <> '' and class <> ''")
 
 
 def read_valences(spark: SparkSession, path, delimiter="\t") -> DataFrame:
-    """``term<TAB>valence`` lines with integer valences of -5 to 5."""
-    parts = F.split(F.trim("value"), F.lit(f"\\Q{delimiter}\\E"))
-    rows = spark.read.text(path).select(F.trim(parts[0]).alias("term"), parts[1].cast("int").alias("valence"))
+    """``term<TAB>valence`` lines with integer valences of -5 to 5. Other lines are passed over."""
+    parts = _fields(delimiter)
+    rows = spark.read.text(path).select(
+        F.trim(F.get(parts, F.lit(0))).alias("term"), F.trim(F.get(parts, F.lit(1))).try_cast("int").alias("valence")
+    )
     return rows.filter("term <> '' and valence is not null")
 
 
 def read_lemmas(spark: SparkSession, path, key_delimiter="->", value_delimiter="\t") -> DataFrame:
-    """``lemma->form<TAB>form`` lines to one row per form.
+    """``lemma->form<TAB>form`` lines to one row per form in lower case. Other lines are passed over.
 
     A form listed under several lemmas takes the alphabetically first.
     """
     parts = F.split("value", F.lit(f"\\Q{key_delimiter}\\E"))
-    forms = F.split(parts[1], F.lit(f"\\Q{value_delimiter}\\E"))
-    rows = spark.read.text(path).select(F.trim(parts[0]).alias("lemma"), F.explode(forms).alias("form"))
+    forms = F.split(F.get(parts, F.lit(1)), F.lit(f"\\Q{value_delimiter}\\E"))
+    rows = spark.read.text(path).select(F.trim(F.get(parts, F.lit(0))).alias("lemma"), F.explode(forms).alias("form"))
     return (
-        rows.select(F.trim("form").alias("form"), "lemma")
-        .filter("form <> ''")
+        rows.select(F.lower(F.trim("form")).alias("form"), F.lower("lemma").alias("lemma"))
+        .filter("form <> '' and lemma <> ''")
         .groupBy("form")
         .agg(F.min("lemma").alias("lemma"))
     )
