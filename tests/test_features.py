@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import random
 
 import pytest
 from conftest import rows
@@ -112,13 +113,12 @@ def metrics_frame(spark, n=100):
     return data, spark.createDataFrame(data, "symbol string, date date, label double, score double")
 
 
-@pytest.mark.parametrize("slices", [1, 7, 1000])
-def test_auc_like_ml(spark, slices):
+def test_auc_like_ml(spark):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
     _, df = metrics_frame(spark)
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", numBins=0)
-    found = rows(evaluation.auc(df, slices=slices))[0]["auc"]
+    found = rows(evaluation.auc(df))[0]["auc"]
     assert found == pytest.approx(evaluator.evaluate(df))
     assert rows(evaluation.auc(df.filter("label = 1"), by=["symbol"]))[0]["auc"] is None
 
@@ -160,3 +160,35 @@ def test_knn_against_brute_force(spark):
         votes = [v for *_, v in near]
         expected = min(set(votes), key=lambda v: (-votes.count(v), v)) if votes else None
         assert found[(s, d)] == expected
+
+
+@pytest.mark.parametrize("block_rows", [2, 1024])
+def test_knn_by_blocks_gives_the_same(spark, block_rows):
+    draw = random.Random(4)
+    data = [("A", i, draw.random(), draw.random(), i % 2) for i in range(60)]
+    frame = spark.createDataFrame(data, "symbol string, date int, x double, z double, label int")
+    train, test = frame.where("date < 45"), frame.where("date >= 45")
+    test = test.union(test.limit(1))
+    called = neighbours.knn_classify(train, test, ["x", "z"], k=5, block_rows=block_rows).collect()
+    assert len(called) == 16
+    for r in called:
+        near = sorted(((r["x"] - x) ** 2 + (r["z"] - z) ** 2, day, y) for _, day, x, z, y in data[:45])[:5]
+        votes = [y for *_, y in near]
+        assert r["prediction"] == (1 if votes.count(1) > votes.count(0) else 0)
+
+
+def test_scalers_by_symbol_shuffle_no_rows(spark):
+    """With broadcast joins off, the only exchanges are of sums per symbol."""
+    df = spark.range(1000).select((F.col("id") % 3).cast("string").alias("symbol"), F.col("id").alias("v"))
+    df = df.union(spark.createDataFrame([(None, 7)], "symbol string, v long"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scaled = scaling.minmax(df, "v", by="symbol", out="share")
+        plan = scaled._jdf.queryExecution().executedPlan().toString()
+        found = {(r["symbol"], r["v"]): r["share"] for r in scaled.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" not in plan.split("Subquery")[0]
+    assert found["0", 0] == -1 and found["0", 999] == 1 and found[None, 7] == 0
+    flat = scaling.scale(df.where("symbol = '0'"), "v", center=True, out="z", ddof=0).agg(F.stddev_pop("z")).first()[0]
+    assert flat == pytest.approx(1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickermood.functions.columns import direction, polarity, trend_label
 from tickermood.functions.dates import assign_window, fetch_windows, month_name, news_date, next_session_date
 from tickermood.operators import features, market
-from tickermood.operators.ordinal import article_ordinal
+from tickermood.operators.ordinal import article_ordinal, ranged
 from tickermood.schemas import TARGET, TICKERS
 from tickermood.sources.dictionaries import default_tickers
 from tickermood.sources.local import small_frame
@@ -120,15 +120,14 @@ def test_fetch_windows(spark):
     assert [r["bucket"] for r in found] == [0, 0, 1, 2]
 
 
-@pytest.mark.parametrize("slice_rows", [10, 1_000_000])
-def test_ordinals_of_a_hot_group(spark, slice_rows):
-    """A third of the rows in one group; slices of ten rows number them as one window would."""
+def test_ordinals_of_a_hot_group(spark):
+    """A third of the rows in one group; its ranges number them as one window would."""
     df = spark.range(900).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 50)).alias("symbol"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("date"),
         ((F.col("id") * 7919) % 1000003).alias("doc_id"),
     )
-    found = article_ordinal(df, by=["symbol"], order=["date"], key="doc_id", slice_rows=slice_rows).collect()
+    found = article_ordinal(df, by=["symbol"], order=["date"], key="doc_id").collect()
     groups = {}
     for r in found:
         groups.setdefault(r["symbol"], []).append((r["date"], r["doc_id"], r["ordinal"]))
@@ -166,3 +165,34 @@ def test_small_frames_have_a_known_size(spark):
     df = small_frame(spark, [("a", "b")], TICKERS)
     assert "LocalTableScan" in df._jdf.queryExecution().executedPlan().toString()
     assert small_frame(spark, [], TICKERS).count() == 0
+
+
+def test_ranges_are_even_whatever_the_keys(spark):
+    """One far outlier and a crowd of keys: no range holds much more than its share."""
+    keys = spark.range(20_000).select(F.when(F.col("id") == 0, 10**12).otherwise(F.col("id")).alias("key"))
+    crowd = spark.range(20_000).select((F.lit(10**9) + F.col("id")).alias("key"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ranged(keys.union(crowd), "key").groupBy("_part").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) <= 2 * 10_000
+
+
+def test_no_text_is_shuffled(spark):
+    """Neither the feature table nor the shaping of news sends a text through an exchange."""
+    from tickermood.plans.feature_table import feature_table
+    from tickermood.sources import sample
+    from tickermood.sources.news import shape_news
+    from tickermood.plans.catalog import _raw_news
+
+    sf = "/root/testdata/sf0.001"
+    texts = spark.range(0, 1, 1, 2).select(F.lit("a").alias("symbol"), F.current_date().alias("date"), F.lit("good").alias("article"))
+    table = feature_table(texts, sample.prices(spark, sf), sample.valences(spark), sample.classes(spark))
+    shaped = shape_news(_raw_news(spark, sf), "2024-01-01", key="doc_id")
+    for df in (table, shaped):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        below = [line for line in plan.split("\n") if "RepartitionByExpression" in line]
+        assert not below and "article" not in [c for c in shaped.columns]
+        physical = df._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in physical.split("\n") if "Exchange" in line and ("article" in line or "text" in line)]

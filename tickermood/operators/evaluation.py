@@ -2,6 +2,8 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tickermood.operators.ordinal import ranged
+
 
 def _fit_terms(label, prediction):
     """RMSE and R2 from plain sums, so they need a single pass."""
@@ -21,25 +23,22 @@ def classification_metrics(df: DataFrame, label="label", prediction="prediction"
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.avg(right).alias("accuracy"))
 
 
-def auc(df: DataFrame, label="label", score="score", by=(), slices=1000) -> DataFrame:
+def auc(df: DataFrame, label="label", score="score", by=()) -> DataFrame:
     """Area under the ROC curve: the share of (up, down) pairs ranked rightly.
 
     Ties count half; null without both classes. Rows are first counted per
-    distinct score. The score range is cut into ``slices``, so that no task has
-    to rank all scores: inside a slice by a window, between slices by their sums.
+    distinct score. These counts are dealt out in ranges of equal size, so that no
+    task has to rank all scores of a group: inside a range by a window, between
+    ranges by their sums.
     """
     by = list(by)
-    value = F.col(score).cast("double")
-    span = df.agg(F.struct(F.min(value).alias("low"), (F.max(value) - F.min(value)).alias("width")).alias("s")).scalar()
-    share = F.coalesce(F.try_divide(value - span["low"], span["width"]), F.lit(0.0))
     up, down = F.count_if(F.col(label) == 1).alias("up"), F.count_if(F.col(label) != 1).alias("down")
-    cell = by + ["_slice"]
-    counts = df.withColumn("_slice", F.floor(share * slices)).groupBy(*cell, score).agg(up, down)
-
-    below = F.coalesce(
-        F.sum("down").over(Window.partitionBy(*cell).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    in_slice = (
+    value = F.col(score).cast("double").alias("_score")
+    counts = ranged(df.select(*by, value, label).groupBy(*by, "_score").agg(up, down), *by, "_score")
+    cell = [*by, "_part"]
+    inside = Window.partitionBy(*cell).orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("down").over(inside), F.lit(0))
+    in_part = (
         counts.withColumn("below", below)
         .groupBy(*cell)
         .agg(
@@ -48,8 +47,8 @@ def auc(df: DataFrame, label="label", score="score", by=(), slices=1000) -> Data
             F.sum("down").alias("down"),
         )
     )
-    lower = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = in_slice.withColumn("below", F.coalesce(F.sum("down").over(lower), F.lit(0)))
+    lower = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = in_part.withColumn("below", F.coalesce(F.sum("down").over(lower), F.lit(0)))
     pairs = F.sum(F.col("pairs") + F.col("up") * F.col("below"))
     return ranked.groupBy(*by).agg(
         F.try_divide(pairs, (F.sum("up") * F.sum("down")).cast("double")).alias("auc")

@@ -9,27 +9,40 @@ def _squared_distance(a: Column, b: Column) -> Column:
 
 
 def knn_classify(
-    train: DataFrame, test: DataFrame, features, k=7, label="label", by="symbol", order="date", out="prediction"
+    train: DataFrame, test: DataFrame, features, k=7, label="label", by="symbol", order="date", out="prediction",
+    block_rows=1024,
 ) -> DataFrame:
     """Majority label of the ``k`` nearest train rows of the same symbol.
 
-    Equal distances go to the earlier day, equal votes to the smaller label. Each
-    symbol's train rows, at most one a day, travel as one array to its test rows:
-    pairs are compared inside the row and never become rows. A test row of a
-    symbol without train rows gets null.
+    Equal distances go to the earlier day, equal votes to the smaller label. A symbol's
+    train rows are cut by a hash of their day into shelves of about ``block_rows``.
+    A test row meets the shelves one by one, compares inside the row, and keeps the
+    ``k`` nearest of each; the nearest of those are its neighbours. What a task holds
+    is one shelf, however many train rows a symbol has. A test row of a symbol
+    without train rows gets null.
     """
     point = F.array(*[F.col(c).cast("double") for c in features])
-    shelf = train.groupBy(by).agg(
-        F.collect_list(F.struct(point.alias("x"), F.col(order).alias("day"), F.col(label).alias("y"))).alias("_shelf")
+    blocks = train.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("_blocks"))
+    shelf = (
+        train.select(by, point.alias("x"), F.col(order).alias("day"), F.col(label).alias("y"))
+        .join(blocks, by)
+        .groupBy(by, F.pmod(F.xxhash64("day"), F.col("_blocks")).alias("_block"))
+        .agg(F.collect_list(F.struct("x", "day", "y")).alias("_shelf"))
     )
     distances = F.transform(
-        "_shelf", lambda t: F.struct(_squared_distance(t["x"], F.col("_x")).alias("d"), t["day"], t["y"])
+        "_shelf", lambda t: F.struct(_squared_distance(t["x"], F.col("_x")).alias("d"), t["day"].alias("day"), t["y"].alias("y"))
     )
-    joined = test.withColumn("_x", point).join(shelf, by, "left").withColumn("_near", distances)
-    nearest = F.slice(F.sort_array("_near"), 1, k)
-    votes = joined.withColumn("_votes", F.transform(nearest, lambda n: n["y"]))
+    row = F.struct(*test.columns).alias("_row")
+    # Equal rows are answered once and come back as often as they came.
+    rows = test.groupBy(*test.columns).agg(F.count(F.lit(1)).cast("int").alias("_copies"))
+    near = rows.select(row, by, "_copies", point.alias("_x")).join(shelf, by, "left").select(
+        "_row", "_copies", F.slice(F.sort_array(distances), 1, k).alias("_near")
+    )
+    merged = near.groupBy("_row", "_copies").agg(F.slice(F.sort_array(F.flatten(F.collect_list("_near"))), 1, k).alias("_near"))
+    votes = merged.withColumn("_votes", F.when(F.size("_near") > 0, F.transform("_near", lambda n: n["y"])))
     counted = F.transform(
         F.array_distinct("_votes"),
         lambda y: F.struct((-F.size(F.filter("_votes", lambda v: v == y))).alias("n"), y.alias("y")),
     )
-    return votes.withColumn(out, F.array_min(counted)["y"]).select(*test.columns, out)
+    called = votes.select("_row", F.array_min(counted)["y"].alias(out), F.array_repeat(F.lit(1), F.col("_copies")).alias("_each"))
+    return called.withColumn("_each", F.explode("_each")).select("_row.*", out)

@@ -1,44 +1,44 @@
 """Row numbers for groups of any size."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICE_ROWS = 1_000_000
+from tickermood.session import saved
 
 
-def article_ordinal(
-    df: DataFrame, by, order, key, tie_break=(), out="ordinal", slice_rows=SLICE_ROWS
-) -> DataFrame:
-    """Number the rows of each ``by`` group 1, 2, 3 ... by ``order`` then ``key``.
+def ranged(df: DataFrame, *order, part="_part") -> DataFrame:
+    """``df`` with the number of the equal-frequency range that its row falls into.
+
+    Range partitioning samples the rows for its bounds, so an outlier or a crowded
+    stretch of keys widens no range beyond about its share; equal keys stay together.
+    The numbers are written with the rows: what is computed from them later agrees,
+    whatever is computed again.
+    """
+    return saved(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranged")
+
+
+def earlier_parts(rows: DataFrame, by, value: Column, part="_part", out="_before") -> DataFrame:
+    """``(part, by..., out)``: the sum of ``value`` over the earlier parts of each group."""
+    by = list(by)
+    earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy(part, *by).agg(value.alias("_sum"))
+    return sums.select(part, *by, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias(out))
+
+
+def article_ordinal(df: DataFrame, by, order, key, tie_break=(), out="ordinal") -> DataFrame:
+    """Number the rows of each ``by`` group 1, 2, 3 ... by ``order``, ``key`` and ``tie_break``.
 
     One stock in one fetch window may hold a large part of all articles, so no
-    task sorts a whole group. The numeric ``key`` range is cut into equal slices
-    of about ``slice_rows`` rows, rows are numbered inside a slice, and the
-    number of rows in earlier slices is added. Slices depend on the data alone,
-    so a recomputed task gives the same numbers.
+    task sorts a whole group: the rows are dealt out in ranges of equal size, numbered
+    inside a range, and the rows of a group in earlier ranges are added. All columns of
+    ``df`` travel; give it the narrow ones.
     """
-    by, order, tie_break = list(by), list(order), list(tie_break)
-    position = F.col(key).cast("double")
-    span = df.agg(
-        F.struct(
-            F.min(position).alias("low"),
-            (F.max(position) - F.min(position)).alias("width"),
-            F.ceil(F.count(F.lit(1)) / slice_rows).alias("slices"),
-        ).alias("span")
-    ).scalar()
-    share = F.coalesce(F.try_divide(position - span["low"], span["width"]), F.lit(0.0))
-    # One struct as key: its nulls compare as equal, and the shuffle that the
-    # numbering needs serves the join as well.
-    cell = F.struct(*by, *order, F.floor(share * span["slices"]).alias("_slice"))
-    sliced = df.withColumn("_cell", cell)
-    numbered = sliced.withColumn(
-        "_row", F.row_number().over(Window.partitionBy("_cell").orderBy(key, *tie_break))
-    )
-    inside = lambda names: [f"_cell.{c}" for c in names]
-    earlier = Window.partitionBy(*inside(by)).orderBy(*inside([*order, "_slice"]))
-    before = (
-        sliced.groupBy("_cell")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .select("_cell", "_before")
-    )
-    return numbered.join(before, "_cell").select(*df.columns, (F.col("_before") + F.col("_row")).alias(out))
+    by = list(by)
+    columns = [F.col(c) if isinstance(c, str) else c for c in (*by, *order, key, *tie_break)]
+    rows = ranged(df, *columns)
+    inside = Window.partitionBy("_part", *by).orderBy(*order, key, *tie_break)
+    before = earlier_parts(rows, by, F.count(F.lit(1)))
+    # A struct as key: its nulls compare as equal.
+    cell = F.struct("_part", *by).alias("_cell")
+    numbered = rows.withColumn("_row", F.row_number().over(inside)).withColumn("_cell", cell)
+    met = numbered.join(before.select(cell, "_before"), "_cell")
+    return met.select(*df.columns, (F.col("_before") + F.col("_row")).alias(out))

@@ -1,15 +1,37 @@
-"""Scalers as aggregates joined back to their rows."""
+"""Scalers as aggregates looked up by their rows."""
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+SLOTS = 256
+
+
+def _by_group(df: DataFrame, stats: dict[str, Column], keys) -> Column:
+    """The statistics of a row's group, looked up in a one-row result.
+
+    The groups (symbols) are aggregated to an array of small maps by hash, which a
+    scalar subquery hands to every task: the rows themselves are not shuffled, so a
+    group of any size is fine. Groups are few by contract; their number is what
+    travels.
+    """
+    key = F.struct(*keys)
+    slot = F.pmod(F.hash(*keys), F.lit(SLOTS))
+    # A row without a key has no group; map keys may hold nulls inside a struct.
+    grouped = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    maps = grouped.groupBy(slot.alias("slot")).agg(
+        F.map_from_entries(F.collect_list(F.struct(key.alias("k"), F.struct(*stats).alias("s")))).alias("m")
+    )
+    by_slot = maps.agg(F.map_from_entries(F.collect_list(F.struct("slot", "m"))).alias("by_slot"))
+    array = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda s: F.try_element_at("by_slot", s))
+    return F.try_element_at(F.get(by_slot.select(array.alias("slots")).scalar(), slot), key)
+
+
 def _with_stats(df: DataFrame, stats: dict[str, Column], by, per_day: bool) -> DataFrame:
     """Add one statistic per ``by`` group (or of the whole frame) to every row.
 
-    By default the statistics are a grouped aggregate joined back: its partial
-    sums are made map-side, so a group of any size is fine. It reads ``df`` twice.
-    ``per_day`` is for frames with one row per symbol and day, where a group is
-    bounded by the calendar: a window then does it in one pass.
+    The statistics are a grouped aggregate whose partial sums are made map-side.
+    It reads ``df`` twice. ``per_day`` is for frames with one row per symbol and day,
+    where a group is bounded by the calendar: a window then does it in one pass.
     """
     if by is None:
         row = df.agg(F.struct(*[c.alias(n) for n, c in stats.items()]).alias("s")).scalar()
@@ -18,22 +40,24 @@ def _with_stats(df: DataFrame, stats: dict[str, Column], by, per_day: bool) -> D
     if per_day:
         group = Window.partitionBy(*keys)
         return df.withColumns({n: c.over(group) for n, c in stats.items()})
-    grouped = df.groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
-    return df.join(grouped, keys, "left")
+    found = df.withColumn("_stats", _by_group(df, stats, keys))
+    return found.withColumns({n: F.col("_stats")[n] for n in stats}).drop("_stats")
 
 
 def _fitted(col: str, fit_on) -> Column:
     return F.col(col) if fit_on is None else F.when(fit_on, F.col(col))
 
 
-def scale(df: DataFrame, col: str, center: bool, by=None, fit_on=None, out=None, per_day=False) -> DataFrame:
-    """Divide by the sample standard deviation, after centring if ``center``.
+def scale(
+    df: DataFrame, col: str, center: bool, by=None, fit_on=None, out=None, per_day=False, ddof=1
+) -> DataFrame:
+    """Divide by the standard deviation, after centring if ``center``.
 
-    ``fit_on`` is a condition on the rows to fit on, such as the train split. A
+    ``ddof`` is 1 for the deviation of a sample, 0 for that of a population. ``fit_on`` is a condition on the rows to fit on, such as the train split. A
     column without spread becomes 0.
     """
     x = _fitted(col, fit_on)
-    stats = {"_std": F.stddev_samp(x)}
+    stats = {"_std": {0: F.stddev_pop, 1: F.stddev_samp}[ddof](x)}
     if center:
         stats["_mean"] = F.avg(x)
     joined = _with_stats(df, stats, by, per_day)

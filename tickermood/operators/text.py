@@ -57,8 +57,12 @@ def ngrams(df: DataFrame, text_col="article", id_col="doc_id", max_n=4) -> DataF
 
 
 def explode_sentences(df: DataFrame, sentence_col="sentences", embedding_col="embeddings", keep=("doc_id",)) -> DataFrame:
-    """One row per sentence with its embedding, from two arrays of equal order."""
-    pairs = F.arrays_zip(F.col(sentence_col).alias("sentence"), F.col(embedding_col).alias("embedding"))
+    """One row per sentence with its embedding, from two arrays of equal order.
+
+    A row without embeddings keeps its sentences.
+    """
+    listed = F.coalesce(F.col(embedding_col), F.array())
+    pairs = F.arrays_zip(F.col(sentence_col).alias("sentence"), listed.alias("embedding"))
     return each(df, keep, pairs, "sent_id", "pair").select(
         *keep, "sent_id", F.col("pair.sentence").alias("sentence"), F.col("pair.embedding").alias("embedding")
     )

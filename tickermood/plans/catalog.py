@@ -5,17 +5,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickermood.functions.columns import direction, feature_columns, first_element, label_direction, trend_label
 from tickermood.functions.dates import assign_window, fetch_windows, month_name, news_date, next_session_date
-from tickermood.functions.text import sentence_array
+from tickermood.functions.text import sentence_array, word_array
 from tickermood.operators import evaluation, features, market, neighbours, scaling, sentiment, splits, stats, text
 from tickermood.operators.ordinal import article_ordinal
 from tickermood.plans import inference, training
 from tickermood.plans.feature_table import daily_scores, feature_table, scale_daily, score_articles
-from tickermood.schemas import MARKET_COLUMNS, SENTIMENT_COLUMNS, TARGET
-from tickermood.session import materialize, scratch_path
+from tickermood.schemas import FEATURES, MARKET_COLUMNS, SENTIMENT_COLUMNS, TARGET
+from tickermood.session import materialize, saved, scratch_path
 from tickermood.sources import sample
 from tickermood.sources import news as news_files
 from tickermood.sources import tables
-from tickermood.sources.dictionaries import default_wordlist
+from tickermood.sources.dictionaries import default_wordlist, read_lemmas, read_lexicon, read_valences
 from tickermood.streaming import news as streaming
 
 QUERIES = {}
@@ -129,7 +129,7 @@ def news_shape(spark, sf):
     shaped = news_files.shape_news(_raw_news(spark, sf), sample.FIRST_DAY, key="doc_id")
     return shaped.select(
         "doc_id", "symbol", "publisher", "publisher_url", "date", "bucket", "window_start", "window_end",
-        "ordinal", "file_name", F.length("article").alias("n_chars"),
+        "ordinal", "file_name", "n_chars",
     )
 
 
@@ -197,11 +197,12 @@ def article_sentences(spark, sf):
 
 @query
 def explode_embeddings(spark, sf):
-    """Sentences zipped with the four quarters of the document's vector."""
+    """Sentences of every document zipped with the four quarters of its vector, if it has one."""
     vectors = sample.table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     quarters = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.slice("embedding", i * 16 + 1, 16))
-    rows = sample.news(spark, sf).join(vectors, "doc_id").select(
-        "doc_id", sentence_array("article").alias("sentences"), quarters.alias("embeddings")
+    rows = sample.news(spark, sf).join(vectors, "doc_id", "left").select(
+        "doc_id", sentence_array("article").alias("sentences"),
+        F.when(F.col("embedding").isNotNull(), quarters).alias("embeddings"),
     )
     return text.explode_sentences(rows).select(
         "doc_id", "sent_id", F.length("sentence").alias("n_chars"),
@@ -264,14 +265,14 @@ def scaled_sentiment(spark, sf):
 
 @query
 def minmax_sentiment(spark, sf):
-    valued = materialize(_valued(spark, sf).drop("article"))
+    valued = saved(_valued(spark, sf).drop("article"), "valued")
     rows = scaling.minmax(valued, "afinn_sentiment", by="symbol", out="minmax")
     return rounded(rows.select("doc_id", "minmax"))
 
 
 @query
 def div_to_max(spark, sf):
-    valued = materialize(_valued(spark, sf).drop("article"))
+    valued = saved(_valued(spark, sf).drop("article"), "valued")
     rows = scaling.div_to_max(valued, "afinn_sentiment", by="symbol", out="share")
     return rounded(rows.select("doc_id", "share"))
 
@@ -279,9 +280,9 @@ def div_to_max(spark, sf):
 @query
 def article_scaling_daily_sum(spark, sf):
     """Three article-level scalings over the whole table, summed per day."""
-    valued = materialize(_valued(spark, sf).drop("article"))
+    valued = saved(_valued(spark, sf).drop("article"), "valued")
     rows = scaling.minmax(valued, "afinn_sentiment", out="min_max_afinn")
-    rows = scaling.scale(rows, "afinn_sentiment", center=True, out="std_afinn")
+    rows = scaling.scale(rows, "afinn_sentiment", center=True, out="std_afinn", ddof=0)
     rows = scaling.div_to_max(rows, "afinn_sentiment", out="div_to_max")
     sums = [F.sum(c).alias(c) for c in ("afinn_sentiment", "min_max_afinn", "std_afinn", "div_to_max")]
     return rounded(rows.groupBy("date").agg(*sums), 3)
@@ -617,41 +618,144 @@ def predict_trend(spark, sf):
 
 # --- streams ----------------------------------------------------------------
 
+# The landed articles come in at least this many triggers.
+LANDED_FILES = 6
 
-def _news_stream(spark, sf, as_news):
-    """The document table read as a stream of files."""
-    schema = sample.table(spark, sf, "documents").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet")
-    return as_news(files.parquet(str(sf)))
+
+def _landed_stream(spark, sf, news):
+    """Articles landed as JSON in a folder per symbol, then read as they come, a file a trigger."""
+    landing = scratch_path(spark, "landing")
+    flat = news.select(
+        F.concat(F.lit("Article "), "doc_id").alias("title"), F.lit(None).cast("string").alias("description"),
+        _published().alias("published date"), F.concat(F.lit("https://example.org/"), "doc_id").alias("url"),
+        F.lit("p").alias("publisher"), F.lit("u").alias("publisher_url"), "article", "symbol",
+    )
+    parts = flat.withColumn("part", F.pmod(F.xxhash64("url"), F.lit(LANDED_FILES)))
+    parts.repartition(LANDED_FILES, "part").drop("part").write.partitionBy("symbol").json(landing)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing).select("path").count()
+    rows = streaming.stream_news(spark, f"{landing}/*", files_per_trigger=max(1, files // LANDED_FILES))
+    return rows.withColumn("symbol", F.regexp_replace("symbol", "^symbol=", ""))
 
 
 @query
 def stream_daily_sentiment(spark, sf):
-    """Daily means kept up to date by a stream, read back at its end.
+    """Daily means kept up to date over several triggers of landed files, read back at the end.
 
     The documents lie in no order of time, so the watermark spans all their days.
     """
     daily = streaming.stream_daily_sentiment(
-        _news_stream(spark, sf, sample.as_news), sample.valences(spark), sample.classes(spark), watermark="31 days"
+        _landed_stream(spark, sf, sample.news(spark, sf)), sample.valences(spark), sample.classes(spark), watermark="31 days"
     )
     path = scratch_path(spark, "daily")
-    streaming.write_updates(daily, path, scratch_path(spark, "offsets"), available_now=True).awaitTermination()
+    job = streaming.write_updates(daily, path, scratch_path(spark, "offsets"), available_now=True)
+    job.awaitTermination()
     return rounded(streaming.read_updates(spark, path))
 
 
 @query
 def stream_trend(spark, sf):
-    """Trends of a saved model, batch by batch of the stream."""
-    segments = lambda rows: sample.as_news(rows, sample.SEGMENT_SYMBOLS, sample.SEGMENT_FIRST_DAY, 730)
+    """Calls of a saved model, kept up to date over several triggers."""
     lexicons = (sample.valences(spark), sample.classes(spark))
     history = materialize(sentiment.daily_sentiment(score_articles(sample.segment_news(spark, sf), *lexicons)))
-    model = _trend_model(spark, scale_daily(history), _segment_changes(spark, sf), emotion=True)
+    changes = saved(_segment_changes(spark, sf), "changes")
+    model = _trend_model(spark, scale_daily(history), changes, emotion=True)
     deviation = history.groupBy("symbol").agg(F.stddev_samp("afinn_sentiment_mean").alias("deviation"))
-    daily = streaming.stream_daily_sentiment(_news_stream(spark, sf, segments), *lexicons, watermark="731 days")
+    stream = _landed_stream(spark, sf, sample.segment_news(spark, sf))
+    daily = streaming.stream_daily_sentiment(stream, *lexicons, watermark="731 days")
     path = scratch_path(spark, "trend")
     job = streaming.stream_trend(
-        daily, _segment_changes(spark, sf), model, True, path, scratch_path(spark, "offsets"),
-        materialize(deviation), available_now=True,
+        daily, changes, model, True, path, scratch_path(spark, "offsets"), materialize(deviation), available_now=True
     )
     job.awaitTermination()
-    return spark.read.parquet(path).drop("batch_id")
+    return streaming.read_trends(spark, path)
+
+
+@query
+def stream_trend_days(spark, sf):
+    """The day each symbol's streamed call is for, which no model decides."""
+    return stream_trend(spark, sf).select("symbol", "date", "next_session", "month", "sentiment")
+
+
+# --- dictionaries from files and of large size ------------------------------
+
+# Words of up to this many letters make several thousand terms at every scale.
+LARGE_LETTERS = 6
+
+
+def _corpus_words(spark, sf):
+    """The short words of the documents, each with a number from its letters."""
+    words = sample.documents(spark, sf).select(F.explode(F.array_distinct(word_array("text"))).alias("term")).distinct()
+    short = words.where(F.length("term") <= LARGE_LETTERS)
+    return short.withColumn("number", F.ascii(F.substring("term", -1, 1)) - 96 + F.length("term"))
+
+
+@query
+def valence_score_large(spark, sf):
+    """Valences of thousands of words, written as a file and loaded from it."""
+    path = scratch_path(spark, "valences")
+    lines = _corpus_words(spark, sf).select(F.concat("term", F.lit("\t"), (F.col("number") % 11 - 5).cast("string")))
+    lines.union(spark.createDataFrame([("",), ("no valence",), ("bad\tnumber",)], "line string")).write.text(path)
+    rows = sentiment.valence_score(sample.news(spark, sf), read_valences(spark, path))
+    return rows.select("doc_id", "afinn_sentiment")
+
+
+def _large_classes(spark, sf):
+    names = F.array(*[F.lit(c) for c in ("positive", "negative", "increment", "decrement", "revert")])
+    kind = F.get(names, (F.col("number") % 5).cast("int"))
+    return _corpus_words(spark, sf).select("term", kind.alias("class"))
+
+
+@query
+def dictionary_sentiment_large(spark, sf):
+    """A class dictionary of thousands of words, written as a file and loaded from it."""
+    path = scratch_path(spark, "classes")
+    _large_classes(spark, sf).select(F.concat_ws(",", "term", "class")).write.text(path)
+    rows = sentiment.dictionary_sentiment(sample.news(spark, sf), read_lexicon(spark, path))
+    return rows.select("doc_id", "sentiment_score", F.array_join("sentiment", ",").alias("sentiment"))
+
+
+@query
+def wordlist_large(spark, sf):
+    rows = sentiment.wordlist_polarity(sample.news(spark, sf), _large_classes(spark, sf))
+    return rounded(rows.select("doc_id", "sentiment_score"))
+
+
+@query
+def lemmas_large(spark, sf):
+    """Lemmas of thousands of forms, loaded from a file that lists some forms twice."""
+    path = scratch_path(spark, "lemmas")
+    forms = _corpus_words(spark, sf).select(
+        F.concat(F.substring("term", 1, 3), F.lit("->"), "term", F.lit("\t"), F.upper("term")).alias("line")
+    )
+    forms.union(spark.createDataFrame([("",), ("zzz->the",), ("alone",)], "line string")).write.text(path)
+    rows = text.lemmatize(text.tokens(sample.news(spark, sf)), read_lemmas(spark, path))
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+
+
+@query
+def article_files(spark, sf):
+    """Articles landed as JSON and scanned by symbol folder, as a whole and per day."""
+    landing = scratch_path(spark, "articles")
+    news_files.land_news(news_files.flatten_news(_raw_news(spark, sf)), landing)
+    rows = news_files.read_news(spark, f"{landing}/*").withColumn("date", news_date("`published date`"))
+    symbol = F.regexp_replace("symbol", "^symbol=", "").alias("symbol")
+    return rows.groupBy(symbol, "date").agg(
+        F.count("article").alias("articles"), F.sum(F.length("article")).alias("n_chars"), F.min("title").alias("first_title")
+    )
+
+
+@query
+def header_files(spark, sf):
+    """Feature rows written as CSV with a header and read back by position."""
+    path = scratch_path(spark, "header")
+    rows = _features(spark, sf).select(*[f.name for f in FEATURES.fields])
+    rows.write.option("header", True).csv(path)
+    return rounded(tables.read_features(spark, path, header=True).drop("symbol"))
+
+
+@query
+def title_score(spark, sf):
+    """Scores of another column than the article."""
+    rows = sample.news(spark, sf).withColumn("title", F.substring("article", 1, 200)).drop("article")
+    scored = score_articles(rows, sample.valences(spark), sample.classes(spark), text_col="title")
+    return scored.select("doc_id", "afinn_sentiment", "pnn_sentiment")

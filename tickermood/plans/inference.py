@@ -12,13 +12,12 @@ def latest_prediction(predictions: DataFrame) -> DataFrame:
     return latest_row(predictions.select("symbol", "date", "prediction"))
 
 
-def predict_trend(features: DataFrame, model: PipelineModel, emotion: bool, weekends=False) -> DataFrame:
-    """Bullish or bearish for the session after each symbol's latest day.
+def call_rows(features: DataFrame, model: PipelineModel, emotion: bool, weekends=False) -> DataFrame:
+    """Bullish or bearish for the session after each row's day.
 
-    ``emotion`` tells whether the model reads sentiment. Only the latest row of a
-    symbol is scored.
+    ``emotion`` tells whether the model reads sentiment.
     """
-    scored = model.transform(latest_row(features))
+    scored = model.transform(features)
     session = next_session_date("date", weekends)
     return scored.select(
         "symbol",
@@ -31,10 +30,15 @@ def predict_trend(features: DataFrame, model: PipelineModel, emotion: bool, week
     )
 
 
+def predict_trend(features: DataFrame, model: PipelineModel, emotion: bool, weekends=False) -> DataFrame:
+    """The call after each symbol's latest day; only that row is scored."""
+    return call_rows(latest_row(features), model, emotion, weekends)
+
+
 def trend_text(trends: DataFrame) -> DataFrame:
     """One sentence per call."""
     text = F.format_string(
-        "%s sentiment scores the model predicts a %s market for %s for %d of %s",
-        F.initcap("sentiment"), F.col("trend"), F.col("symbol"), F.col("day"), F.col("month"),
+        "%s, session of %s %d: %s (model %s news sentiment)",
+        F.col("symbol"), F.col("month"), F.col("day"), F.col("trend"), F.col("sentiment"),
     )
     return trends.select("symbol", "sentiment", text.alias("text"))

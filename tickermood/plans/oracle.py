@@ -19,6 +19,17 @@ def _values(rows) -> str:
 PARTS = {
     "lexicon": f"lexicon(term, valence, class) as (values {_values(SAMPLE_LEXICON)})",
     "lemma": f"lemma(form, lemma) as (values {_values(SAMPLE_LEMMAS)})",
+    "corpuswords": """corpuswords as (
+        select term, ascii(right(term, 1)) - 96 + length(term) as number
+        from (select distinct unnest(regexp_extract_all(lower(text), '[a-z]+')) as term from documents) w
+        where length(term) <= 6)""",
+    "largelexicon": """lexicon as (
+        select term, number % 11 - 5 as valence,
+               ['positive', 'negative', 'increment', 'decrement', 'revert'][number % 5 + 1] as class
+        from corpuswords)""",
+    "largelemma": """lemma as (select term as form, substr(term, 1, 3) as lemma from corpuswords)""",
+    "largewordlist": """wordlist as (
+        select term as word, case number % 5 when 0 then 'p' else 'n' end as class from corpuswords where number % 5 < 2)""",
     "ticker": f"ticker(company, ticker) as (values {_values(SAMPLE_TICKERS)})",
     "wordlist": "wordlist(word, class) as (values "
     + _values(
@@ -264,7 +275,7 @@ ORACLE = {
         """, quarters as (
             select vec_id as doc_id, cast(g as int) as sent_id, embedding[g * 16 + 1] as first_value
             from embeddings, unnest(range(0, 4)) as r(g) where vec_id in (select doc_id from news)),
-        kept as (select * from sents where doc_id in (select vec_id from embeddings))
+        kept as (select * from sents)
         select coalesce(k.doc_id, q.doc_id) as doc_id, coalesce(k.sent_id, q.sent_id) as sent_id,
             length(sentence) as n_chars, round(cast(first_value as double), 4) as first_value
         from kept k full join quarters q on k.doc_id = q.doc_id and k.sent_id = q.sent_id""",
@@ -328,7 +339,7 @@ ORACLE = {
         "news lexicon valued",
         """, fit as (
             select min(afinn_sentiment) as lo, max(afinn_sentiment) as hi, avg(afinn_sentiment) as mean,
-                   stddev_samp(afinn_sentiment) as std from valued)
+                   stddev_pop(afinn_sentiment) as std from valued)
         select date, round(sum(afinn_sentiment), 3) as afinn_sentiment,
             round(sum((afinn_sentiment - lo) / (hi - lo) * 2 - 1), 3) as min_max_afinn,
             round(sum((afinn_sentiment - mean) / std), 3) as std_afinn,
@@ -483,3 +494,31 @@ ORACLE["sample_arrays"] = _sql(
         round(case feature when 0 then price_percent_change else volume_percent_change end, 4) as value
     from known cross join (values (0), (1)) f(feature)""",
 )
+
+ORACLE["valence_score_large"] = _sql("news corpuswords largelexicon valued", "select doc_id, afinn_sentiment from valued")
+ORACLE["dictionary_sentiment_large"] = _sql(
+    "news corpuswords largelexicon sents toks hits sentscores dictscores",
+    f"select doc_id, sentiment_score, {_LABEL} as sentiment from dictscores",
+)
+ORACLE["wordlist_large"] = ORACLE["wordlist_polarity"].replace(PARTS["wordlist"], f"{PARTS['corpuswords']}, {PARTS['largewordlist']}")
+ORACLE["lemmas_large"] = ORACLE["lemmas"].replace(PARTS["lemma"], f"{PARTS['corpuswords']}, {PARTS['largelemma']}")
+ORACLE["article_files"] = _sql(
+    "news",
+    """select symbol, date, count(article) as articles, cast(sum(length(article)) as bigint) as n_chars,
+        min('Article ' || doc_id) as first_title from news group by 1, 2""",
+)
+ORACLE["header_files"] = _sql(_FEATURES, f"{_ROUNDED_FEATURES} from features").replace("select symbol, date, round", "select date, round")
+_TITLES = PARTS["news"].replace("text as article", "substr(text, 1, 200) as article")
+ORACLE["title_score"] = _sql(
+    "news lexicon sents toks hits sentscores dictscores valued",
+    """select v.doc_id, v.afinn_sentiment, cast(sign(sentiment_score) as int) as pnn_sentiment
+    from valued v join dictscores d on v.doc_id = d.doc_id""",
+).replace(PARTS["news"], _TITLES)
+# The stream's last call of a symbol is for its latest day with a price change and articles.
+ORACLE["stream_trend_days"] = _sql(
+    "segprices changes segnews",
+    f"""select symbol, date, cast({_session('date')} as date) as next_session,
+        strftime(cast({_session('date')} as date), '%B') as month, 'with' as sentiment
+    from (select symbol, max(date) as date from news join changes using (symbol, date)
+          where price_percent_change is not null and volume_percent_change is not null group by 1) d""",
+)

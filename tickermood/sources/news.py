@@ -46,15 +46,17 @@ def flatten_news(raw: DataFrame, keep=()) -> DataFrame:
 
 
 def shape_news(raw: DataFrame, origin, day_range=2, key=None) -> DataFrame:
-    """Landing rows with fetch window, article number in it and file name.
+    """Fetch window, article number in it and file name of every search result.
 
     ``origin`` is the first day ever fetched. Articles of a window are numbered by
     day, then by the numeric column ``key`` if there is one and else by a hash of
     the address: the order of a search result is not data. Rows whose publication
-    text holds no date keep null in those columns. Numbering shuffles the rows;
-    to land articles alone ``flatten_news`` is enough.
+    text holds no date keep null in those columns. The rows that are numbered hold the
+    length of the article and not its text, so no text is shuffled; ``land_news``
+    writes the texts as ``flatten_news`` gives them.
     """
-    flat = flatten_news(raw, keep=[F.xxhash64("url", "title").alias("_key") if key is None else key])
+    named = F.xxhash64("url", "title").alias("_key") if key is None else key
+    flat = flatten_news(raw, keep=[named]).withColumn("n_chars", F.length("article")).drop("article", "description")
     windowed = assign_window(flat, "date", F.lit(origin).cast("date"), day_range)
     numbered = article_ordinal(
         windowed, by=["symbol", "bucket"], order=["date"], key=key or "_key", tie_break=["url", "title"]

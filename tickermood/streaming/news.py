@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickermood.functions.dates import news_date
 from tickermood.operators.features import join_features
 from tickermood.plans.feature_table import score_articles
-from tickermood.plans.inference import predict_trend
+from tickermood.plans.inference import call_rows
 from tickermood.schemas import NEWS
+from tickermood.session import saved
 from tickermood.sources.news import clean_news, folder_name
 
 
@@ -55,24 +56,50 @@ def read_updates(spark: SparkSession, path) -> DataFrame:
     return rows.groupBy("symbol", "date").agg(newest).select("symbol", "date", "newest.*")
 
 
+def compact_updates(spark: SparkSession, path, upto: int) -> None:
+    """Put the newest state of the batches up to ``upto`` into that batch's folder.
+
+    Run it between queries: the folders before ``upto`` may then be dropped by the
+    retention rule of the storage, and ``read_updates`` gives the same rows.
+    """
+    rows = spark.read.parquet(path).where(F.col("batch_id") <= upto)
+    state = F.max_by(F.struct("afinn_sentiment_mean", "pnn_sentiment"), "batch_id").alias("newest")
+    newest = saved(rows.groupBy("symbol", "date").agg(state).select("symbol", "date", "newest.*"), "compacted")
+    newest.write.mode("overwrite").parquet(f"{path}/batch_id={upto}")
+
+
 def stream_trend(
     daily: DataFrame, prices: DataFrame, model: PipelineModel, emotion: bool, path, checkpoint,
     deviation: DataFrame, available_now=False,
 ):
-    """Score each batch of changed days with a saved model and write its trends.
-
-    Lag and lead do not run on streams, so ``prices`` are finished price features.
-    ``deviation`` holds each symbol's (symbol, deviation) by which the valence
-    mean was scaled in training.
+    """Keep the call of a saved model for each symbol that a batch touches.
+
+    Lag and lead do not run on streams, so ``prices`` are finished price features; hand
+    over a written table, since every batch reads it. ``deviation`` holds each symbol's
+    (symbol, deviation) by which the valence mean was scaled in training. A symbol
+    without one is new since then: its call is null instead of missing. Each batch
+    writes the state of its days; ``read_trends`` calls on the latest day of a symbol
+    over all batches, so an update of an earlier day brings no stale call.
     """
+    columns = ["symbol", "date", "next_session", "day", "month", "sentiment", "trend"]
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        scaled = batch.join(deviation, "symbol").withColumn(
+        known = batch.join(deviation.withColumn("known", F.lit(True)), "symbol", "left").withColumn(
             "afinn_sentiment", F.coalesce(F.try_divide("afinn_sentiment_mean", "deviation"), F.lit(0.0))
         )
-        scores = scaled.select("symbol", "date", "afinn_sentiment", "pnn_sentiment")
-        rows = join_features(scores, prices, inference=True)
-        predict_trend(rows, model, emotion).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        scores = known.select("symbol", "date", "afinn_sentiment", "pnn_sentiment", "known")
+        joined = join_features(scores, prices, inference=True)
+        called = call_rows(joined, model, emotion).join(scores.select("symbol", "date", "known"), ["symbol", "date"])
+        called = called.withColumn("trend", F.when(F.col("known"), F.col("trend")))
+        called.select(*columns).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = daily.writeStream.outputMode("update").foreachBatch(score).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_trends(spark: SparkSession, path) -> DataFrame:
+    """One call per symbol: that of its latest day, in the newest state of that day."""
+    rows = spark.read.parquet(path)
+    columns = [c for c in rows.columns if c not in ("symbol", "batch_id")]
+    newest = F.max_by(F.struct(*columns), F.struct("date", "batch_id")).alias("newest")
+    return rows.groupBy("symbol").agg(newest).select("symbol", "newest.*")
