@@ -91,7 +91,7 @@ def test_trend(spark, features):
     assert [r["trend"] for r in found] == ["bullish" if last[s] > 0 else "bearish" for s in ("A", "B")]
     assert found[0]["date"] == dt.date(2024, 4, 29) and found[0]["next_session"] == dt.date(2024, 4, 30)
     texts = rows(inference.trend_text(trends), "symbol")
-    assert texts[0]["text"].startswith("With sentiment scores the model predicts a b") and texts[0]["text"].endswith("for 30 of April")
+    assert texts[0]["text"] == f"A, session of April 30: {found[0]['trend']} (model with news sentiment)"
 
 
 @pytest.mark.parametrize("name", ["training_histories", "sequence_regressor", "predict_trend", "forest"])

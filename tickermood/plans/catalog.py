@@ -1,6 +1,9 @@
 """Every operator as a query over the sample tables: (spark, sf_dir) -> DataFrame."""
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from tickermood.functions.columns import direction, feature_columns, first_element, label_direction, trend_label
@@ -568,26 +571,98 @@ def sequence_mlp(spark, sf):
 
 @query
 def experiment_grid(spark, sf):
-    return training.run_experiments(
-        _segment_features(spark, sf), ["BUILDING", "MACHINERY"], ("LinearRegression", "SVM", "RandomForest")
+    """Every model for every segment, without and with sentiment."""
+    return training.run_experiments(_segment_features(spark, sf), sample.SEGMENT_SYMBOLS)
+
+
+@query
+def experiment_rows(spark, sf):
+    """Test rows of the grid by their label; the fits are the cheap ones."""
+    predictions = training.experiment_predictions(
+        _segment_features(spark, sf), sample.SEGMENT_SYMBOLS, ("LinearRegression", "LogisticRegression")
+    )
+    up = F.count_if(F.col("label") > 0).alias("ups")
+    return predictions.groupBy("model", "stock", "emotion").agg(F.count("prediction").alias("rows"), up)
+
+
+def _moments(predictions, fitted):
+    """Mean of each input times the fitted value, over train rows.
+
+    A least-squares or maximum-likelihood fit has the same moments as the label itself,
+    and no other coefficients have; so SQL can tell whether the fit is the optimum.
+    """
+    train = predictions.filter("split = 'train'")
+    inputs = [F.lit(1.0).alias("one"), *[F.col(c).alias(c) for c in feature_columns(True)]]
+    rows = train.select(fitted.alias("fitted"), *inputs)
+    cells = F.array(*[
+        F.struct(F.lit(c).alias("input"), F.avg(F.col(c) * F.col("fitted")).alias("moment"))
+        for c in ["one", *feature_columns(True)]
+    ])
+    return rounded(rows.agg(cells.alias("cells")).select(F.inline("cells")), 2)
+
+
+@query
+def linear_moments(spark, sf):
+    """The linear model, saved and loaded, against its normal equations."""
+    parts = training.labelled(materialize(splits.chrono_split(_segment_features(spark, sf))), None)
+    path = scratch_path(spark, "model")
+    tables.save_model(training.fit_linear(parts.filter("split = 'train'"), True), path)
+    return _moments(tables.load_model(path).transform(parts), F.col("prediction"))
+
+
+@query
+def logistic_moments(spark, sf):
+    """The logistic model against its likelihood equations."""
+    parts = training.labelled(materialize(splits.chrono_split(_segment_features(spark, sf))), "gt0")
+    model = training.fit_logistic(parts.filter("split = 'train'"), True, maxIter=500, tol=1e-9)
+    return _moments(model.transform(parts), vector_to_array("probability")[1])
+
+
+@query
+def sequence_moments(spark, sf):
+    """The sequence regressor against its normal equations, input by input."""
+    samples = _sequence_parts(spark, sf).withColumn("label", F.col("target"))
+    train = samples.filter("split = 'train'")
+    fitted = training.fit_sequence_regressor(train, solver="normal").transform(train)
+    cells = fitted.select("prediction", F.posexplode(F.flatten("seq")).alias("input", "value"))
+    return rounded(cells.groupBy("input").agg(F.avg(F.col("prediction") * F.col("value")).alias("moment")), 2)
+
+
+@query
+def classifier_checks(spark, sf):
+    """Row and label counts of both splits, and whether a fit beats the larger class on its train rows."""
+    parts = training.labelled(materialize(splits.chrono_split(_segment_features(spark, sf))), "gt0")
+    found = []
+    for name, params in (("SVM", {}), ("RandomForest", {}), ("GradientBoosting", {"maxIter": 10})):
+        model = training.MODELS[name][0](parts.filter("split = 'train'"), True, **params)
+        found.append(training.predict(model, parts, keep=["split"]).withColumn("model", F.lit(name)))
+    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    share = F.avg("label")
+    learns = F.when(F.col("split") == "train", F.col("accuracy") >= F.greatest(F.col("share"), 1 - F.col("share")))
+    counted = reduce(DataFrame.unionByName, found).groupBy("model", "split").agg(
+        F.count("prediction").alias("rows"), F.sum("label").cast("long").alias("ups"), right.alias("accuracy"), share.alias("share")
     )
+    return counted.select("model", "split", "rows", "ups", learns.alias("learns"))
 
 
 @query
 def training_histories(spark, sf):
-    """Losses of the sequence classifier per choice of inputs, written and read back."""
+    """Losses of the sequence classifier per choice of inputs, on train and validation rows, written and read back."""
     features_ = materialize(_segment_features(spark, sf))
     path = scratch_path(spark, "histories")
     for emotion in (False, True):
-        samples = training.sequence_samples(features_, emotion)
-        samples = samples.withColumn("label", direction("target", "ge0").cast("double"))
-        inputs = 10 * len(feature_columns(emotion))
-        model = training.fit_sequence_classifier(samples.filter("split = 'train'"), inputs, maxIter=20)
-        accuracy = evaluation.classification_metrics(model.transform(samples.filter("split = 'test'")))
+        samples = training.sequence_samples(features_, emotion, fractions=(0.9, 0.9))
+        samples = materialize(samples.withColumn("label", direction("target", "ge0").cast("double")))
+        parts = {name: samples.filter(F.col("split") == name) for name in ("train", "valid", "test")}
+        model, losses, valid_losses = training.fit_with_history(
+            parts["train"], parts["valid"], 10 * len(feature_columns(emotion))
+        )
+        accuracy = evaluation.classification_metrics(model.transform(parts["test"]))
         tables.write_histories(
             accuracy.select(
                 F.lit(f"segments_emotion_{emotion}").alias("name"),
-                F.array(*[F.lit(x) for x in training.training_history(model)]).alias("loss"),
+                F.array(*[F.lit(x) for x in losses]).alias("loss"),
+                F.array(*[F.lit(x) for x in valid_losses]).alias("val_loss"),
                 F.col("accuracy").alias("test_accuracy"),
             ),
             path,
@@ -595,6 +670,14 @@ def training_histories(spark, sf):
     return tables.read_histories(spark, path)
 
 
+@query
+def history_files(spark, sf):
+    """What the history files hold, as far as it needs no model: names, metric, numbers of rounds."""
+    rows = training_histories(spark, sf)
+    falls = F.element_at("loss", -1) <= F.element_at("loss", 1)
+    return rows.select("name", "metric", F.size("val_loss").alias("rounds"), falls.alias("loss_falls"))
+
+
 def _trend_model(spark, scores, changes, emotion):
     """Fit on the train rows, save, load."""
     rows = materialize(splits.chrono_split(features.join_features(scores, changes)))

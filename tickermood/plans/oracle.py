@@ -522,3 +522,44 @@ ORACLE["stream_trend_days"] = _sql(
     from (select symbol, max(date) as date from news join changes using (symbol, date)
           where price_percent_change is not null and volume_percent_change is not null group by 1) d""",
 )
+
+# The split of the segment features, as the models see it.
+PARTS["fsplit"] = """fnumbered as (
+        select *, row_number() over (partition by symbol order by date) as rn, count(*) over (partition by symbol) as total
+        from features),
+    parts as (select *, case when rn <= floor(total * 0.8::double) then 'train' else 'test' end as split from fnumbered)"""
+_INPUTS = ["afinn_sentiment", "pnn_sentiment", "price_percent_change", "volume_percent_change"]
+
+
+def _label_moments(label: str) -> str:
+    cells = [f"select 'one' as input, round(avg({label}), 2) as moment from parts where split = 'train'"]
+    cells += [f"select '{c}', round(avg({c} * {label}), 2) from parts where split = 'train'" for c in _INPUTS]
+    return " union all ".join(cells)
+
+
+_UP = f"case when {_T} > 0 then 1.0 else 0.0 end"
+ORACLE["linear_moments"] = _sql(f"{_SEGMENT_FEATURES} fsplit", _label_moments(_T))
+ORACLE["logistic_moments"] = _sql(f"{_SEGMENT_FEATURES} fsplit", _label_moments(_UP))
+ORACLE["classifier_checks"] = _sql(
+    f"{_SEGMENT_FEATURES} fsplit",
+    f"""select model, split, count(*) as rows, cast(sum({_UP}) as bigint) as ups,
+        case when split = 'train' then true end as learns
+    from parts, (values ('SVM'), ('RandomForest'), ('GradientBoosting')) m(model) group by 1, 2""",
+)
+ORACLE["experiment_rows"] = _sql(
+    f"{_SEGMENT_FEATURES} fsplit",
+    f"""select model, symbol as stock, emotion, count(*) as rows, cast(sum({_UP}) as bigint) as ups
+    from parts, (values ('LinearRegression'), ('LogisticRegression')) m(model), (values ('False'), ('True')) e(emotion)
+    where split = 'test' group by 1, 2, 3""",
+)
+ORACLE["sequence_moments"] = _sql(
+    f"{_SEGMENT_FEATURES} fsplit",
+    f"""select cast((r.rn - t.rn + 10) * 4 + f.place as int) as input,
+        round(avg(t.price_percent_change * case f.place when 0 then r.{_INPUTS[0]} when 1 then r.{_INPUTS[1]}
+            when 2 then r.{_INPUTS[2]} else r.{_INPUTS[3]} end), 2) as moment
+    from parts t join parts r on t.symbol = r.symbol and r.rn between t.rn - 10 and t.rn - 1
+    cross join (values (0), (1), (2), (3)) f(place)
+    where t.rn > 10 and t.split = 'train' group by 1""",
+).replace("floor(total * 0.8::double)", "floor(total * 0.9::double)")
+ORACLE["history_files"] = """select name, 'test_accuracy' as metric, 5 as rounds, true as loss_falls
+    from (values ('segments_emotion_False'), ('segments_emotion_True')) v(name)"""

@@ -1,5 +1,11 @@
 """Fitted pipelines, experiments and training histories."""
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from itertools import product
+from math import isfinite
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -37,7 +43,15 @@ def feature_stages(emotion: bool) -> list:
 
 
 def _fit(estimator, train: DataFrame, emotion: bool) -> PipelineModel:
-    return Pipeline(stages=[*feature_stages(emotion), estimator]).fit(train)
+    return _finite(Pipeline(stages=[*feature_stages(emotion), estimator]).fit(train))
+
+
+def _finite(model: PipelineModel) -> PipelineModel:
+    """Refuse a model whose solver ended in coefficients that are no numbers."""
+    coefficients = getattr(model.stages[-1], "coefficients", None)
+    if coefficients is not None and not all(isfinite(x) for x in coefficients.toArray()):
+        raise RuntimeError(f"{type(model.stages[-1]).__name__} did not converge")
+    return model
 
 
 def fit_linear(train: DataFrame, emotion: bool, maxIter=1000, **params) -> PipelineModel:
@@ -78,6 +92,25 @@ def fit_sequence_classifier(train: DataFrame, inputs: int, hidden=(16,), maxIter
     ).fit(train)
 
 
+def fit_with_history(
+    train: DataFrame, valid: DataFrame, inputs: int, rounds=5, iterations=20, hidden=(16,), seed=42
+) -> tuple[PipelineModel, list[float], list[float]]:
+    """A perceptron trained in rounds: (model, loss of each iteration, validation loss after each round).
+
+    Each round goes on from the weights of the last one; the validation loss is the mean
+    log loss on rows that no round sees.
+    """
+    start, losses, valid_losses, model = {}, [], [], None
+    for _ in range(rounds):
+        model = fit_sequence_classifier(train, inputs, hidden, iterations, seed, **start)
+        start = {"initialWeights": model.stages[-1].weights}
+        losses += training_history(model)
+        right = F.get(vector_to_array("probability"), F.col("label").cast("int"))
+        scored = model.transform(valid).select(F.avg(-F.log(F.greatest(right, F.lit(1e-15)))).alias("loss"))
+        valid_losses.append(scored.first()["loss"])
+    return model, losses, valid_losses
+
+
 def sequence_samples(features: DataFrame, emotion: bool, length=10, fractions=(0.9,)) -> DataFrame:
     """Flattened sequences within each split, predicting the day after the window.
 
@@ -128,35 +161,33 @@ def predict(model: PipelineModel, rows: DataFrame, keep=()) -> DataFrame:
     return scored.select("symbol", "date", *keep, "label", "prediction", score.alias("score"))
 
 
-def experiment_predictions(features: DataFrame, symbols, models=("SVM", "RandomForest", "GradientBoosting"),
-                           emotions=(False, True), train_size=0.8, params=None) -> DataFrame:
-    """Test predictions of every model, symbol and choice of inputs.
+def experiment_predictions(features: DataFrame, symbols, models=tuple(MODELS), emotions=(False, True),
+                           train_size=0.8, params=None, at_once=4) -> DataFrame:
+    """Test predictions of every model, symbol and choice of inputs, written once.
 
-    The grid is small and walked on the driver; each fit is a distributed job.
-    The daily feature table is written once, so that fits do not read articles.
+    The daily feature table is written first, so that fits do not read articles. The
+    fits do not depend on each other; ``at_once`` of them are submitted together, so
+    that small jobs fill the cluster.
     """
     table = materialize(chrono_split(features, (train_size,)))
-    found = None
-    for name in models:
+    by_rule = {rule: labelled(table, rule) for _, rule in MODELS.values()}
+
+    def predicted(cell) -> DataFrame:
+        name, symbol, emotion = cell
         fit, rule = MODELS[name]
-        rows = labelled(table, rule)
-        for symbol in symbols:
-            own = rows.filter(F.col("symbol") == symbol)
-            for emotion in emotions:
-                model = fit(own.filter("split = 'train'"), emotion, **(params or {}).get(name, {}))
-                predicted = predict(model, own.filter("split = 'test'")).select(
-                    F.lit(name).alias("model"),
-                    F.lit(symbol).alias("stock"),
-                    F.lit(str(emotion)).alias("emotion"),
-                    "label",
-                    "prediction",
-                    "score",
-                )
-                found = predicted if found is None else found.unionByName(predicted)
-    return found
-
-
-def run_experiments(features: DataFrame, symbols, models=("SVM", "RandomForest", "GradientBoosting"), **options) -> DataFrame:
+        own = by_rule[rule].filter(F.col("symbol") == symbol)
+        model = fit(own.filter("split = 'train'"), emotion, **(params or {}).get(name, {}))
+        return predict(model, own.filter("split = 'test'")).select(
+            F.lit(name).alias("model"), F.lit(symbol).alias("stock"), F.lit(str(emotion)).alias("emotion"),
+            "label", "prediction", "score",
+        )
+
+    grid = list(product(models, symbols, emotions))
+    with ThreadPoolExecutor(at_once) as pool:
+        return materialize(reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(features.sparkSession)(predicted), grid)))
+
+
+def run_experiments(features: DataFrame, symbols, models=tuple(MODELS), **options) -> DataFrame:
     """(model, stock, emotion, metric, value) on the test rows, each metric by its name."""
     predictions = experiment_predictions(features, symbols, models, **options)
     keys = ["model", "stock", "emotion"]
