@@ -1,6 +1,9 @@
+import datetime as dt
 import json
+import time
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tickermood.operators.sentiment import daily_sentiment
 from tickermood.plans.catalog import QUERIES
@@ -55,5 +58,50 @@ def test_late_articles_are_dropped(spark, tmp_path):
     assert [r["date"].day for r in found] == [20]
 
 
+def test_compaction_keeps_the_state(spark, tmp_path):
+    landing = tmp_path / "landing"
+    for i, (symbol, day, text) in enumerate([("A", 1, "good"), ("A", 1, "bad"), ("B", 2, "good"), ("A", 2, "good")]):
+        land(landing / symbol, f"n{i}", day, text)
+    _, found = run(spark, tmp_path)
+    out = str(tmp_path / "out")
+    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "out").glob("batch_id=*"))
+    assert last >= 3
+    news.compact_updates(spark, out, last)
+    assert rows(news.read_updates(spark, out), "symbol", "date") == found
+    only = spark.read.option("basePath", out).parquet(f"{out}/batch_id={last}")
+    assert sorted((r["symbol"], r["date"]) for r in only.collect()) == sorted((r["symbol"], r["date"]) for r in found)
+
+
+class _Up:
+    """A model that always expects the market to rise."""
+
+    def transform(self, df):
+        return df.withColumn("prediction", F.lit(1.0))
+
+
+def test_calls_of_new_symbols_and_of_days_that_change_late(spark, tmp_path):
+    landing = tmp_path / "landing"
+    days = [("A", 5, "good"), ("A", 6, "bad"), ("NEW", 6, "good"), ("A", 5, "bad bad")]
+    for i, (symbol, day, text) in enumerate(days):
+        land(landing / symbol, f"n{i}", day, text)
+        time.sleep(0.05)
+    changes = spark.createDataFrame(
+        [(s, dt.date(2024, 1, d), 1.0, 1.0, 1.0) for s in ("A", "NEW") for d in (5, 6)],
+        "symbol string, date date, price_percent_change double, volume_percent_change double, "
+        "next_day_price_percent_change_shifted double",
+    )
+    deviation = spark.createDataFrame([("A", 2.0)], "symbol string, deviation double")
+    valences = small_frame(spark, [("good", 3), ("bad", -3)], VALENCE_LEXICON)
+    stream = news.stream_news(spark, f"{landing}/*", files_per_trigger=1)
+    daily = news.stream_daily_sentiment(stream, valences, default_lexicon(spark), watermark="30 days")
+    out = str(tmp_path / "trends")
+    job = news.stream_trend(daily, changes, _Up(), True, out, str(tmp_path / "o"), deviation, available_now=True)
+    job.awaitTermination()
+    assert len(list((tmp_path / "trends").glob("batch_id=*"))) >= 4
+    found = rows(news.read_trends(spark, out), "symbol")
+    # The last batch touched an earlier day of A, whose call is still that of the 6th.
+    assert [(r["symbol"], r["date"].day, r["trend"]) for r in found] == [("A", 6, "bullish"), ("NEW", 6, None)]
+
+
 def test_stream_queries(spark):
     assert QUERIES["stream_trend"](spark, "/root/testdata/sf0.01").count() == 5
