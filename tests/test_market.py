@@ -52,6 +52,12 @@ def test_windows_share_one_shuffle(spark):
     assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
 
 
+def test_two_rows_of_a_day_fail(spark):
+    twice = bars(spark, ("A", 1, 1.0, 1), ("A", 2, 2.0, 1), ("A", 2, 3.0, 1))
+    with pytest.raises(Exception, match="more than one row of a day for A"):
+        market.price_features(twice).collect()
+
+
 def test_daily_bars_take_the_last_tick(spark):
     ticks = spark.createDataFrame(
         [("A", dt.datetime(2024, 1, 1, 9), 1, 5.0), ("A", dt.datetime(2024, 1, 1, 10), 2, 6.0),

@@ -23,6 +23,18 @@ def _sessions(by, order):
     return Window.partitionBy(by).orderBy(order)
 
 
+def once_a_day(df: DataFrame, by="symbol", order="date") -> DataFrame:
+    """``df``, failing where a symbol has two rows of one day.
+
+    Ticks would bring a whole symbol into one task and make "the previous row" a matter
+    of chance. The check shares the window of the changes and costs no shuffle.
+    """
+    twice = F.lag(order, 1).over(_sessions(by, order)) == F.col(order)
+    message = F.concat(F.lit("more than one row of a day for "), F.col(by).cast("string"), F.lit(": use daily_bars"))
+    day = F.when(F.coalesce(twice, F.lit(False)), F.raise_error(message).cast(df.schema[order].dataType)).otherwise(F.col(order))
+    return df.withColumn(order, day)
+
+
 def pct_change(df: DataFrame, col: str, scale=100.0, by="symbol", order="date", out=None) -> DataFrame:
     """Change against the previous session; ``scale=1`` for a fraction."""
     previous = F.lag(col, 1).over(_sessions(by, order))
@@ -36,12 +48,12 @@ def next_day_target(df: DataFrame, col="price_percent_change", by="symbol", orde
 def price_features(bars: DataFrame, inference=False) -> DataFrame:
     """(symbol, date, price and volume change, next session's price change).
 
-    All three windows share one shuffle and one sort. ``inference`` sets the
+    ``bars`` has one row per symbol and day, else the job fails. All windows share one shuffle and one sort. ``inference`` sets the
     unknown target of the last session to 0.
     """
     changed = pct_change(bars, "adjclose", out="price_percent_change")
     changed = pct_change(changed, "volume", out="volume_percent_change")
-    rows = next_day_target(changed).select(
+    rows = once_a_day(next_day_target(changed)).select(
         "symbol", "date", "price_percent_change", "volume_percent_change", TARGET
     )
     return fill_target(rows, TARGET) if inference else rows
