@@ -61,6 +61,15 @@ def test_feature_files(spark, tmp_path):
         assert rows(back, "date") == found
 
 
+def test_files_are_in_the_order_of_days(spark, tmp_path):
+    data = [(s, dt.date(2024, 1, d), float(d), d) for d in (5, 1, 4, 2, 3) for s in ("A", "B")]
+    path = str(tmp_path / "prices")
+    tables.write_prices(spark.createDataFrame(data, "symbol string, date date, adjclose double, volume long"), path)
+    for file in (tmp_path / "prices").glob("symbol=*/*.parquet"):
+        days = [r["date"].day for r in spark.read.parquet(str(file)).collect()]
+        assert days == sorted(days) and days
+
+
 def test_price_files_prune_and_push_down(spark, tmp_path):
     data = [(s, dt.date(2024, 1, d), float(d), d) for s in ("A", "B") for d in range(1, 6)]
     path = str(tmp_path / "prices")

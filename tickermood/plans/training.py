@@ -162,7 +162,7 @@ def predict(model: PipelineModel, rows: DataFrame, keep=()) -> DataFrame:
 
 
 def experiment_predictions(features: DataFrame, symbols, models=tuple(MODELS), emotions=(False, True),
-                           train_size=0.8, params=None, at_once=4) -> DataFrame:
+                           train_size=0.8, params=None, at_once=8) -> DataFrame:
     """Test predictions of every model, symbol and choice of inputs, written once.
 
     The daily feature table is written first, so that fits do not read articles. The
