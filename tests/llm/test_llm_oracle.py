@@ -17,5 +17,25 @@ def test_same_rows(spark, name):
     assert not [word for word in UNWANTED if word in plan]
 
 
+@pytest.mark.parametrize("name", ["op1_quality_rules", "op5_url_filters", "op8_line_dedup"])
+def test_native_operators_run_no_python(spark, name):
+    """Also not in the steps that are written on the way."""
+    import tickermood.llm.common as common
+    import tickermood.llm.line_dedup as line_dedup
+    import tickermood.llm.quality_rules as quality_rules
+
+    plans = []
+
+    def spy(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.saved(df, label)
+
+    with pytest.MonkeyPatch.context() as patch:
+        for module in (line_dedup, quality_rules):
+            patch.setattr(module, "saved", spy)
+        plans.append(QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString())
+    assert not [p for p in plans if "Python" in p or "Arrow" in p or "Pandas" in p]
+
+
 def test_one_query_for_each_operator():
     assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))

@@ -8,8 +8,9 @@ it are looked at, else all of the body.
 First pass: a block that is mostly links is boilerplate; one with enough running text and
 stop words (English, German, French, Spanish) is content; all others, short or without
 stop words, are ambiguous. Second pass: an ambiguous block takes the label of the nearest
-decided block before and after it, content if they are equally near or if there is none.
-Headings are ambiguous whatever their length, so they follow the text around them.
+decided block before and after it, content if they are equally near. Where no block is
+decided to be content, as in a page of a few words, all ambiguous ones are. Headings are
+ambiguous whatever their length, so they follow the text around them.
 
 Character references are decoded, white space inside a block becomes one space, and
 blocks are joined by one line feed. ``br`` is white space.
@@ -58,19 +59,17 @@ BLOCK_TAGS = set(
 VOID_TAGS = {"hr"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # Words in class, id or role that mark a region for good, and those that an article inside it overrules.
-STRONG_HINTS = set(
-    """
-    ad ads advert adverts advertisement advertising sponsor sponsored promo promotion aside sidebar comment comments
-    disqus replies respond related recommended newsletter subscribe complementary
-    """.split()
+STRONG_HINT = re.compile(
+    r"ads?|ad(vert|sense|sby)\w*|sponsor\w*|promo\w*|aside|side(bar|nav)\w*|complementary|comment(s|list|section|ary)?"
+    r"|disqus\w*|respond|reply|replies|related\w*|recommend\w*|newsletter\w*|subscri\w*"
 )
-WEAK_HINTS = set(
-    """
-    nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer contentinfo banner cookie cookies
-    consent gdpr notice notification alert popup modal overlay toolbar pager pagination share sharing social widget login
-    signup search searchbox copyright legal skip hidden
-    """.split()
+WEAK_HINT = re.compile(
+    r"nav(bar|igation|list|menu)?|menu\w*|breadcrumbs?|header|masthead|topbar|footer|contentinfo|banner|cookies?\w*"
+    r"|consent\w*|gdpr\w*|notices?|notification\w*|alerts?|pop(up|over)\w*|modal|overlay|toolbar|pager|pagination"
+    r"|shar(e|ing)|social\w*|widgets?|log(in|out)|sign(in|up)|search(box|form)?|copyright|legal|skip|hidden"
 )
+# What says that a page has such a region elsewhere.
+_MENTION = re.compile(r"\b(has|with|no|without|show|hide)[-_ ]?[a-z0-9]+")
 
 _TAG = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW_TAGS})\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -105,10 +104,10 @@ def _mark(name: str, rest: str) -> int:
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                     mark = 2
             elif kind in ("class", "id", "role"):
-                tokens = set(_TOKEN.findall(value))
-                if tokens & STRONG_HINTS:
+                tokens = _TOKEN.findall(_MENTION.sub(" ", value))
+                if any(STRONG_HINT.fullmatch(token) for token in tokens):
                     mark = 2
-                elif tokens & WEAK_HINTS:
+                elif name not in HEADINGS and any(WEAK_HINT.fullmatch(token) for token in tokens):
                     mark = max(mark, 1)
     return mark
 
@@ -199,6 +198,8 @@ def first_pass(block: Block) -> bool | None:
 
 def labels(found: list[Block]) -> list[bool]:
     decided = [first_pass(block) for block in found]
+    if True not in decided:
+        return [label is None for label in decided]
     after: list[tuple[int, bool] | None] = [None] * len(found)
     near = None
     for i in range(len(found) - 1, -1, -1):
@@ -211,7 +212,7 @@ def labels(found: list[Block]) -> list[bool]:
             result.append(label)
             continue
         ends = [(abs(i - at), not value) for at, value in (end for end in (before, after[i]) if end)]
-        result.append(not min(ends)[1] if ends else True)
+        result.append(not min(ends)[1])
     return result
 
 

@@ -151,6 +151,29 @@ SELECT page_id, host, path, fit.rule AS rule,
 FROM judged
 """
 
+_OP6 = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS row_id, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), usable AS (
+  SELECT row_id, vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM vectors
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND e IS NOT NULL
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.row_id, a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.row_id <> b.row_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reach(node, seen) AS (
+  SELECT DISTINCT a, a FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a
+), roots AS (
+  SELECT node, min(seen) AS root FROM reach GROUP BY node
+), counts AS (
+  SELECT row_id, count(*) AS n FROM links GROUP BY row_id
+)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, coalesce(root, v.vec_id) AS component_id,
+  v.vec_id = coalesce(root, v.vec_id) AS kept
+FROM vectors v LEFT JOIN counts USING (row_id) LEFT JOIN roots ON v.vec_id = node
+"""
+
 _OP8 = f"""
 WITH cut AS (
   SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
@@ -166,4 +189,9 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.key) AS n_dropp
 FROM keyed k LEFT JOIN frequent f ON k.key = f.key GROUP BY row_id
 """
 
-ORACLE = {"op1_quality_rules": _OP1, "op5_url_filters": _OP5, "op8_line_dedup": _OP8}
+ORACLE = {
+    "op1_quality_rules": _OP1,
+    "op5_url_filters": _OP5,
+    "op6_embedding_dedup": _OP6,
+    "op8_line_dedup": _OP8,
+}
