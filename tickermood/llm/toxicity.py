@@ -101,10 +101,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, bits=BITS) -> DataFrame:
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
         .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-        .withColumn("order", F.xxhash64("id"))
+        .withColumn("pick", F.xxhash64("id"))
+        # Another hash than the one that picks: the two kinds must stay mixed to the last row.
+        .withColumn("order", F.xxhash64(F.lit("order"), "id"))
     )
     parts = [
-        known.where(F.col("toxic") == toxic).orderBy("order", "id").limit(size)
+        known.where(F.col("toxic") == toxic).orderBy("pick", "id").limit(size)
         for toxic, size in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))
     ]
     # At most 18,000 ids: small enough to be sent to every task.
