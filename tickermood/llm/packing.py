@@ -37,7 +37,7 @@ PART_TOKENS = 128
 SLACK = 10
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.json"
-CACHED_WORDS = 700_000
+CACHED_WORDS = 600_000
 
 # Characters for which the pattern below cuts exactly as the tokenizer's own does.
 PLAIN = re.compile("[\n -~À-ÖØ-öø-ɏ]*")
@@ -88,6 +88,10 @@ class TokenBytes(dict):
         self[word] = found
         return found
 
+    def forget(self) -> None:
+        self.clear()
+        self.pieces.clear()
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
@@ -229,6 +233,8 @@ def pack_documents(
                     yield flushed()
         for sequence in packer.finish():
             place(sequence)
+        # The worker may serve other stages next; the words of this task are not theirs.
+        tokens.forget()
         if rows:
             yield flushed()
 
@@ -239,7 +245,7 @@ _LOADED: dict[str | None, TokenBytes] = {}
 
 
 def _tokens(path: str | None) -> TokenBytes:
-    """The tokenizer of this worker; it keeps its words between tasks."""
+    """The tokenizer of this worker, loaded once."""
     if path not in _LOADED:
         _LOADED[path] = TokenBytes(path)
     return _LOADED[path]
