@@ -31,6 +31,7 @@ MARK = "▁"
 PIECE_COST = 2.0
 CACHED_WORDS = 400_000
 CELLS = 2_000_000
+FILTER_BITS = 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -69,8 +70,13 @@ class Pieces:
         self.keys, self.ids = keys[order], np.array(plain, np.int32)[order]
         self.scores, self.lengths = scores[order], lengths[order]
         self.longest = int(lengths.max())
+        # Most substrings are no piece; a table of the keys' first bits tells so before the search.
+        self.possible = np.zeros(1 << FILTER_BITS, bool)
+        self.possible[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        self.form = [self.byte_of.get(i, b"" if i in self.silent else self.text[i].encode("utf-8", "surrogatepass")) for i in numbers]
         self.missing = float(scores.min()) - 10.0
-        self.spelt: dict[str, np.ndarray] = {}
+        # Word without its first mark -> its ids as little-endian 32-bit numbers.
+        self.spelt: dict[str, bytes] = {}
 
     @staticmethod
     def _key(piece: str) -> int:
@@ -79,13 +85,16 @@ class Pieces:
             key = (key * int(_BASE) + ord(char) + 1) % (1 << 64)
         return key
 
-    def _lookup(self, keys: np.ndarray, length: int) -> np.ndarray:
-        """Place of each key among the sorted keys; -1 where no piece of that length has it."""
-        at = np.searchsorted(self.keys, keys)
+    def _lookup(self, keys: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """``(rows, places)``: which keys are those of a piece of that length, and its place among the sorted keys."""
+        rows = np.flatnonzero(self.possible[(keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+        some = keys[rows]
+        at = np.searchsorted(self.keys, some)
         at[at == len(self.keys)] = 0
-        return np.where((self.keys[at] == keys) & (self.lengths[at] == length), at, -1)
+        right = (self.keys[at] == some) & (self.lengths[at] == length)
+        return rows[right], at[right]
 
-    def spell(self, words: list[str]) -> list[np.ndarray]:
+    def spell(self, words: list[str]) -> list[bytes]:
         """Ids of words of one length, advanced together."""
         n, size = len(words), len(words[0])
         codes = code_points(words).reshape(n, size) + np.uint64(1)
@@ -98,73 +107,94 @@ class Pieces:
         for end in range(1, size + 1):
             head = np.concatenate([np.zeros((1, n), np.uint64), tails])[: self.longest]
             tails = head * _BASE + codes[:, end - 1]
+            # A character that is no piece stands for itself.
+            best[end] = best[end - 1] + self.missing
+            back[end] = end - 1
             for k in range(1, len(tails) + 1):
-                # Row 0 began last, so row k - 1 holds the k last characters.
-                at = self._lookup(tails[k - 1], k)
-                score = best[end - k] + np.where(at >= 0, self.scores[at], self.missing if k == 1 else -np.inf)
-                wins = score > best[end]
-                best[end][wins] = score[wins]
-                back[end][wins] = end - k
-                piece[end][wins] = at[wins]
-        ends = np.full(n, size)
-        cuts: list[tuple[np.ndarray, np.ndarray]] = []
+                rows, at = self._lookup(tails[k - 1], k)
+                score = best[end - k][rows] + self.scores[at]
+                # One character that is a piece is never worse than one that is none.
+                wins = score > best[end][rows]
+                rows, at = rows[wins], at[wins]
+                best[end][rows] = score[wins]
+                back[end][rows] = end - k
+                piece[end][rows] = at
+        ends, row = np.full(n, size), np.arange(n)
+        steps, lone = [], np.zeros(n, bool)
         while (ends > 0).any():
-            rows = np.arange(n)
-            cuts.append((ends.copy(), np.where(ends > 0, piece[ends, rows], -2)))
-            ends = np.where(ends > 0, back[ends, rows], 0)
-        found = []
-        for row, word in enumerate(words):
-            ids: list[int] = []
-            for end, at in reversed(cuts):
-                if at[row] >= 0:
-                    ids.append(self.ids[at[row]])
-                elif at[row] == -1:
-                    ids += self._bytes(word[end[row] - 1])
-            found.append(np.array(ids, np.int32))
+            at = np.where(ends > 0, piece[ends, row], -2)
+            steps.append(np.where(at >= 0, self.ids[at], -1))
+            lone |= at == -1
+            ends = np.where(ends > 0, back[ends, row], 0)
+        ids = np.stack(steps[::-1], 1)
+        counts = np.cumsum((ids >= 0).sum(1)) * 4
+        flat = ids[ids >= 0].astype("<i4").tobytes()
+        found = [flat[a:b] for a, b in zip([0, *counts[:-1].tolist()], counts.tolist(), strict=True)]
+        for i in np.flatnonzero(lone).tolist():
+            found[i] = self._with_bytes(words[i], piece[:, i], back[:, i])
         return found
 
+    def _with_bytes(self, word: str, piece: np.ndarray, back: np.ndarray) -> bytes:
+        """Ids of a word in which some character is no piece."""
+        parts, end = [], len(word)
+        while end:
+            parts.append([int(self.ids[piece[end]])] if piece[end] >= 0 else self._bytes(word[end - 1]))
+            end = int(back[end])
+        return np.array([i for part in reversed(parts) for i in part], "<i4").tobytes()
+
     def _bytes(self, char: str) -> list[int]:
         if len(self.bytes) < 256:
             return [self.unknown]
         return [int(self.bytes[b]) for b in char.encode("utf-8", "replace")]
 
     def learn(self, words: set[str]) -> None:
-        """Spell the words not yet known, those of one length together."""
-        if len(self.spelt) > CACHED_WORDS:
-            self.spelt.clear()
+        """Spell words (without their first mark), those of one length together."""
         by_size: dict[int, list[str]] = {}
         for word in words:
-            if word not in self.spelt:
-                by_size.setdefault(len(word), []).append(word)
+            by_size.setdefault(len(word), []).append(word)
         for size, some in by_size.items():
-            step = max(1, CELLS // (size + 1))
+            step = max(1, CELLS // (size + 2))
             for at in range(0, len(some), step):
                 part = some[at : at + step]
-                self.spelt.update(zip(part, self.spell(part), strict=True))
+                self.spelt.update(zip(part, self.spell([MARK + word for word in part]), strict=True))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        cut = [marked(text).split(" ") if text else [] for text in texts]
-        known: set[str] = set()
-        known.update(*cut)
-        self.learn(known)
-        empty = np.empty(0, np.int32)
-        spelt = self.spelt
-        return [np.concatenate([spelt[w] for w in words]) if words else empty for words in cut]
+        cut = [words_of(text) for text in texts]
+        if len(self.spelt) > CACHED_WORDS:
+            self.spelt.clear()
+        unknown: set[str] = set()
+        for words in cut:
+            unknown.update(set(words).difference(self.spelt))
+        self.learn(unknown)
+        return [np.frombuffer(b"".join(map(self.spelt.__getitem__, words)), "<i4") for words in cut]
 
     def decode(self, ids) -> str:
-        parts: list[bytes] = []
-        for i in ids:
-            if i in self.byte_of:
-                parts.append(self.byte_of[i])
-            elif i not in self.silent:
-                parts.append(self.text[i].encode("utf-8", "surrogatepass"))
-        text = b"".join(parts).decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.form.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
-def marked(text: str) -> str:
-    """The text with a mark before it and for each space; a blank cuts before every mark that follows another character."""
-    return (MARK + text.replace(" ", MARK)).replace(MARK, " " + MARK).replace(MARK + " " + MARK, MARK + MARK).replace(MARK + " " + MARK, MARK + MARK)[1:]
+def words_of(text: str | None) -> list[str]:
+    """The words of the marked text, each without its first mark.
+
+    The text gets a mark before it and for each space, and is cut before every mark that
+    follows another character; a run of marks begins one word.
+    """
+    if not text:
+        return []
+    if MARK in text:
+        text = text.replace(MARK, " ")
+    words = text.split(" ")
+    if "" not in words:
+        return words
+    found: list[str] = []
+    marks = 0
+    for word in words[:-1]:
+        if word:
+            found.append(MARK * marks + word)
+            marks = 0
+        else:
+            marks += 1
+    return [*found, MARK * marks + words[-1]]
 
 
 _LOADED: dict[str | None, Pieces] = {}
@@ -200,7 +230,7 @@ def decoded(tokens: DataFrame, path: str | None = None, rows=256) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                texts = [pieces.decode(ids or []) for ids in part.column(1).to_pylist()]
+                texts = [pieces.decode(ids.values.to_pylist() if ids.is_valid else []) for ids in part.column(1)]
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
