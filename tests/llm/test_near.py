@@ -78,6 +78,26 @@ def test_similar_documents_against_brute_force(spark):
     assert found <= gone and len(found) >= 0.95 * len(gone)
 
 
+def test_a_large_group_gives_few_pairs():
+    """Copies of one base: the pairs kept over all places stay near the members, and connect them."""
+    rng = np.random.default_rng(8)
+    base = [f"w{rng.integers(5000)}" for _ in range(400)]
+    texts = [" ".join(base)] + [" ".join(edited(rng, base, 0.012)) for _ in range(150)]
+    found = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+    sketch = np.array([[simhash.fingerprint(similar_documents.mixed(h, m)) for m in similar_documents.MIXES] for h in found], np.uint64)
+    ids, flips = np.arange(len(texts)), simhash.bit_flips(6, 4, 32)
+    parts, kept = similar_documents.parts_of(sketch), []
+    for table in range(similar_documents.TABLES):
+        homes = simhash.home_buckets(parts[:, table], 6, 32)
+        for bucket in range(64):
+            here = np.isin(homes ^ bucket, list(flips))
+            kept += similar_documents.bucket_pairs(ids[here], sketch[here], table, bucket, 6, flips).tolist()
+    distinct = {tuple(p) for p in kept}
+    assert len(kept) <= 2 * len(distinct) and len(distinct) < len(texts) * (len(texts) - 1) / 4
+    root = brute_components(len(texts), lambda i, j: (min(i, j), max(i, j)) in distinct)
+    assert len([r for i, r in enumerate(root) if r == i]) <= 3
+
+
 def test_one_document_of_each_group_stays(spark):
     kept = rows(similar_documents.without_duplicates(frames.documents(spark)))
     ids = [r["doc_id"] for r in kept]
