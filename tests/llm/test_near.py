@@ -98,6 +98,32 @@ def test_a_large_group_gives_few_pairs():
     assert len([r for i, r in enumerate(root) if r == i]) <= 3
 
 
+@pytest.mark.parametrize("with_base", [True, False])
+def test_families_have_the_components_of_all_pairs_that_meet(spark, with_base):
+    """Copies of a base and texts of a template: some pairs at the threshold, many just below it."""
+    rng = np.random.default_rng(21)
+    texts = []
+    for share in (0.012, 0.02, 0.025):
+        base = [f"w{rng.integers(5000)}" for _ in range(200)]
+        first = [" ".join(base)] if with_base else []
+        copies = [edited(rng, base, share) for _ in range(50)]
+        texts += first + [" ".join(c) for c in copies] + [" ".join(edited(rng, c, 0.015)) for c in copies[::2]]
+    found = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+    sketch = np.array([[simhash.fingerprint(similar_documents.mixed(h, m)) for m in similar_documents.MIXES] for h in found], np.uint64)
+    parts = similar_documents.parts_of(sketch)
+
+    def meet(i, j):
+        apart = np.bitwise_count(sketch[i] ^ sketch[j]).sum()
+        return (np.bitwise_count(parts[i] ^ parts[j]) <= 4).any() and apart <= similar_documents.SKETCH_DISTANCE
+
+    n = len(texts)
+    near = [[i != j and meet(i, j) and similar_documents.jaccard(texts[i], texts[j]) >= 0.8 for j in range(n)] for i in range(n)]
+    root = brute_components(len(texts), lambda i, j: near[i][j])
+    docs = frames.documents(spark, list(enumerate(texts)), clash=False)
+    found = {r["doc_id"]: r["component_id"] for r in rows(similar_documents.duplicate_groups(docs))}
+    assert found == {i: r for i, r in enumerate(root) if r != i}
+
+
 def test_one_document_of_each_group_stays(spark):
     kept = rows(similar_documents.without_duplicates(frames.documents(spark)))
     ids = [r["doc_id"] for r in kept]

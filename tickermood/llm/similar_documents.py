@@ -6,12 +6,20 @@ therefore takes a sketch of 192 SimHash bits from three mixes of each shingle's
 hashes balls of radius 4 around each of its six 32-bit parts; of pairs at 0.8 about 97 %
 share a variant of at least one part, of pairs at 0.9 nearly all.
 
-All that share a variant form a group. The member nearest to the group's bitwise majority
-becomes a centre, those whose sketch is near it are its candidates, and any that are
-candidates of no centre become centres in turn. So a group of copies gives as many pairs
-as it has members. A pair may meet in many buckets; it is kept where its first part within
-the radius has a variant halfway between the two. Every candidate pair is then verified: the exact Jaccard similarity of
-the two shingle sets must reach the threshold.
+All that share a variant form a group. Candidate pairs come in two rounds, and each is
+verified: the exact Jaccard similarity of the two shingle sets must reach the threshold.
+
+Round one links what it can with few pairs. The member nearest to the group's bitwise
+majority becomes a centre, those whose sketch is near it are its candidates, and any that
+are candidates of no centre become centres in turn. A pair is kept where its first part
+within the radius has a variant halfway between the two, if it is a pair there. Round two
+takes every pair of near sketches that meet, of two documents that verified links have not
+joined yet; all of these pairs meet at that halfway place, so each comes once or twice and none is lost.
+The components are therefore those of all pairs that meet. Copies that round one has joined
+give no more pairs. Nor do texts of too few shingles that another component has too: two
+sets share no more than the smaller of these counts, so pairs whose counts rule the
+threshold out are left out exactly. Texts that share many shingles without being copies
+give all of their pairs, since only the exact test can tell.
 """
 
 from collections.abc import Iterator
@@ -114,32 +122,85 @@ def met_first(a: np.ndarray, b: np.ndarray, table: int, bucket: int, parities: i
     return ~earlier & (here[0] | here[1])
 
 
-def bucket_pairs(ids: np.ndarray, sketch: np.ndarray, table: int, bucket: int, parities: int, flips, radius=RADIUS) -> np.ndarray:
-    """Distinct candidate pairs of ids that meet in a bucket of one part of the sketch."""
-    parts = parts_of(sketch)
-    values, of = np.unique(parts[:, table], return_inverse=True)
-    pairs: set[tuple[int, int]] = set()
+def bucket_groups(part: np.ndarray, bucket: int, parities: int, flips) -> Iterator[np.ndarray]:
+    """Row numbers of each group that meets in a bucket of one part of the sketch."""
+    values, of = np.unique(part, return_inverse=True)
     order = np.argsort(of, kind="stable")
     starts = np.searchsorted(of[order], np.arange(len(values) + 1))
-    for variants, owners in variant_slices(values, home_buckets(values, parities, BITS), bucket, flips, 2_000_000):
+    homes = home_buckets(values, parities, BITS)
+    for variants, owners in variant_slices(values, homes, bucket, flips, 2_000_000):
         group_of, owner = collisions(variants, owners)
         rank = np.lexsort((owner, group_of))
         cuts = np.flatnonzero(np.diff(group_of[rank])) + 1
         for group in {tuple(g.tolist()) for g in np.split(owner[rank], cuts) if len(g)}:
-            members = np.concatenate([order[starts[v] : starts[v + 1]] for v in group])
-            pairs.update(group_pairs(members, sketch))
+            yield np.concatenate([order[starts[v] : starts[v + 1]] for v in group])
     # Documents whose parts are equal meet in the home bucket, whoever else does.
-    homes = home_buckets(values, parities, BITS)
     for v in np.flatnonzero((np.diff(starts) > 1) & (homes == bucket)).tolist():
-        pairs.update(group_pairs(order[starts[v] : starts[v + 1]], sketch))
-    found = np.array(sorted(pairs), np.int64).reshape(-1, 2)
-    found = found[met_first(parts[found[:, 0]], parts[found[:, 1]], table, bucket, parities, radius)]
+        yield order[starts[v] : starts[v + 1]]
+
+
+def _by_id(ids: np.ndarray, found: np.ndarray) -> np.ndarray:
     a, b = ids[found[:, 0]], ids[found[:, 1]]
     return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
 
 
-def candidate_pairs(classes: DataFrame, parities: int, radius=RADIUS) -> DataFrame:
-    """Distinct ``(a, b)`` of ids in ``classes(id, s0, s1, s2)`` whose sketches may be near."""
+def bucket_pairs(
+    ids: np.ndarray, sketch: np.ndarray, table: int, bucket: int, parities: int, flips, radius=RADIUS, marks=False
+) -> np.ndarray:
+    """Distinct candidate pairs of round one that meet in a bucket.
+
+    With ``marks``, ``(id, id)`` is added for every row whose sketch is near that of another of its group.
+    """
+    parts = parts_of(sketch)
+    pairs: set[tuple[int, int]] = set()
+    for members in bucket_groups(parts[:, table], bucket, parities, flips):
+        pairs.update(group_pairs(members, sketch))
+    found = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+    kept = found[met_first(parts[found[:, 0]], parts[found[:, 1]], table, bucket, parities, radius)]
+    if marks:
+        kept = np.concatenate([kept, np.repeat(np.unique(found)[:, None], 2, 1)])
+    return _by_id(ids, kept)
+
+
+def open_pairs(
+    ids: np.ndarray, sketch: np.ndarray, sizes: np.ndarray, shared: np.ndarray, roots: np.ndarray,
+    table: int, bucket: int, parities: int, flips, similarity=SIMILARITY, radius=RADIUS, distance=SKETCH_DISTANCE,
+) -> np.ndarray:
+    """All pairs of near sketches and different ``roots`` that belong to a bucket: the candidates of round two.
+
+    Of the ``sizes`` shingles of a row, ``shared`` are in other components too; pairs that cannot reach the
+    similarity by these counts are left out.
+    """
+    parts, n = parts_of(sketch), len(ids)
+    found, held = [np.empty(0, np.int64)], 0
+    for members in bucket_groups(parts[:, table], bucket, parities, flips):
+        names, of, counts = np.unique(roots[members], return_inverse=True, return_counts=True)
+        if len(names) == 1:
+            continue
+        # Of the largest component no two rows are paired, so its rows wait for the others.
+        for i in members[of != counts.argmax()].tolist():
+            other = members[roots[members] != roots[i]]
+            both = np.minimum(shared[other], shared[i])
+            other = other[both >= similarity * (sizes[other] + sizes[i] - both) * (1 - 1e-9)]
+            other = other[_distance(sketch[other], sketch[i]) <= distance]
+            other = other[met_first(parts[other], parts[np.full(len(other), i)], table, bucket, parities, radius)]
+            found.append(np.minimum(other, i) * n + np.maximum(other, i))
+            held += len(other)
+        if held > 1_000_000:
+            found = [np.unique(np.concatenate(found))]
+            held = 0
+    codes = np.unique(np.concatenate(found))
+    return _by_id(ids, np.stack([codes // n, codes % n], 1)) if n else codes.reshape(-1, 2)
+
+
+def candidate_pairs(classes: DataFrame, parities: int, radius=RADIUS, similarity=SIMILARITY) -> DataFrame:
+    """Distinct ``(a, b)`` of ids in ``classes(id, s0, s1, s2)`` whose sketches may be near.
+
+    Round one also gives ``(a, a)`` for each id that is near another. With the columns of
+    ``shared_shingles`` it is round two: all near pairs of different roots.
+    """
+    second = "root" in classes.columns
+    carried = ["id", *SKETCH, *(["size", "shared", "root"] if second else [])]
     flips = bit_flips(parities, radius, BITS)
     tables = []
     for table in range(TABLES):
@@ -153,15 +214,19 @@ def candidate_pairs(classes: DataFrame, parities: int, radius=RADIUS) -> DataFra
         tables.append(F.struct(F.lit(table).alias("table"), home.alias("home")))
     changes = F.array(*[F.lit(c) for c in sorted(flips)])
     sent = (
-        classes.select("id", *SKETCH, F.inline(F.array(*tables)))
-        .select("id", *SKETCH, "table", "home", F.explode(changes).alias("change"))
-        .select((F.col("table") * (1 << parities) + F.col("home").bitwiseXOR(F.col("change"))).alias("place"), "id", *SKETCH)
+        classes.select(*carried, F.inline(F.array(*tables)))
+        .select(*carried, "table", "home", F.explode(changes).alias("change"))
+        .select((F.col("table") * (1 << parities) + F.col("home").bitwiseXOR(F.col("change"))).alias("place"), *carried)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for place, (ids, *words) in by_bucket(batches):
-            sketch = np.ascontiguousarray(np.stack(words, 1)).view(np.uint64)
-            pairs = bucket_pairs(ids, sketch, place >> parities, place & ((1 << parities) - 1), parities, flips, radius)
+        for place, (ids, *rest) in by_bucket(batches):
+            sketch = np.ascontiguousarray(np.stack(rest[:WORDS], 1)).view(np.uint64)
+            at = (place >> parities, place & ((1 << parities) - 1), parities, flips)
+            if second:
+                pairs = open_pairs(ids, sketch, *rest[WORDS:], *at, similarity, radius)
+            else:
+                pairs = bucket_pairs(ids, sketch, *at, radius, marks=True)
             yield pa.record_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
     met = sent.repartition("place").sortWithinPartitions("place").mapInArrow(run, "a long, b long")
@@ -192,6 +257,29 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity=SIMILARITY, shingle=
     return met.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
 
+def shared_shingles(near: DataFrame, texts: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) -> DataFrame:
+    """``near(id, s0, s1, s2, root)`` with ``size``, its shingles, and ``shared``, those another root has too.
+
+    Rows that share too few to reach the similarity with any of another root are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = np.unique(shingle_hashes(batch.column(2)[i].as_py(), shingle)).view(np.int64)
+                n = len(found)
+                same = [pa.array(np.full(n, batch.column(k)[i].as_py(), np.int64)) for k in range(2)]
+                yield pa.record_batch([*same, pa.array(found)], names=["id", "root", "hash"])
+
+    every = near.select("id", "root").join(texts, "id").select("id", "root", "text")
+    every = saved(every.mapInArrow(run, "id long, root long, hash long"), "near-shingles")
+    across = every.groupBy("hash").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    sizes = every.groupBy("id").agg(F.count(F.lit(1)).alias("size"))
+    counts = every.join(across.select("hash"), "hash", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+    able = counts.join(sizes, "id").where(F.col("shared") >= F.col("size") * (similarity * (1 - 1e-9)))
+    return near.join(able, "id").select("id", *SKETCH, "size", "shared", "root")
+
+
 def duplicate_groups(docs: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) -> DataFrame:
     """``(doc_id, component_id)`` of documents that are linked to one with a smaller id.
 
@@ -201,15 +289,23 @@ def duplicate_groups(docs: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) ->
     found = saved(sketches(docs, shingle).where(F.col("doc_id").isNotNull()), "sketches")
     classes = saved(found.groupBy("n_shingles", *SKETCH).agg(F.min("doc_id").alias("id")), "sketch-classes")
     parities = parity_count(classes.count(), RADIUS, BITS, MIN_PARITIES)
-    pairs = saved(candidate_pairs(classes, parities), "candidate-pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    met = saved(candidate_pairs(classes, parities), "candidate-pairs")
+    wanted = met.where("a = b").select(F.col("a").alias("id"))
     texts = saved(
         docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi")
         .groupBy("id").agg(F.min("text").alias("text")),
         "candidate-texts",
     )
-    links = verified(pairs, texts, similarity, shingle)
-    roots = connected_components(links)
+    pairs = met.where("a <> b")
+    links = saved(verified(pairs, texts, similarity, shingle), "candidate-links")
+    found_roots = connected_components(links)
+    near = classes.join(wanted, "id", "left_semi").join(found_roots, F.col("id") == F.col("node"), "left").select(
+        "id", *SKETCH, F.coalesce("root", "id").alias("root")
+    )
+    able = saved(shared_shingles(near, texts, similarity, shingle), "shared-shingles")
+    rest = candidate_pairs(able, parities, similarity=similarity).join(pairs, ["a", "b"], "left_anti")
+    rest = saved(rest, "open-pairs")
+    roots = connected_components(links.union(verified(rest, texts, similarity, shingle)))
     rooted = classes.join(roots, F.col("id") == F.col("node"), "left").select(
         "n_shingles", *SKETCH, F.coalesce("root", "id").alias("component_id")
     )
