@@ -236,6 +236,16 @@ def test_clean_rows_stay_clean_when_the_sample_is_cut(spark, monkeypatch):
     assert sum(r["predicted"] for r in clean) <= 0.01 * len(clean)
 
 
+def test_toxicity_fits_one_row_of_an_id(spark):
+    docs, labels = toxic_frames(spark, 200)
+    once = rows(toxicity.training_rows(docs, labels), "order")
+    many = docs
+    for _ in range(3):
+        many = many.union(docs)
+    found = rows(toxicity.training_rows(many, labels), "order")
+    assert len(once) == len({r["order"] for r in once}) > 100 and found == once
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = toxic_frames(spark, 20)
     for none in (labels.limit(0), labels.where("toxic = 0")):
