@@ -124,6 +124,23 @@ def test_families_have_the_components_of_all_pairs_that_meet(spark, with_base):
     assert found == {i: r for i, r in enumerate(root) if r != i}
 
 
+def test_similar_texts_of_few_shingles_are_all_found(spark):
+    rng = np.random.default_rng(31)
+    texts = []
+    for n in range(8, 24):
+        for _ in range(10):
+            base = [f"w{rng.integers(10**6)}" for _ in range(n)]
+            texts += [" ".join(base), " ".join([*base, "more"])]
+    # Lines that begin alike and differ: no similar pairs, but they meet.
+    texts += [" ".join(["all", "of", "them", "begin", "like", "this", f"a{i}", f"b{i}", f"c{i}"]) for i in range(30)]
+    near = [[i != j and similar_documents.jaccard(a, b) >= 0.8 for j, b in enumerate(texts)] for i, a in enumerate(texts)]
+    gone = {i: j for i in range(len(texts)) for j in range(i) if near[i][j]}
+    assert len(gone) == 160
+    docs = frames.documents(spark, list(enumerate(texts)), clash=False)
+    found = {r["doc_id"]: r["component_id"] for r in rows(similar_documents.duplicate_groups(docs))}
+    assert found == gone
+
+
 def test_one_document_of_each_group_stays(spark):
     kept = rows(similar_documents.without_duplicates(frames.documents(spark)))
     ids = [r["doc_id"] for r in kept]

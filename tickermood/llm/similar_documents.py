@@ -20,8 +20,13 @@ give no more pairs. Nor do texts of too few shingles that another component has
 sets share no more than the smaller of these counts, so pairs whose counts rule the
 threshold out are left out exactly. Texts that share many shingles without being copies
 give all of their pairs, since only the exact test can tell.
+
+Texts of few shingles also meet by the shingles themselves: with all shingles in one order,
+two sets of that similarity share one among the first of each, as many as may be missing
+plus one. No such pair is lost. In round one each is paired with the smallest id it meets.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +47,9 @@ WORDS = 3
 TABLES = 2 * WORDS
 MIN_PARITIES = 6
 # Sketch bits that may differ: 29 of 192 are expected at a similarity of 0.8, give or take 5.
-SKETCH_DISTANCE = 44
+SKETCH_DISTANCE = 48
+# Bits of so few shingles differ more often, for even counts have ties: such texts also meet by their shingles.
+FEW_SHINGLES = 25
 # Odd 64-bit multipliers that mix the shingle hashes anew.
 MIXES = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93]
 SKETCH = ["s0", "s1", "s2"]
@@ -257,6 +264,45 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity=SIMILARITY, shingle=
     return met.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
 
+def few_shingles(docs: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) -> DataFrame:
+    """``(id, hash)``: where texts of at most ``FEW_SHINGLES`` shingles meet. Of a similar pair, both ends have a hash in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, first = [], []
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = np.unique(shingle_hashes(text.as_py(), shingle))
+                if 0 < len(found) <= FEW_SHINGLES:
+                    found = found[: len(found) - math.ceil(similarity * len(found) - 1e-9) + 1]
+                    ids += [i] * len(found)
+                    first.append(found)
+            hashes = np.concatenate([np.empty(0, np.uint64), *first]).view(np.int64)
+            yield pa.record_batch({"id": pa.array(ids, pa.int64()), "hash": pa.array(hashes)})
+
+    known = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return known.mapInArrow(run, "id long, hash long")
+
+
+def few_pairs(few: DataFrame) -> DataFrame:
+    """Round one of texts of few shingles: ``(a, b)`` with the smallest id of each hash, and ``(a, a)`` of all that meet."""
+    least = few.groupBy("hash").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = few.join(least, "hash")
+    ends = [F.struct(F.col(a).alias("a"), F.col("id").alias("b")) for a in ("least", "id")]
+    return met.select(F.inline(F.array(*ends)))
+
+
+def few_open_pairs(few: DataFrame, able: DataFrame, similarity=SIMILARITY) -> DataFrame:
+    """Round two of texts of few shingles: all that meet, of different roots and counts that allow the similarity."""
+    rows = few.join(able.select("id", "size", "shared", "root"), "id")
+    x, y = (rows.select("hash", *[F.col(c).alias(f"{c}_{e}") for c in ("id", "size", "shared", "root")]) for e in "ab")
+    both = F.least("shared_a", "shared_b")
+    met = x.join(y, "hash").where(
+        (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
+        & (both >= (F.col("size_a") + F.col("size_b") - both) * (similarity * (1 - 1e-9)))
+    )
+    return met.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+
+
 def shared_shingles(near: DataFrame, texts: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) -> DataFrame:
     """``near(id, s0, s1, s2, root)`` with ``size``, its shingles, and ``shared``, those another root has too.
 
@@ -289,7 +335,10 @@ def duplicate_groups(docs: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) ->
     found = saved(sketches(docs, shingle).where(F.col("doc_id").isNotNull()), "sketches")
     classes = saved(found.groupBy("n_shingles", *SKETCH).agg(F.min("doc_id").alias("id")), "sketch-classes")
     parities = parity_count(classes.count(), RADIUS, BITS, MIN_PARITIES)
-    met = saved(candidate_pairs(classes, parities), "candidate-pairs")
+    short = classes.where(F.col("n_shingles").between(1, FEW_SHINGLES)).select("id")
+    few = docs.select("doc_id", "text").join(short, F.col("doc_id").cast("long") == F.col("id"), "left_semi")
+    few = saved(few_shingles(few, similarity, shingle).distinct(), "few-shingles")
+    met = saved(candidate_pairs(classes, parities).union(few_pairs(few)).distinct(), "candidate-pairs")
     wanted = met.where("a = b").select(F.col("a").alias("id"))
     texts = saved(
         docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(wanted, "id", "left_semi")
@@ -303,7 +352,8 @@ def duplicate_groups(docs: DataFrame, similarity=SIMILARITY, shingle=SHINGLE) ->
         "id", *SKETCH, F.coalesce("root", "id").alias("root")
     )
     able = saved(shared_shingles(near, texts, similarity, shingle), "shared-shingles")
-    rest = candidate_pairs(able, parities, similarity=similarity).join(pairs, ["a", "b"], "left_anti")
+    rest = candidate_pairs(able, parities, similarity=similarity).union(few_open_pairs(few, able, similarity)).distinct()
+    rest = rest.join(pairs, ["a", "b"], "left_anti")
     rest = saved(rest, "open-pairs")
     roots = connected_components(links.union(verified(rest, texts, similarity, shingle)))
     rooted = classes.join(roots, F.col("id") == F.col("node"), "left").select(
