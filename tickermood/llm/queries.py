@@ -9,8 +9,11 @@ from tickermood.llm.packing import pack_documents
 from tickermood.llm.quality_rules import quality_verdicts
 from tickermood.llm.secret_scan import scan_secrets
 from tickermood.llm.sentence_pieces import decoded, encoded
+from tickermood.llm.source_divergence import divergence
+from tickermood.llm.suffix_dedup import without_repeats
 from tickermood.llm.toxicity import toxicity_scores
 from tickermood.llm.url_filters import PATTERN_RULES, url_verdicts
+from tickermood.llm.whitening import whitened
 
 
 def table(spark: SparkSession, sf_dir, name) -> DataFrame:
@@ -67,6 +70,23 @@ def op10_toxicity(spark, sf_dir) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_suffix_dedup(spark, sf_dir) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op12_whitening(spark, sf_dir) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark, sf_dir) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sentencepiece": op2_sentencepiece,
@@ -78,6 +98,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -189,9 +212,77 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(f.key) AS n_dropp
 FROM keyed k LEFT JOIN frequent f ON k.key = f.key GROUP BY row_id
 """
 
+_OP11 = """
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, row_number() OVER (ORDER BY doc_id NULLS LAST) AS place FROM documents
+), grams AS (
+  SELECT place, s, md5_number(substring(h, 2 * s + 1, 200)) AS gram
+  FROM (SELECT place, h, unnest(range(length(h) // 2 - 99)) AS s FROM texts WHERE length(h) >= 200)
+), later AS (
+  SELECT place, s FROM (SELECT place, s, row_number() OVER (PARTITION BY gram ORDER BY place, s) AS nth FROM grams) WHERE nth > 1
+), marked AS (
+  SELECT place, s, coalesce(s > lag(s) OVER w + 100, true) AS new FROM later WINDOW w AS (PARTITION BY place ORDER BY s)
+), runs AS (
+  SELECT place, min(s) AS a, max(s) + 100 AS b
+  FROM (SELECT place, s, count(*) FILTER (new) OVER (PARTITION BY place ORDER BY s) AS run FROM marked) GROUP BY place, run
+), pieces AS (
+  SELECT place, coalesce(lag(b) OVER (PARTITION BY place ORDER BY a), 0) AS a, a AS b FROM runs
+  UNION ALL SELECT place, max(b), NULL FROM runs GROUP BY place
+), kept AS (
+  SELECT place, string_agg(substring(h, 2 * a + 1, 2 * (coalesce(b, length(h) // 2) - a)), '' ORDER BY a) AS k
+  FROM pieces JOIN texts USING (place) GROUP BY place
+), sums AS (
+  SELECT place, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY place
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM texts LEFT JOIN sums USING (place) LEFT JOIN kept USING (place)
+"""
+
+_OP13 = """
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents
+), words AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(body, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs
+), terms AS (
+  SELECT lang, term FROM words GROUP BY ALL HAVING count(DISTINCT id) >= 30
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN terms USING (lang, term) GROUP BY ALL
+), dense AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, sum(coalesce(n, 0)) OVER g AS total, count(*) OVER g AS v
+  FROM groups JOIN terms USING (lang) LEFT JOIN counts USING (lang, source, term) WINDOW g AS (PARTITION BY lang, source)
+), shares AS (
+  SELECT lang, source, term, n, 1 + 1000000000 * (n + 5) // (total + 5 * v) AS p FROM dense
+), langs AS (
+  SELECT lang, term, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang) AS total, count(*) OVER (PARTITION BY lang) AS v
+  FROM dense GROUP BY lang, term
+), base AS (
+  SELECT lang, term, 1 + 1000000000 * (n + 5) // (total + 5 * v) AS q FROM langs
+), apart AS (
+  SELECT lang, a.source AS source, b.source AS item, sum(abs(a.p - b.p)) AS d
+  FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang AS lang, a.source AS source, b.source AS item, coalesce(d, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+), items AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares JOIN base USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM items
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLE = {
     "op1_quality_rules": _OP1,
     "op5_url_filters": _OP5,
     "op6_embedding_dedup": _OP6,
     "op8_line_dedup": _OP8,
+    "op11_suffix_dedup": _OP11,
+    "op13_source_divergence": _OP13,
 }
