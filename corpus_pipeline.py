@@ -11,7 +11,7 @@ from tickermood.llm.common import saved, unused
 from tickermood.llm.line_dedup import dedup_lines
 from tickermood.llm.packing import pack_documents
 from tickermood.llm.secret_scan import mask_secrets
-from tickermood.llm.similar_documents import without_duplicates
+from tickermood.llm.simhash import without_duplicates
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir) -> DataFrame:
@@ -28,7 +28,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir) -> DataFrame:
-    """One document of each group of exact and near copies."""
+    """One document of each group whose fingerprints are linked."""
     return without_duplicates(docs)
 
 

@@ -1,11 +1,14 @@
 """Near-duplicates of texts and vectors, and components, against brute force."""
 
+import re
+
 import frames
 import numpy as np
 import pytest
+import xxhash
 
 from conftest import rows
-from tickermood.llm import embedding_dedup, simhash, similar_documents
+from tickermood.llm import embedding_dedup, queries, simhash
 from tickermood.llm.components import connected_components
 
 
@@ -64,89 +67,55 @@ def edited(rng, words, share):
     return [f"x{rng.integers(10**6)}" if rng.random() < share else w for w in words]
 
 
-def test_similar_documents_against_brute_force(spark):
-    rng = np.random.default_rng(5)
-    texts = []
-    for _ in range(12):
-        base = [f"w{rng.integers(400)}" for _ in range(300)]
-        texts += [" ".join(base), " ".join(base)] + [" ".join(edited(rng, base, s)) for s in (0.004, 0.008, 0.012, 0.2)]
-    docs = [(i, t) for i, t in enumerate(texts)]
-    near = [[similar_documents.jaccard(a, b) >= 0.8 for b in texts] for a in texts]
-    root = brute_components(len(texts), lambda i, j: near[i][j])
-    gone = {i for i in range(len(texts)) if root[i] != i}
-    found = {r["doc_id"] for r in rows(similar_documents.duplicate_groups(frames.documents(spark, docs)))}
-    assert found <= gone and len(found) >= 0.95 * len(gone)
-
-
-def test_a_large_group_gives_few_pairs():
-    """Copies of one base: the pairs kept over all places stay near the members, and connect them."""
-    rng = np.random.default_rng(8)
-    base = [f"w{rng.integers(5000)}" for _ in range(400)]
-    texts = [" ".join(base)] + [" ".join(edited(rng, base, 0.012)) for _ in range(150)]
-    found = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
-    sketch = np.array([[simhash.fingerprint(similar_documents.mixed(h, m)) for m in similar_documents.MIXES] for h in found], np.uint64)
-    ids, flips = np.arange(len(texts)), simhash.bit_flips(6, 4, 32)
-    parts, kept = similar_documents.parts_of(sketch), []
-    for table in range(similar_documents.TABLES):
-        homes = simhash.home_buckets(parts[:, table], 6, 32)
-        for bucket in range(64):
-            here = np.isin(homes ^ bucket, list(flips))
-            kept += similar_documents.bucket_pairs(ids[here], sketch[here], table, bucket, 6, flips).tolist()
-    distinct = {tuple(p) for p in kept}
-    assert len(kept) <= 2 * len(distinct) and len(distinct) < len(texts) * (len(texts) - 1) / 4
-    root = brute_components(len(texts), lambda i, j: (min(i, j), max(i, j)) in distinct)
-    assert len([r for i, r in enumerate(root) if r == i]) <= 3
-
-
-@pytest.mark.parametrize("with_base", [True, False])
-def test_families_have_the_components_of_all_pairs_that_meet(spark, with_base):
-    """Copies of a base and texts of a template: some pairs at the threshold, many just below it."""
-    rng = np.random.default_rng(21)
-    texts = []
-    for share in (0.012, 0.02, 0.025):
-        base = [f"w{rng.integers(5000)}" for _ in range(200)]
-        first = [" ".join(base)] if with_base else []
-        copies = [edited(rng, base, share) for _ in range(50)]
-        texts += first + [" ".join(c) for c in copies] + [" ".join(edited(rng, c, 0.015)) for c in copies[::2]]
-    found = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
-    sketch = np.array([[simhash.fingerprint(similar_documents.mixed(h, m)) for m in similar_documents.MIXES] for h in found], np.uint64)
-    parts = similar_documents.parts_of(sketch)
-
-    def meet(i, j):
-        apart = np.bitwise_count(sketch[i] ^ sketch[j]).sum()
-        return (np.bitwise_count(parts[i] ^ parts[j]) <= 4).any() and apart <= similar_documents.SKETCH_DISTANCE
-
-    n = len(texts)
-    near = [[i != j and meet(i, j) and similar_documents.jaccard(texts[i], texts[j]) >= 0.8 for j in range(n)] for i in range(n)]
-    root = brute_components(len(texts), lambda i, j: near[i][j])
-    docs = frames.documents(spark, list(enumerate(texts)), clash=False)
-    found = {r["doc_id"]: r["component_id"] for r in rows(similar_documents.duplicate_groups(docs))}
-    assert found == {i: r for i, r in enumerate(root) if r != i}
-
-
-def test_similar_texts_of_few_shingles_are_all_found(spark):
-    rng = np.random.default_rng(31)
-    texts = []
-    for n in range(8, 24):
-        for _ in range(10):
-            base = [f"w{rng.integers(10**6)}" for _ in range(n)]
-            texts += [" ".join(base), " ".join([*base, "more"])]
-    # Lines that begin alike and differ: no similar pairs, but they meet.
-    texts += [" ".join(["all", "of", "them", "begin", "like", "this", f"a{i}", f"b{i}", f"c{i}"]) for i in range(30)]
-    near = [[i != j and similar_documents.jaccard(a, b) >= 0.8 for j, b in enumerate(texts)] for i, a in enumerate(texts)]
-    gone = {i: j for i in range(len(texts)) for j in range(i) if near[i][j]}
-    assert len(gone) == 160
-    docs = frames.documents(spark, list(enumerate(texts)), clash=False)
-    found = {r["doc_id"]: r["component_id"] for r in rows(similar_documents.duplicate_groups(docs))}
-    assert found == gone
+def brute_fingerprint(text):
+    """Written from the contract, without the operator's helpers."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def test_query_against_brute_force(spark):
+    """Fingerprints and components of every row of the given table."""
+    found = {r["doc_id"]: r for r in rows(queries.op4_simhash(spark, "/root/testdata/sf0.001"))}
+    table = rows(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), "doc_id")
+    prints = [brute_fingerprint(r["text"]) for r in table]
+    roots = brute_components(len(table), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
+    assert len(found) == len(table)
+    for r, fp, root in zip(table, prints, roots):
+        assert found[r["doc_id"]]["fingerprint"] == f"{fp:016x}"
+        assert found[r["doc_id"]]["component_id"] == table[root]["doc_id"]
 
 
 def test_one_document_of_each_group_stays(spark):
-    kept = rows(similar_documents.without_duplicates(frames.documents(spark)))
-    ids = [r["doc_id"] for r in kept]
-    # 3, 4 and 5 have no words; rows without id are in no group.
-    assert sorted(i for i in ids if i) == [1, 3, 6, 7, 8] and ids.count(None) == 2
+    kept = rows(simhash.without_duplicates(frames.documents(spark)))
+    # 1, 2 and a row without id are copies, 3, 4, 5 and another one have no words.
+    assert sorted(r["doc_id"] for r in kept) == [1, 3, 6, 7, 8]
     assert set(frames.CLASH) <= set(kept[0])
+    assert rows(simhash.without_duplicates(frames.documents(spark, []))) == []
+
+
+def test_rows_of_one_id_are_judged_apart(spark):
+    texts = ["one two three four five", "six seven eight nine ten", "eleven twelve thirteen fourteen"]
+    docs = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (2, texts[1]), (None, texts[2]), (None, texts[2])]
+    kept = rows(simhash.without_duplicates(frames.documents(spark, docs)))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == [(0, texts[2]), (1, texts[0]), (2, texts[1])]
+
+
+def test_a_group_keeps_one_document_whatever_its_size(spark):
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(400)]
+    docs = []
+    for i in range(300):
+        words = list(base)
+        if i % 3:
+            words[rng.integers(400)] = f"x{i}"
+        docs.append((i, " ".join(words)))
+    docs += [(1000 + i, " ".join(f"y{i}z{j}" for j in range(50))) for i in range(20)]
+    prints = [brute_fingerprint(t) for _, t in docs]
+    roots = brute_components(len(docs), lambda i, j: (prints[i] ^ prints[j]).bit_count() <= 4)
+    kept = rows(simhash.without_duplicates(frames.documents(spark, docs)))
+    assert sorted(r["doc_id"] for r in kept) == sorted(docs[i][0] for i in set(roots))
 
 
 def brute_vectors(vectors, threshold):

@@ -16,7 +16,8 @@ fingerprints; exact copies of a text are never paired.
 
 Cases: a null or empty text has fingerprint 0 and is linked like any other. Rows with
 a null id get a result too; the component is named by the smallest id that is not
-null, if there is one. Repeated rows are returned as often as they come.
+null, if there is one. Repeated rows are returned as often as they come. A very long
+text is hashed whole, its bits added in parts. An empty table gives an empty table.
 """
 
 import itertools
@@ -26,9 +27,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tickermood.llm.common import saved
+from tickermood.llm.common import saved, unused
 from tickermood.llm.components import connected_components
 
 SHINGLE = 4
@@ -67,16 +68,23 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle=SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` is the fingerprint as a signed long."""
+def marked_fingerprints(docs: DataFrame, shingle=SHINGLE) -> DataFrame:
+    """``(doc_id, mark, fp)`` for every row of ``docs(doc_id, text, mark)``; ``fp`` is the fingerprint as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = (fingerprint(shingle_hashes(text.as_py(), shingle)) for text in batch.column(1))
+            found = (fingerprint(shingle_hashes(text.as_py(), shingle)) for text in batch.column(2))
             fps = np.fromiter(found, np.uint64, batch.num_rows).view(np.int64)
-            yield pa.record_batch({"doc_id": batch.column(0).cast(pa.int64()), "fp": pa.array(fps)})
+            yield pa.record_batch([*batch.columns[:2], pa.array(fps)], names=["doc_id", "mark", "fp"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), "mark", "text")
+    return rows.mapInArrow(run, "doc_id long, mark long, fp long")
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, shingle=SHINGLE) -> DataFrame:
+    """``(doc_id, fp)`` for every row."""
+    marked = docs.select("doc_id", "text", F.lit(0).cast("long").alias("mark"))
+    return marked_fingerprints(marked, shingle).select("doc_id", "fp")
 
 
 def parity_masks(parities: int, bits=64) -> list[int]:
@@ -217,16 +225,53 @@ def fingerprint_links(distinct: DataFrame, parities: int, radius=RADIUS) -> Data
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "a long, b long")
 
 
+def fingerprint_roots(classes: DataFrame, radius=RADIUS) -> DataFrame:
+    """``classes(fp, ...)``, one row per fingerprint, with ``root``, one fingerprint of its component."""
+    parities = parity_count(classes.count(), radius)
+    roots = connected_components(fingerprint_links(classes.select("fp"), parities, radius))
+    met = classes.join(roots, classes["fp"] == roots["node"], "left")
+    return met.select(*[classes[c] for c in classes.columns], F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, shingle=SHINGLE, radius=RADIUS) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row; the component is the smallest id linked to it."""
     prints = saved(fingerprints(docs, shingle), "fingerprints")
     classes = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprint-classes")
-    parities = parity_count(classes.count(), radius)
-    roots = connected_components(fingerprint_links(classes.select("fp"), parities, radius))
-    rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = fingerprint_roots(classes, radius)
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_print = rooted.select("fp", F.col("root").alias("of")).join(named, F.col("of") == F.col("root"))
     by_print = by_print.select(F.col("fp").alias("known"), "component_id")
     return prints.join(by_print, F.col("fp") == F.col("known"), "left").select("doc_id", "fp", "component_id")
+
+
+def text_mark(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def without_duplicates(docs: DataFrame, shingle=SHINGLE, radius=RADIUS) -> DataFrame:
+    """``docs`` with one row of each component; all columns stay.
+
+    The row of smallest id stays, a null id coming last; of rows that share it, the text of
+    smallest hash, and of equal rows any one. A row is told by its id and the hash of its text,
+    so rows of one id and different texts are judged apart.
+    """
+    marked = docs.select("doc_id", "text", text_mark(F.col("text")).alias("mark"))
+    prints = saved(marked_fingerprints(marked, shingle), "marked-fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "mark")
+    keys = prints.groupBy("fp", "doc_id", "mark").agg(F.count(F.lit(1)).alias("n"))
+    classes = saved(prints.groupBy("fp").agg(F.min(order).alias("least")), "fingerprint-classes")
+    rooted = fingerprint_roots(classes, radius)
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("stays"))
+    by_print = rooted.select("fp", F.col("root").alias("of")).join(chosen, F.col("of") == F.col("root"))
+    judged = keys.join(by_print.select(F.col("fp").alias("known"), "stays"), F.col("fp") == F.col("known"))
+    stays = F.col("stays")["doc_id"].eqNullSafe(F.col("doc_id")) & (F.col("stays")["mark"] == F.col("mark"))
+    judged = saved(
+        judged.select(F.col("doc_id").alias("judged_id"), F.col("mark").alias("judged_mark"), "n", stays.alias("stays")),
+        "judged-rows",
+    )
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("judged_id")) & (text_mark(docs["text"]) == F.col("judged_mark"))
+    others = judged.where("not stays or n > 1").select("judged_id", "judged_mark").distinct()
+    repeated = judged.where("stays and n > 1").select("judged_id", "judged_mark")
+    mark = unused(docs.columns, "mark")
+    one_each = docs.join(repeated, same, "left_semi").withColumn(mark, text_mark(F.col("text")))
+    return docs.join(others, same, "left_anti").unionByName(one_each.dropDuplicates(["doc_id", mark]).drop(mark))
