@@ -2,9 +2,11 @@ import datetime as dt
 import json
 import time
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tickermood.functions import lookup
 from tickermood.operators.sentiment import daily_sentiment
 from tickermood.plans.catalog import QUERIES
 from tickermood.plans.feature_table import score_articles
@@ -105,3 +107,22 @@ def test_calls_of_new_symbols_and_of_days_that_change_late(spark, tmp_path):
 
 def test_stream_queries(spark):
     assert QUERIES["stream_trend"](spark, "/root/testdata/sf0.01").count() == 5
+
+
+def test_a_large_dictionary_scores_a_stream_batch_by_batch(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "landing"
+    texts = [("A", 1, "good good"), ("A", 1, "bad"), ("B", 2, "not good"), ("A", 2, "plain"), ("A", 2, "good good")]
+    for i, (symbol, day, text) in enumerate(texts):
+        land(landing / symbol, f"n{i}", day, text)
+    valences, expected = run(spark, tmp_path)
+    monkeypatch.setattr(lookup, "INLINE_TERMS", 0)
+    stream = news.stream_news(spark, f"{landing}/*", files_per_trigger=2)
+    with pytest.raises(ValueError, match="write_scored"):
+        news.stream_daily_sentiment(stream, valences, default_lexicon(spark))
+    scored, out = str(tmp_path / "scored"), str(tmp_path / "daily")
+    news.write_scored(
+        stream, valences, default_lexicon(spark), scored, str(tmp_path / "scored-offsets"), available_now=True
+    ).awaitTermination()
+    daily = news.daily_of_scored(news.stream_scored(spark, scored))
+    news.write_updates(daily, out, str(tmp_path / "daily-offsets"), available_now=True).awaitTermination()
+    assert rows(news.read_updates(spark, out), "symbol", "date") == expected

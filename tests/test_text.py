@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tickermood.functions import lookup
-from tickermood.operators import sentiment, text
+from tickermood.operators import sentiment, term_join, text
 from tickermood.schemas import CLASS_LEXICON, LEMMAS, VALENCE_LEXICON
 from tickermood.sources.dictionaries import NEGATIVE_WORDS, POSITIVE_WORDS, default_lexicon, default_wordlist
 from tickermood.sources.local import small_frame
@@ -13,7 +13,7 @@ from tickermood.sources.local import small_frame
 SCHEMA = "doc_id long, article string"
 
 # Scores must not depend on the size of the dictionary.
-BOTH_SIZES = pytest.mark.parametrize("filler", [0, 10_000])
+BOTH_SIZES = pytest.mark.parametrize("filler", [0, 10_000, 25_000])
 
 
 def padded(spark, lexicon, filler):
@@ -204,10 +204,64 @@ def test_forms_that_differ_in_case_are_one(spark, filler):
     assert sorted(r["token"] for r in rows(tokens)) == ["not", "usa", "usa"]
 
 
-def test_too_large_a_dictionary_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(lookup, "MAX_TERMS", 3)
-    with pytest.raises(ValueError, match="at most 3 terms"):
-        sentiment.valence_score(docs(spark, "x"), padded(spark, small_frame(spark, [("good", 3)], VALENCE_LEXICON), 3))
+def random_texts(n, seed=4):
+    """Texts with repeats, without words and without a text; some ids twice or missing."""
+    rnd = random.Random(seed)
+    words = "not very good bad lack of little cool too zz recommend others to avoid barely Good, BAD".split()
+    texts = [" ".join(rnd.choices(words, k=rnd.randrange(12))) + rnd.choice(["", ".", "! Not good. x"]) for _ in range(n)]
+    found = [(i % (n - 3), t) for i, t in enumerate(texts)] + [(None, texts[0]), (None, None), (1, ""), (2, texts[1])]
+    return found + [found[4]] * 3
+
+
+def _scores(spark, df, lemmas):
+    valences = small_frame(spark, [("good", 3), ("bad", -3), ("bad", -1), ("not good", -2), ("lack of cool", 5)], VALENCE_LEXICON)
+    words = default_wordlist(spark).unionByName(small_frame(spark, [("good,", "positive"), ("bad", "negative")], CLASS_LEXICON))
+    order = lambda found: sorted(map(repr, rows(found)))
+    yield order(sentiment.valence_score(df, valences))
+    yield order(sentiment.valence_score(df, valences.where("not term like '% %'")))
+    for granularity in ("document", "sentence"):
+        for forms in (None, lemmas):
+            yield order(sentiment.dictionary_sentiment(df, default_lexicon(spark), lemmas=forms, granularity=granularity))
+    yield order(sentiment.dictionary_hits(df, default_lexicon(spark)))
+    yield order(sentiment.wordlist_polarity(df, words))
+
+
+def test_a_joined_dictionary_scores_like_an_inline_one(spark, monkeypatch):
+    df = spark.createDataFrame(random_texts(60), SCHEMA).withColumn("term", F.lit("x")).repartition(3)
+    lemmas = small_frame(spark, [("little", "barely"), ("cool", "good"), ("zz", "not")], LEMMAS)
+    inline = list(_scores(spark, df, lemmas))
+    monkeypatch.setattr(lookup, "INLINE_TERMS", 0)
+    joined = list(_scores(spark, df, lemmas))
+    assert joined == inline
+
+
+def test_half_a_million_terms(spark):
+    """The joined way, against sums by hand; the words of the texts are among the terms."""
+    terms = spark.range(500_000).select(
+        F.concat(F.lit("w"), F.translate(F.hex("id"), "0123456789ABCDEF", "abcdefghijklmnop")).alias("term"),
+        (F.col("id") % 11 - 5).cast("int").alias("valence"),
+    )
+    name = lambda i: "w" + format(i, "X").translate(str.maketrans("0123456789ABCDEF", "abcdefghijklmnop"))
+    numbers = [[7, 499_999, 123_456, 7], [500_001, 600_000], [], list(range(0, 500_000, 4999))]
+    df = docs(spark, *(" ".join(map(name, n)) for n in numbers), "no such words")
+    expected = [sum(i % 11 - 5 for i in n if i < 500_000) for n in numbers] + [0]
+    assert column(sentiment.valence_score(df, terms), "afinn_sentiment") == expected
+    classes = terms.select("term", F.when(F.col("valence") > 0, "positive").otherwise("negative").alias("class"))
+    signs = [sum(1 if i % 11 > 5 else -1 for i in n if i < 500_000) for n in numbers] + [0]
+    assert column(sentiment.dictionary_sentiment(df, classes), "sentiment_score") == signs
+
+
+def test_words_are_filtered_before_they_move(spark, monkeypatch):
+    """The Bloom filter stands below the join, and no text takes part in it."""
+    monkeypatch.setattr(lookup, "INLINE_TERMS", 0)
+    monkeypatch.setattr(term_join, "BLOOM_LONGS", 64)
+    known = term_join.bloom_filter(small_frame(spark, [("good", 3), ("bad", 1)], VALENCE_LEXICON))
+    words = spark.range(4096).select(F.concat(F.lit("w"), "id").alias("w")).union(spark.createDataFrame([("good",), ("bad",)], "w string"))
+    passed = rows(words.where(known(F.col("w"))))
+    assert {"good", "bad"} <= {r["w"] for r in passed} and len(passed) < 40
+    plan = sentiment.valence_score(docs(spark, "good"), small_frame(spark, [("good", 3)], VALENCE_LEXICON))
+    plan = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "getbit" in plan or "bit_get" in plan
 
 
 def test_daily_mean_and_sum(spark):

@@ -1,18 +1,18 @@
 """Dictionary lookup inside an expression.
 
-Scoring a text needs nothing but the text and a dictionary of the language, which
-does not grow with the texts. Held as a constant of the plan, it is looked up where
-the text is read: no row leaves its task, nothing is shuffled, no column is needed to
-tell rows apart, and a stream is scored like a table. This holds for every dictionary
-of up to ``MAX_TERMS`` rows; a larger one is refused.
+Scoring a text needs nothing but the text and a dictionary. One of up to ``INLINE_TERMS``
+rows is held as a constant of the plan and looked up where the text is read: no row leaves
+its task, nothing is shuffled, no column is needed to tell rows apart, and a stream is
+scored like a table. A larger one is joined instead (``operators.term_join``), with the
+same results.
 """
 
 import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# What goes to every task has a bound: some tens of MB at this many terms.
-MAX_TERMS = 200_000
+# What goes to the driver and to every task has a bound: about a MB at this many terms.
+INLINE_TERMS = 20_000
 
 
 class Lookup:
@@ -44,14 +44,12 @@ class Lookup:
 
 
 def fetch_lookup_rows(rows: DataFrame):
-    """The rows of a dictionary with the hash of ``word``; refuses more than ``MAX_TERMS``."""
-    found = rows.withColumn("word_hash", F.hash("word")).limit(MAX_TERMS + 1).collect()
-    if len(found) > MAX_TERMS:
-        raise ValueError(f"a dictionary holds at most {MAX_TERMS} terms")
-    return found
+    """The rows of a dictionary with the hash of ``word``; None if there are more than ``INLINE_TERMS``."""
+    found = rows.withColumn("word_hash", F.hash("word")).limit(INLINE_TERMS + 1).collect()
+    return found if len(found) <= INLINE_TERMS else None
 
 
-def word_lookup(rows: DataFrame, value: str, value_type: str) -> Lookup:
-    """Lookup of a ``(word, value)`` table with one row per word."""
+def word_lookup(rows: DataFrame, value: str, value_type: str) -> Lookup | None:
+    """Lookup of a ``(word, value)`` table with one row per word; None for a large one."""
     found = fetch_lookup_rows(rows.select("word", value))
-    return Lookup([(r["word"], r["word_hash"], r[value]) for r in found], value_type)
+    return None if found is None else Lookup([(r["word"], r["word_hash"], r[value]) for r in found], value_type)

@@ -1,10 +1,15 @@
-"""Article scores by valence list, by dictionary with modifiers and by word list."""
+"""Article scores by valence list, by dictionary with modifiers and by word list.
+
+Each has two ways with the same results: a small dictionary is a constant of the plan, a
+larger one is joined with the words of the texts.
+"""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickermood.functions.columns import polarity
 from tickermood.functions.lookup import Lookup, fetch_lookup_rows, word_lookup
 from tickermood.functions.text import blank_separated, sentence_words, word_array
+from tickermood.operators.term_join import phrase_hits, replaced_words
 from tickermood.operators.text import each, lemma_forms
 
 _ENTRY = "struct<n:int,words:array<string>,value:double,factor:double>"
@@ -39,12 +44,14 @@ def valence_entries(lexicon: DataFrame) -> DataFrame:
     return _entries(lexicon, F.col("valence").cast("double"), F.lit(None).cast("double"))
 
 
-def _phrase_lookup(entries: DataFrame) -> tuple[Lookup, int]:
-    """(lookup of first word -> entries, longest first; largest n).
+def _phrase_lookup(entries: DataFrame) -> tuple[Lookup, int] | None:
+    """(lookup of first word -> entries, longest first; largest n), or None for a large dictionary.
 
     Of several entries with the same words the one of smallest value counts.
     """
     rows = fetch_lookup_rows(entries)
+    if rows is None:
+        return None
     grouped: dict = {}
     nulls_first = lambda v: (v is not None, v or 0.0)
     for r in sorted(rows, key=lambda r: (-r["n"], nulls_first(r["value"]), nulls_first(r["factor"]))):
@@ -54,6 +61,18 @@ def _phrase_lookup(entries: DataFrame) -> tuple[Lookup, int]:
     return lookup, max((r["n"] for r in rows), default=1)
 
 
+def _terms(entries: DataFrame) -> DataFrame:
+    """The entries as (term, n, value, factor), one row per term, the one of smallest value."""
+    least = F.min(F.struct("value", "factor")).alias("least")
+    rows = entries.groupBy(F.array_join("words", " ").alias("term"), "n").agg(least)
+    return rows.select("term", "n", "least.value", "least.factor")
+
+
+def _refuse_stream(df: DataFrame) -> None:
+    if df.isStreaming:
+        raise ValueError("a stream is scored by a large dictionary batch by batch: see streaming.news.write_scored")
+
+
 # The expressions below are SQL text: one call to the JVM instead of hundreds, one
 # for every function in them.
 
@@ -91,10 +110,14 @@ def _fold(hits: str) -> str:
         s -> s.total)"""
 
 
-def _lemmatized(words: Column, lemmas: DataFrame) -> Column:
-    """The words of array<array<string>> replaced by their lemmas."""
-    lookup = word_lookup(lemma_forms(lemmas), "lemma", "string")
-    return F.transform(words, lambda s: F.transform(s, lambda w: F.coalesce(lookup.of(w), w)))
+def _lemmatized(df: DataFrame, words: Column, lemmas: DataFrame, out: str) -> DataFrame:
+    """``df`` with ``out``: the words of array<array<string>> replaced by their lemmas."""
+    forms = lemma_forms(lemmas)
+    lookup = word_lookup(forms, "lemma", "string")
+    if lookup is None:
+        _refuse_stream(df)
+        return replaced_words(df, words, forms, out)
+    return df.withColumn(out, F.transform(words, lambda s: F.transform(s, lambda w: F.coalesce(lookup.of(w), w))))
 
 
 def valence_score(
@@ -104,8 +127,15 @@ def valence_score(
 
     ``words`` gives the words of the text where they are at hand already.
     """
-    lookup, max_n = _phrase_lookup(valence_entries(lexicon))
+    entries = valence_entries(lexicon)
+    small = _phrase_lookup(entries)
     with_words = df.withColumn("_words", word_array(text_col) if words is None else words)
+    if small is None:
+        _refuse_stream(df)
+        found = phrase_hits(with_words, F.array("_words"), _terms(entries))
+        total = F.expr(_fold("_hits[0].hits"))
+        return found.withColumn(out, F.coalesce(total, F.lit(0.0))).drop("_words", "_hits")
+    lookup, max_n = small
     if max_n == 1:
         known = f"filter(transform(_words, w -> {lookup.get('w')}), e -> e is not null)"
         total = F.expr(f"aggregate({known}, 0D, (total, e) -> total + e[0].value)")
@@ -130,9 +160,19 @@ def dictionary_sentiment(
     if granularity not in ("document", "sentence"):
         raise ValueError(f"unknown granularity {granularity!r}: use 'document' or 'sentence'")
     words = sentence_words(text_col) if sentences is None else sentences
-    with_words = df.withColumn("_words", words if lemmas is None else _lemmatized(words, lemmas))
-    fold = _fold(_hits("words", *_phrase_lookup(class_entries(lexicon))))
-    scored = with_words.withColumn("_totals", F.expr(f"transform(_words, words -> {fold})"))
+    with_words = df.withColumn("_words", words) if lemmas is None else _lemmatized(df, words, lemmas, "_words")
+    entries = class_entries(lexicon)
+    small = _phrase_lookup(entries)
+    if small is None:
+        _refuse_stream(df)
+        found = phrase_hits(with_words, F.col("_words"), _terms(entries))
+        # Sentences without a hit have a total of 0; one of these stands for all.
+        totals = f"coalesce(transform(_hits, s -> {_fold('s.hits')}), array())"
+        rest = "if(size(_words) > coalesce(size(_hits), 0), array(0D), array())"
+        scored = found.withColumn("_totals", F.expr(f"concat({totals}, {rest})"))
+    else:
+        fold = _fold(_hits("words", *small))
+        scored = with_words.withColumn("_totals", F.expr(f"transform(_words, words -> {fold})"))
     total = F.aggregate("_totals", F.lit(0.0), lambda a, b: a + b)
     scored = scored.withColumn("sentiment_score", F.coalesce(total, F.lit(0.0)))
     if granularity == "document":
@@ -152,7 +192,13 @@ def dictionary_hits(
     terms = lexicon.select(F.array_join(word_array("term"), " ").alias("term")).distinct()
     entries = _entries(terms, F.lit(0.0), F.lit(0.0)).select("word", "n", "words", "value", "factor")
     by_sentence = each(df, [id_col], sentence_words(text_col), "sent_id", "_s")
-    rows = by_sentence.withColumn("_hits", F.expr(_hits("_s", *_phrase_lookup(entries))))
+    small = _phrase_lookup(entries)
+    if small is None:
+        _refuse_stream(df)
+        found = phrase_hits(by_sentence, F.array("_s"), _terms(entries))
+        rows = found.withColumn("_hits", F.col("_hits")[0]["hits"])
+    else:
+        rows = by_sentence.withColumn("_hits", F.expr(_hits("_s", *small)))
     # A running maximum of the ends tells the hits that start inside an earlier one.
     state = F.struct(F.lit(-1).alias("end"), F.expr("cast(array() as array<struct<pos:int,n:int>>)").alias("kept"))
 
@@ -183,8 +229,13 @@ def pnn_score(df: DataFrame, sentiment="sentiment", out="pnn_sentiment") -> Data
 
 def wordlist_polarity(df: DataFrame, words: DataFrame, text_col="article", out="sentiment_score") -> DataFrame:
     """(p - n) / max(p + n, 1) over the listed words, compared in lower case."""
+    listed = words.select(F.lower("term").alias("word"), "class")
+    rows = fetch_lookup_rows(listed)
+    if rows is None:
+        _refuse_stream(df)
+        return _joined_polarity(df, listed, text_col, out)
     classes: dict = {}
-    for r in fetch_lookup_rows(words.select(F.lower("term").alias("word"), "class")):
+    for r in rows:
         classes.setdefault((r["word"], r["word_hash"]), set()).add(r["class"])
     marked = [(w, h, {c: c in held for c in ("positive", "negative")}) for (w, h), held in classes.items()]
     lookup = Lookup(marked, "struct<positive:boolean,negative:boolean>")
@@ -197,6 +248,17 @@ def wordlist_polarity(df: DataFrame, words: DataFrame, text_col="article", out="
     return scored.drop("_words", "_marks")
 
 
+def _joined_polarity(df: DataFrame, listed: DataFrame, text_col: str, out: str) -> DataFrame:
+    """The polarity by a large list; a hit's value marks a positive word, its factor a negative one."""
+    held = lambda name: F.max((F.col("class") == name).cast("double"))
+    terms = listed.groupBy(F.col("word").alias("term")).agg(
+        F.lit(1).alias("n"), held("positive").alias("value"), held("negative").alias("factor")
+    )
+    found = phrase_hits(df.withColumn("_words", blank_separated(text_col)), F.array("_words"), terms.where("term is not null"))
+    count = lambda field: F.expr(f"size(filter(coalesce(_hits[0].hits, array()), h -> h.{field} = 1D))")
+    return found.withColumn(out, polarity(count("value"), count("factor"))).drop("_words", "_hits")
+
+
 def daily_sentiment(df: DataFrame, agg="avg", by=("symbol", "date")) -> DataFrame:
     """Mean (or sum) of both scores per symbol and day.
 

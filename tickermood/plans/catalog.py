@@ -761,20 +761,16 @@ def stream_trend_days(spark, sf):
 
 # --- dictionaries from files and of large size ------------------------------
 
-# Words of up to this many letters make several thousand terms at every scale.
-LARGE_LETTERS = 6
-
 
 def _corpus_words(spark, sf):
-    """The short words of the documents, each with a number from its letters."""
+    """All words of the documents, each with a number from its letters."""
     words = sample.documents(spark, sf).select(F.explode(F.array_distinct(word_array("text"))).alias("term")).distinct()
-    short = words.where(F.length("term") <= LARGE_LETTERS)
-    return short.withColumn("number", F.ascii(F.substring("term", -1, 1)) - 96 + F.length("term"))
+    return words.withColumn("number", F.ascii(F.substring("term", -1, 1)) - 96 + F.length("term"))
 
 
 @query
 def valence_score_large(spark, sf):
-    """Valences of thousands of words, written as a file and loaded from it."""
+    """Valences of every word of the corpus, written as a file and loaded from it."""
     path = scratch_path(spark, "valences")
     lines = _corpus_words(spark, sf).select(F.concat("term", F.lit("\t"), (F.col("number") % 11 - 5).cast("string")))
     lines.union(spark.createDataFrame([("",), ("no valence",), ("bad\tnumber",)], "line string")).write.text(path)
@@ -790,7 +786,7 @@ def _large_classes(spark, sf):
 
 @query
 def dictionary_sentiment_large(spark, sf):
-    """A class dictionary of thousands of words, written as a file and loaded from it."""
+    """A class dictionary of every word of the corpus, written as a file and loaded from it."""
     path = scratch_path(spark, "classes")
     _large_classes(spark, sf).select(F.concat_ws(",", "term", "class")).write.text(path)
     rows = sentiment.dictionary_sentiment(sample.news(spark, sf), read_lexicon(spark, path))
@@ -805,7 +801,7 @@ def wordlist_large(spark, sf):
 
 @query
 def lemmas_large(spark, sf):
-    """Lemmas of thousands of forms, loaded from a file that lists some forms twice."""
+    """Lemmas of every word of the corpus, loaded from a file that lists some forms twice."""
     path = scratch_path(spark, "lemmas")
     forms = _corpus_words(spark, sf).select(
         F.concat(F.substring("term", 1, 3), F.lit("->"), "term", F.lit("\t"), F.upper("term")).alias("line")
@@ -839,6 +835,6 @@ def header_files(spark, sf):
 @query
 def title_score(spark, sf):
     """Scores of another column than the article."""
-    rows = sample.news(spark, sf).withColumn("title", F.substring("article", 1, 200)).drop("article")
+    rows = sample.news(spark, sf).withColumnRenamed("article", "title")
     scored = score_articles(rows, sample.valences(spark), sample.classes(spark), text_col="title")
     return scored.select("doc_id", "afinn_sentiment", "pnn_sentiment")

@@ -21,8 +21,7 @@ PARTS = {
     "lemma": f"lemma(form, lemma) as (values {_values(SAMPLE_LEMMAS)})",
     "corpuswords": """corpuswords as (
         select term, ascii(right(term, 1)) - 96 + length(term) as number
-        from (select distinct unnest(regexp_extract_all(lower(text), '[a-z]+')) as term from documents) w
-        where length(term) <= 6)""",
+        from (select distinct unnest(regexp_extract_all(lower(text), '[a-z]+')) as term from documents) w)""",
     "largelexicon": """lexicon as (
         select term, number % 11 - 5 as valence,
                ['positive', 'negative', 'increment', 'decrement', 'revert'][number % 5 + 1] as class
@@ -508,12 +507,12 @@ ORACLE["article_files"] = _sql(
         min('Article ' || doc_id) as first_title from news group by 1, 2""",
 )
 ORACLE["header_files"] = _sql(_FEATURES, f"{_ROUNDED_FEATURES} from features").replace("select symbol, date, round", "select date, round")
-_TITLES = PARTS["news"].replace("text as article", "substr(text, 1, 200) as article")
+# Scored is the whole text, read under another name.
 ORACLE["title_score"] = _sql(
     "news lexicon sents toks hits sentscores dictscores valued",
     """select v.doc_id, v.afinn_sentiment, cast(sign(sentiment_score) as int) as pnn_sentiment
     from valued v join dictscores d on v.doc_id = d.doc_id""",
-).replace(PARTS["news"], _TITLES)
+)
 # The stream's last call of a symbol is for its latest day with a price change and articles.
 ORACLE["stream_trend_days"] = _sql(
     "segprices changes segnews",

@@ -27,7 +27,38 @@ def stream_daily_sentiment(
     State is one row per symbol and open day. Articles published longer than
     ``watermark`` before the newest one seen come too late and are dropped.
     """
-    scored = score_articles(stream, valences, classes, lemmas, text_col)
+    return daily_of_scored(score_articles(stream, valences, classes, lemmas, text_col), watermark)
+
+
+def write_scored(
+    stream: DataFrame, valences: DataFrame, classes: DataFrame, path, checkpoint, lemmas=None, text_col="article",
+    keep=("symbol", "date"), available_now=False,
+):
+    """Score a stream by dictionaries of any size: each batch is joined like a table and written below ``path``.
+
+    ``stream_scored`` reads the scores as a stream again. A batch that runs again after a
+    failure replaces its own folder, so let the reader follow when this query has ended
+    its batches (both with ``available_now``, one after the other).
+    """
+    columns = [*keep, "afinn_sentiment", "pnn_sentiment"]
+
+    def score(batch: DataFrame, batch_id: int) -> None:
+        scored = score_articles(batch, valences, classes, lemmas, text_col).select(*columns)
+        scored.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def stream_scored(spark: SparkSession, path, files_per_trigger=1000) -> DataFrame:
+    """The articles scored by ``write_scored``, as a stream of ``symbol, date, afinn_sentiment, pnn_sentiment``."""
+    schema = "symbol string, date date, afinn_sentiment double, pnn_sentiment int"
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{path}/*")
+    return rows.select("symbol", "date", "afinn_sentiment", "pnn_sentiment")
+
+
+def daily_of_scored(scored: DataFrame, watermark="2 days") -> DataFrame:
+    """Daily means of scored articles, over tumbling one-day windows."""
     timed = scored.withColumn("published", F.col("date").cast("timestamp")).withWatermark("published", watermark)
     return (
         timed.groupBy(F.window("published", "1 day"), "symbol")
