@@ -73,14 +73,42 @@ def within_span(df: DataFrame, scores: DataFrame, by="symbol", order="date") ->
     return inside.filter(F.col(order).between(F.col("first_day"), F.col("last_day"))).select(*df.columns)
 
 
+def span_bounds(scores: DataFrame, order="date"):
+    """First and last scored day of all symbols together, None without any. A job over the days alone."""
+    found = scores.agg(F.min(order).alias("first_day"), F.max(order).alias("last_day")).first()
+    return (found["first_day"], found["last_day"]) if found["first_day"] is not None else None
+
+
+def neighbour_bounds(bars: DataFrame, first_day, last_day, by="symbol", order="date"):
+    """The bounds, moved out so far that every symbol keeps the session before and the one after its rows within.
+
+    Reads symbols and days only.
+    """
+    days = bars.select(by, order)
+    before = days.filter(F.col(order) < F.lit(first_day)).groupBy(by).agg(F.max(order).alias("day"))
+    after = days.filter(F.col(order) > F.lit(last_day)).groupBy(by).agg(F.min(order).alias("day"))
+    low, high = before.agg(F.min("day")).first()[0], after.agg(F.max("day")).first()[0]
+    return low or first_day, high or last_day
+
+
 def restrict_to_span(bars: DataFrame, scores: DataFrame, cut="after", inference=False) -> DataFrame:
     """Price features of the scored span.
 
     ``cut="after"`` derives the changes first, so the first session in the span
     keeps its change. ``cut="before"`` drops earlier bars first and loses it.
+
+    The scored days are looked up first and bound the scan of ``bars`` as constants, so that
+    files and row groups of other days are not read; each symbol's own span is cut after that.
     """
+    if cut not in ("after", "before"):
+        raise ValueError(f"unknown cut {cut!r}: use 'after' or 'before'")
+    bounds = span_bounds(scores)
+    if bounds is None:
+        bars = bars.limit(0)
+    else:
+        if cut == "after":
+            bounds = neighbour_bounds(bars, *bounds)
+        bars = bars.filter(F.col("date").between(*map(F.lit, bounds)))
     if cut == "after":
         return within_span(price_features(bars, inference), scores)
-    if cut == "before":
-        return price_features(within_span(bars, scores), inference)
-    raise ValueError(f"unknown cut {cut!r}: use 'after' or 'before'")
+    return price_features(within_span(bars, scores), inference)

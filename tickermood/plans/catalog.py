@@ -11,7 +11,7 @@ from tickermood.functions.dates import assign_window, fetch_windows, month_name,
 from tickermood.functions.text import sentence_array, word_array
 from tickermood.operators import evaluation, features, market, neighbours, scaling, sentiment, splits, stats, text
 from tickermood.operators.ordinal import article_ordinal
-from tickermood.plans import inference, training
+from tickermood.plans import inference, scoring, training
 from tickermood.plans.feature_table import daily_scores, feature_table, scale_daily, score_articles
 from tickermood.schemas import FEATURES, MARKET_COLUMNS, SENTIMENT_COLUMNS, TARGET
 from tickermood.session import materialize, saved, scratch_path
@@ -91,6 +91,22 @@ def price_span_cut_before(spark, sf):
     return rounded(market.restrict_to_span(bars, scores, cut="before"))
 
 
+@query
+def price_span_files(spark, sf):
+    """The scored span of bars that lie in files, a folder per symbol; the scan is bounded by the scored days."""
+    path = scratch_path(spark, "bars")
+    tables.write_prices(sample.segment_prices(spark, sf), path)
+    return rounded(market.restrict_to_span(tables.read_prices(spark, path), sample.segment_news(spark, sf)))
+
+
+@query
+def ordered_files(spark, sf):
+    """Bars written in one order of days, with the place of each row as its file tells it."""
+    path = scratch_path(spark, "ordered")
+    tables.write_ordered(sample.segment_prices(spark, sf), path, files=7)
+    return tables.read_ordered(spark, path).select("position", "symbol", "date", "volume")
+
+
 @query
 def next_session(spark, sf):
     days = sample.segment_prices(spark, sf).select("symbol", "date")
@@ -699,6 +715,30 @@ def predict_trend(spark, sf):
     return inference.trend_text(calls[0].unionByName(calls[1]))
 
 
+@query
+def tree_scores(spark, sf):
+    """Votes of a tree ensemble that is a table of nodes, and the class they call."""
+    votes = scoring.tree_votes(sample.trees(spark), feature_columns(True))
+    rows = _segment_features(spark, sf).withColumn("votes", votes).select("symbol", "date", "votes.*")
+    return rounded(rows.withColumn("prediction", (F.col("up") > F.col("down")).cast("int")))
+
+
+@query
+def perceptron_scores(spark, sf):
+    """Probability of a rise by a perceptron that is a table of weights."""
+    x = "array(" + ", ".join(f"cast({c} as double)" for c in feature_columns(True)) + ")"
+    found = scoring.perceptron_probabilities(sample.perceptron(spark), x)
+    return rounded(_segment_features(spark, sf).select("symbol", "date", found[0].alias("down"), found[1].alias("up")))
+
+
+@query
+def linear_calls(spark, sf):
+    """The call after each symbol's latest day by a model that is a table of coefficients."""
+    score = scoring.linear_score(sample.linear(spark))
+    calls = inference.predict_trend(_segment_features(spark, sf, inference=True), scoring.called(score), True)
+    return calls.select("symbol", "date", "next_session", "sentiment", "trend")
+
+
 # --- streams ----------------------------------------------------------------
 
 # The landed articles come in at least this many triggers.
@@ -753,6 +793,46 @@ def stream_trend(spark, sf):
     return streaming.read_trends(spark, path)
 
 
+@query
+def stream_linear_calls(spark, sf):
+    """Calls of a model that is a table of coefficients, kept up to date over several triggers."""
+    lexicons = (sample.valences(spark), sample.classes(spark))
+    history = materialize(sentiment.daily_sentiment(score_articles(sample.segment_news(spark, sf), *lexicons)))
+    deviation = history.groupBy("symbol").agg(F.stddev_samp("afinn_sentiment_mean").alias("deviation"))
+    stream = _landed_stream(spark, sf, sample.segment_news(spark, sf))
+    path = scratch_path(spark, "trend")
+    streaming.stream_trend(
+        streaming.stream_daily_sentiment(stream, *lexicons, watermark="731 days"),
+        saved(_segment_changes(spark, sf), "changes"), scoring.called(scoring.linear_score(sample.linear(spark))), True,
+        path, scratch_path(spark, "offsets"), materialize(deviation), available_now=True,
+    ).awaitTermination()
+    return streaming.read_trends(spark, path).select("symbol", "date", "next_session", "sentiment", "trend")
+
+
+# Days of a landing, of which a seventh of the articles lands two landings later.
+LANDING_DAYS = 5
+
+
+@query
+def stream_late_articles(spark, sf):
+    """Six landings, some articles long after their day: what each day keeps and what the watermark drops."""
+    landing, daily, offsets = (scratch_path(spark, name) for name in ("late-landing", "late-daily", "late-offsets"))
+    news = sample.news(spark, sf).withColumn("landing", F.floor(F.datediff("date", F.lit(sample.FIRST_DAY)) / LANDING_DAYS))
+    late = F.when(F.col("doc_id") % 7 == 3, 2).otherwise(0)
+    news = news.withColumn("landing", F.least(F.col("landing") + late, F.lit(5)))
+    rows = saved(news.select("landing", "article", _published().alias("published date"), "symbol"), "late-news")
+    stream = lambda: streaming.stream_news(spark, f"{landing}/*/*").withColumn(
+        "symbol", F.regexp_replace("symbol", "^symbol=", "")
+    )
+    for k in range(6):
+        rows.where(F.col("landing") == k).drop("landing").write.partitionBy("symbol").json(f"{landing}/{k}")
+        scores = streaming.stream_daily_sentiment(stream(), sample.valences(spark), sample.classes(spark), counts=True)
+        streaming.write_updates(scores, daily, offsets, available_now=True).awaitTermination()
+    arrivals = scratch_path(spark, "arrivals")
+    streaming.write_arrivals(stream(), arrivals, scratch_path(spark, "arrival-offsets"), available_now=True).awaitTermination()
+    return streaming.late_articles(spark, arrivals, daily)
+
+
 @query
 def stream_trend_days(spark, sf):
     """The day each symbol's streamed call is for, which no model decides."""

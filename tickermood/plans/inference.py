@@ -1,7 +1,7 @@
 """The call for the next session."""
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tickermood.functions.columns import trend_label
 from tickermood.functions.dates import month_name, next_session_date
@@ -12,12 +12,13 @@ def latest_prediction(predictions: DataFrame) -> DataFrame:
     return latest_row(predictions.select("symbol", "date", "prediction"))
 
 
-def call_rows(features: DataFrame, model: PipelineModel, emotion: bool, weekends=False) -> DataFrame:
+def call_rows(features: DataFrame, model: PipelineModel | Column, emotion: bool, weekends=False) -> DataFrame:
     """Bullish or bearish for the session after each row's day.
 
-    ``emotion`` tells whether the model reads sentiment.
+    ``model`` is a fitted pipeline, or an expression that gives the prediction (``plans.scoring``).
+    ``emotion`` tells whether it reads sentiment.
     """
-    scored = model.transform(features)
+    scored = features.withColumn("prediction", model) if isinstance(model, Column) else model.transform(features)
     session = next_session_date("date", weekends)
     return scored.select(
         "symbol",
@@ -30,7 +31,7 @@ def call_rows(features: DataFrame, model: PipelineModel, emotion: bool, weekends
     )
 
 
-def predict_trend(features: DataFrame, model: PipelineModel, emotion: bool, weekends=False) -> DataFrame:
+def predict_trend(features: DataFrame, model: PipelineModel | Column, emotion: bool, weekends=False) -> DataFrame:
     """The call after each symbol's latest day; only that row is scored."""
     return call_rows(latest_row(features), model, emotion, weekends)
 

@@ -5,13 +5,13 @@ joins over a token table, ordinals and splits by single windows.
 """
 
 from tickermood.sources.dictionaries import NEGATIVE_WORDS, POSITIVE_WORDS
-from tickermood.sources.sample import SAMPLE_LEMMAS, SAMPLE_LEXICON, SAMPLE_TICKERS
+from tickermood.sources.sample import SAMPLE_LEMMAS, SAMPLE_LEXICON, SAMPLE_LINEAR, SAMPLE_PERCEPTRON, SAMPLE_TICKERS, SAMPLE_TREES
 
 _T = "next_day_price_percent_change_shifted"
 
 
 def _values(rows) -> str:
-    cell = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
+    cell = lambda v: "null" if v is None else f"'{v}'" if isinstance(v, str) else str(v)
     return ", ".join("(" + ", ".join(cell(v) for v in row) + ")" for row in rows)
 
 
@@ -562,3 +562,63 @@ ORACLE["sequence_moments"] = _sql(
 ).replace("floor(total * 0.8::double)", "floor(total * 0.9::double)")
 ORACLE["history_files"] = """select name, 'test_accuracy' as metric, 5 as rounds, true as loss_falls
     from (values ('segments_emotion_False'), ('segments_emotion_True')) v(name)"""
+
+ORACLE["price_span_files"] = ORACLE["price_span_restricted"]
+ORACLE["ordered_files"] = _sql(
+    "segprices", "select row_number() over (order by date, symbol) - 1 as position, symbol, date, volume from prices"
+)
+
+# Models as tables, walked and multiplied row by row.
+PARTS["nodes"] = f"nodes(tree, weight, node, feature, threshold, lft, rgt, down, up) as (values {_values(SAMPLE_TREES)})"
+ORACLE["tree_scores"] = _sql(
+    f"{_SEGMENT_FEATURES} nodes",
+    """, walk as (
+        select symbol, date, tree, 0 as node from features, (select distinct tree from nodes) t
+        union all
+        select w.symbol, w.date, tree,
+            case when (case n.feature when 0 then afinn_sentiment when 1 then pnn_sentiment when 2 then price_percent_change
+                else volume_percent_change end) <= n.threshold then n.lft else n.rgt end
+        from walk w join nodes n using (tree, node) join features f on f.symbol = w.symbol and f.date = w.date
+        where n.feature >= 0),
+    voted as (
+        select symbol, date, sum(weight * down) as down, sum(weight * up) as up
+        from walk join nodes using (tree, node) where feature < 0 group by 1, 2)
+    select symbol, date, round(down, 4) as down, round(up, 4) as up, cast(up > down as int) as prediction from voted""",
+).replace("with ", "with recursive ", 1)
+PARTS["weights"] = f"weights(layer, unit, input, weight) as (values {_values(SAMPLE_PERCEPTRON)})"
+ORACLE["perceptron_scores"] = _sql(
+    f"{_SEGMENT_FEATURES} weights",
+    """, inputs as (
+        select symbol, date, -1 as input, 1.0 as x from features union all select symbol, date, 0, afinn_sentiment from features
+        union all select symbol, date, 1, pnn_sentiment from features
+        union all select symbol, date, 2, price_percent_change from features
+        union all select symbol, date, 3, volume_percent_change from features),
+    hidden as (
+        select symbol, date, unit as input, 1 / (1 + exp(-sum(weight * x))) as x
+        from inputs join weights using (input) where layer = 0 group by 1, 2, 3
+        union all select symbol, date, -1, 1.0 from features),
+    outputs as (
+        select symbol, date, unit, exp(sum(weight * x)) as e from hidden join weights using (input) where layer = 1 group by 1, 2, 3)
+    select symbol, date, round(sum(e) filter (unit = 0) / sum(e), 4) as down, round(sum(e) filter (unit = 1) / sum(e), 4) as up
+    from outputs group by 1, 2""",
+)
+_LINEAR = " + ".join(
+    f"({c})" if not name else f"({c}) * ({name} - ({mean})) / {dev}" for name, mean, dev, c in SAMPLE_LINEAR
+)
+ORACLE["linear_calls"] = _sql(
+    f"segprices changes segnews {_SCORED} filled",
+    f"""select symbol, date, cast({_session('date')} as date) as next_session, 'with' as sentiment,
+        case when {_LINEAR} > 0 then 'bullish' else 'bearish' end as trend
+    from (select *, row_number() over (partition by symbol order by date desc) as rn from filled) f where rn = 1""",
+)
+ORACLE["stream_linear_calls"] = ORACLE["linear_calls"]
+# A landing keeps what is less than three days older than the newest day of the landings before it.
+ORACLE["stream_late_articles"] = _sql(
+    "news",
+    """, landed as (
+        select symbol, date, least((date - date '2024-01-01') // 5 + case when doc_id % 7 = 3 then 2 else 0 end, 5) as landing from news),
+    newest as (select landing, max(date) as day from landed group by 1),
+    judged as (
+        select symbol, date, coalesce(date > (select max(day) from newest n where n.landing < l.landing) - 3, true) as ok from landed l)
+    select symbol, date, count(*) filter (ok) as kept, count(*) filter (not ok) as dropped from judged group by 1, 2""",
+)

@@ -66,3 +66,12 @@ CLASS_LEXICON = _struct(("term", _S), ("class", _S))
 VALENCE_LEXICON = _struct(("term", _S), ("valence", T.IntegerType()))
 LEMMAS = _struct(("form", _S), ("lemma", _S))
 TICKERS = _struct(("company", _S), ("ticker", _S))
+
+# Fitted models as tables: see plans.scoring.
+_I = T.IntegerType()
+TREE_NODES = _struct(
+    ("tree", _I), ("weight", _D), ("node", _I), ("feature", _I), ("threshold", _D), ("left_node", _I), ("right_node", _I),
+    ("down", _D), ("up", _D),
+)
+PERCEPTRON = _struct(("layer", _I), ("unit", _I), ("input", _I), ("weight", _D))
+LINEAR_MODEL = _struct(("input", _S), ("mean", _D), ("deviation", _D), ("coefficient", _D))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickermood.operators.market import daily_bars
-from tickermood.schemas import CLASS_LEXICON, LEMMAS, TICKERS, VALENCE_LEXICON
+from tickermood.schemas import CLASS_LEXICON, LEMMAS, LINEAR_MODEL, PERCEPTRON, TICKERS, TREE_NODES, VALENCE_LEXICON
 from tickermood.session import spread_single
 from tickermood.sources.local import small_frame
 
@@ -38,6 +38,41 @@ SAMPLE_LEMMAS = [("were", "be"), ("was", "be"), ("is", "be"), ("are", "be"), ("o
 
 SAMPLE_TICKERS = [("click", "CLCK"), ("error", "ERR"), ("purchase", "BUY"), ("signup", "JOIN"), ("view", "VIEW")]
 
+# Small models over the inputs afinn, pnn, price and volume change, as they come out of ``plans.scoring``.
+SAMPLE_TREES = [
+    # tree, weight, node, feature, threshold, left, right, down, up
+    (0, 1.0, 0, 2, 0.25, 1, 4, None, None),
+    (0, 1.0, 1, 0, -1.5, 2, 3, None, None),
+    (0, 1.0, 2, -1, None, -1, -1, 0.75, 0.25),
+    (0, 1.0, 3, -1, None, -1, -1, 0.375, 0.625),
+    (0, 1.0, 4, 3, 10.0, 5, 6, None, None),
+    (0, 1.0, 5, -1, None, -1, -1, 0.25, 0.75),
+    (0, 1.0, 6, -1, None, -1, -1, 0.5, 0.5),
+    (1, 0.5, 0, 1, 0.0, 1, 2, None, None),
+    (1, 0.5, 1, -1, None, -1, -1, 0.875, 0.125),
+    (1, 0.5, 2, 3, -20.0, 3, 4, None, None),
+    (1, 0.5, 3, -1, None, -1, -1, 0.125, 0.875),
+    (1, 0.5, 4, 2, -2.0, 5, 6, None, None),
+    (1, 0.5, 5, -1, None, -1, -1, 0.25, 0.75),
+    (1, 0.5, 6, -1, None, -1, -1, 0.625, 0.375),
+    (2, 0.25, 0, -1, None, -1, -1, 0.5, 0.75),
+]
+
+# layer, unit, input (-1 for the bias), weight
+SAMPLE_PERCEPTRON = [
+    (0, 0, -1, 0.1), (0, 0, 0, 0.5), (0, 0, 1, -0.25), (0, 0, 2, 0.125), (0, 0, 3, 0.01),
+    (0, 1, -1, -0.2), (0, 1, 0, -0.75), (0, 1, 1, 0.5), (0, 1, 2, 0.25), (0, 1, 3, -0.02),
+    (0, 2, -1, 0.0), (0, 2, 0, 0.3), (0, 2, 1, 0.3), (0, 2, 2, -0.3), (0, 2, 3, 0.03),
+    (1, 0, -1, 0.05), (1, 0, 0, 1.5), (1, 0, 1, -1.0), (1, 0, 2, 0.5),
+    (1, 1, -1, -0.05), (1, 1, 0, -1.25), (1, 1, 1, 0.75), (1, 1, 2, 0.25),
+]
+
+# input ('' for the intercept), mean, deviation, coefficient
+SAMPLE_LINEAR = [
+    ("", 0.0, 1.0, -0.05), ("afinn_sentiment", 0.0, 1.0, 0.08), ("pnn_sentiment", 0.0, 1.0, -0.4),
+    ("price_percent_change", 0.0, 1.0, -0.03), ("volume_percent_change", 12.5, 40.0, 0.1),
+]
+
 
 def table(spark: SparkSession, sf_dir, name) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -104,3 +139,15 @@ def lemmas(spark) -> DataFrame:
 
 def tickers(spark) -> DataFrame:
     return small_frame(spark, SAMPLE_TICKERS, TICKERS)
+
+
+def trees(spark) -> DataFrame:
+    return small_frame(spark, SAMPLE_TREES, TREE_NODES)
+
+
+def perceptron(spark) -> DataFrame:
+    return small_frame(spark, SAMPLE_PERCEPTRON, PERCEPTRON)
+
+
+def linear(spark) -> DataFrame:
+    return small_frame(spark, SAMPLE_LINEAR, LINEAR_MODEL)

@@ -1,7 +1,7 @@
 """Price, feature, metric, history and model files."""
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tickermood.schemas import FEATURES, HISTORY, PRICES
@@ -53,6 +53,49 @@ def write_features(df: DataFrame, path, format="parquet") -> None:
     rows.write.mode("overwrite").partitionBy("symbol").format(format).save(path)
 
 
+def write_ordered(df: DataFrame, path, order=("date", "symbol"), files=None) -> None:
+    """Files in one global order: ranges of ``order`` that do not overlap, each sorted within.
+
+    The bounds come from a sample; equal values share a file. ``files`` says into how many
+    ranges, by default as many as there are shuffle partitions.
+    """
+    count = [files] if files else []
+    rows = df.repartitionByRange(*count, *order).sortWithinPartitions(*order)
+    rows.write.mode("overwrite").parquet(path)
+
+
+def file_bounds(spark: SparkSession, path, order=("date", "symbol")) -> DataFrame:
+    """``(file, first, last, rows, offset)`` of files written in order; ``offset`` is the number of rows before them."""
+    key = F.struct(*order)
+    found = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(key).alias("first"), F.max(key).alias("last"), F.count(F.lit(1)).alias("rows")
+    )
+    # One row per file: this window is as small as the list of files.
+    before = F.sum("rows").over(Window.orderBy("first", "last", "file").rowsBetween(Window.unboundedPreceding, -1))
+    return found.withColumn("offset", F.coalesce(before, F.lit(0)))
+
+
+def read_ordered(spark: SparkSession, path, order=("date", "symbol"), position="position") -> DataFrame:
+    """The rows with their place in the global order from 0, read off from file and row, without a sort.
+
+    Fails where two files overlap, or a row comes before its predecessor in the file.
+    """
+    bounds = file_bounds(spark, path, order)
+    previous = F.lag("last").over(Window.orderBy("first", "last", "file"))
+    checked = bounds.select(
+        F.col("file").alias("_file"),
+        F.when(F.coalesce(previous > F.col("first"), F.lit(False)), F.raise_error(F.concat(F.lit("overlaps: "), "file")).cast("long"))
+        .otherwise(F.col("offset")).alias("_offset"),
+    )
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at"))
+    key = F.struct(*order)
+    before = F.lag(key).over(Window.partitionBy("_path").orderBy("_at"))
+    place = F.when(F.coalesce(before > key, F.lit(False)), F.raise_error(F.concat(F.lit("out of order: "), "_path")).cast("long"))
+    placed = rows.withColumn("_at", place.otherwise(F.col("_at")))
+    met = placed.join(checked, F.col("_path") == F.col("_file")).withColumn(position, F.col("_offset") + F.col("_at"))
+    return met.drop("_path", "_file", "_offset", "_at")
+
+
 def write_metrics(df: DataFrame, path) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

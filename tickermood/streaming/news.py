@@ -1,7 +1,7 @@
 """Landed articles as a stream, scored and averaged per day."""
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickermood.functions.dates import news_date
 from tickermood.operators.features import join_features
@@ -20,14 +20,16 @@ def stream_news(spark: SparkSession, landing, symbol=None, files_per_trigger=100
 
 
 def stream_daily_sentiment(
-    stream: DataFrame, valences: DataFrame, classes: DataFrame, lemmas=None, text_col="article", watermark="2 days"
+    stream: DataFrame, valences: DataFrame, classes: DataFrame, lemmas=None, text_col="article", watermark="2 days",
+    counts=False,
 ) -> DataFrame:
     """Daily mean of both scores per symbol, over tumbling one-day windows.
 
     State is one row per symbol and open day. Articles published longer than
-    ``watermark`` before the newest one seen come too late and are dropped.
+    ``watermark`` before the newest one seen come too late and are dropped. With ``counts``
+    each day says how many articles it holds (``articles``).
     """
-    return daily_of_scored(score_articles(stream, valences, classes, lemmas, text_col), watermark)
+    return daily_of_scored(score_articles(stream, valences, classes, lemmas, text_col), watermark, counts)
 
 
 def write_scored(
@@ -57,14 +59,46 @@ def stream_scored(spark: SparkSession, path, files_per_trigger=1000) -> DataFram
     return rows.select("symbol", "date", "afinn_sentiment", "pnn_sentiment")
 
 
-def daily_of_scored(scored: DataFrame, watermark="2 days") -> DataFrame:
+def daily_of_scored(scored: DataFrame, watermark="2 days", counts=False) -> DataFrame:
     """Daily means of scored articles, over tumbling one-day windows."""
     timed = scored.withColumn("published", F.col("date").cast("timestamp")).withWatermark("published", watermark)
     return (
         timed.groupBy(F.window("published", "1 day"), "symbol")
-        .agg(F.avg("afinn_sentiment").alias("afinn_sentiment_mean"), F.avg("pnn_sentiment").alias("pnn_sentiment"))
-        .select("symbol", F.col("window.start").cast("date").alias("date"), "afinn_sentiment_mean", "pnn_sentiment")
+        .agg(
+            F.avg("afinn_sentiment").alias("afinn_sentiment_mean"), F.avg("pnn_sentiment").alias("pnn_sentiment"),
+            *([F.count(F.lit(1)).alias("articles")] if counts else []),
+        )
+        .select(
+            "symbol", F.col("window.start").cast("date").alias("date"), "afinn_sentiment_mean", "pnn_sentiment",
+            *(["articles"] if counts else []),
+        )
+    )
+
+
+def write_arrivals(stream: DataFrame, path, checkpoint, available_now=False):
+    """Count the articles of each symbol and day as they land, whatever any watermark says of them."""
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        counted = batch.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("landed"))
+        counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def late_articles(spark: SparkSession, arrivals, updates) -> DataFrame:
+    """``(symbol, date, kept, dropped)``: articles of each day that came in time, and those the watermark dropped.
+
+    ``arrivals`` is a folder of ``write_arrivals``, ``updates`` one of ``write_updates`` over daily
+    scores with counts. An article without a day is in neither.
+    """
+    landed = spark.read.parquet(arrivals).where("date is not null").groupBy("symbol", "date").agg(F.sum("landed").alias("landed"))
+    rows = spark.read.parquet(updates).groupBy(F.col("symbol").alias("s"), F.col("date").alias("d")).agg(
+        F.max_by("articles", "batch_id").alias("articles")
     )
+    met = landed.join(rows, F.col("symbol").eqNullSafe(F.col("s")) & (F.col("date") == F.col("d")), "left")
+    kept = F.coalesce("articles", F.lit(0))
+    return met.select("symbol", "date", kept.alias("kept"), (F.col("landed") - kept).alias("dropped"))
 
 
 def write_updates(daily: DataFrame, path, checkpoint, available_now=False):
@@ -100,10 +134,10 @@ def compact_updates(spark: SparkSession, path, upto: int) -> None:
 
 
 def stream_trend(
-    daily: DataFrame, prices: DataFrame, model: PipelineModel, emotion: bool, path, checkpoint,
+    daily: DataFrame, prices: DataFrame, model: PipelineModel | Column, emotion: bool, path, checkpoint,
     deviation: DataFrame, available_now=False,
 ):
-    """Keep the call of a saved model for each symbol that a batch touches.
+    """Keep the call of a saved model (or of a prediction expression) for each symbol that a batch touches.
 
     Lag and lead do not run on streams, so ``prices`` are finished price features; hand
     over a written table, since every batch reads it. ``deviation`` holds each symbol's
