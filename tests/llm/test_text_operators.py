@@ -19,7 +19,7 @@ from tickermood.llm.html_text import extract_text, main_text
 from tickermood.llm.packing import TokenBytes, difference, divide, pack_documents
 from tickermood.llm.queries import op2_sentencepiece
 from tickermood.llm.secret_scan import BASE62, automaton, mask_secrets, scan, scan_secrets
-from tickermood.llm.sentence_pieces import Pieces, decoded, encoded
+from tickermood.llm.sentence_pieces import MARK, Pieces, decoded, encoded
 
 SF = "/root/testdata/sf0.001"
 ODD = ["a  b", " a", "a ", "\n", " ", "   x  y ", "Ａｂ 日本語", "tab\there", "x" * 400, "é́ ü", "a\x0bb", "\r\n\r\n z", "<|endoftext|> q"]
@@ -65,6 +65,33 @@ def test_piece_round_trip(spark):
     assert rows(encoded(frames.documents(spark, []))) == []
 
 
+def test_long_words_are_spelt_like_short_ones():
+    pieces = Pieces()
+    rng = np.random.default_rng(6)
+    letters = [*"abcdefghijklmnopqrstuvwxyzABC0123456789+/é日", MARK]
+    for size in (3, 40, 150, 400):
+        word = MARK + "".join(rng.choice(letters, size))
+        assert pieces.spell_long(word) == pieces.spell([word])[0]
+
+
+def test_a_word_of_two_hundred_thousand_characters(spark):
+    import time
+
+    word = "".join(np.random.default_rng(1).choice(list("abcdefghijklmnopqrstuvwxyz0123456789+/"), 200_000))
+    texts = [word, "a " + word + " b", "日本" * 3000, None]
+    begin = time.perf_counter()
+    found = rows(decoded(encoded(frames.documents(spark, list(enumerate(texts))))), "doc_id")
+    assert [r["text"] for r in found] == [t or "" for t in texts]
+    assert time.perf_counter() - begin < 60
+
+
+def test_ids_decode_in_parts(spark):
+    """Cuts between parts of a batch change nothing."""
+    docs = frames.documents(spark)
+    whole = sorted(map(repr, rows(decoded(encoded(docs)))))
+    assert sorted(map(repr, rows(decoded(encoded(docs, batch_bytes=10), batch_ids=3)))) == whole
+
+
 def test_piece_query_decodes_all_documents(spark):
     texts = {r["doc_id"]: r["text"] for r in rows(spark.read.parquet(f"{SF}/documents.parquet"))}
     for r in rows(op2_sentencepiece(spark, SF)):
@@ -110,10 +137,15 @@ def test_extract_keeps_every_page(spark):
 
 
 def test_token_bytes_are_the_tokenizers(spark):
-    tokens = TokenBytes()
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokens, library = TokenBytes(), Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     texts = [*ODD, *(t for _, t in frames.TEXTS if t), "it's we'll  DON'T 1234 ... !! \n\n x", "²½ x_y", "a \nb\n c"]
+    texts += ["a<|endoftext|>b", "<|endoftext|>", "end <|endoftext|> of <|endof", " lead", "x ", "  two  ", " 'tis don't  ab12cd,"]
+    texts += [r["text"] for r in rows(spark.read.parquet(f"{SF}/documents.parquet"))]
     for text in texts:
-        ids = tokens.tokenizer.encode(text, add_special_tokens=False).ids
+        ids = library.encode(text, add_special_tokens=False).ids
         assert tokens.encode(text) == array("I", ids).tobytes(), text
 
 

@@ -16,7 +16,8 @@ number, so a repeated task gives the same ids.
 
 Cases: a null or empty text has only the end id and is a document of one token. Rows
 with a null or repeated id are packed like any other. An empty table has no pieces.
-Strings of special tokens in a text are ordinary text.
+A special token written out in a text has its own id, as the library has it. A very long
+text is cut into windows as a whole; repeated rows are packed as often as they come.
 """
 
 import heapq
@@ -44,11 +45,26 @@ PLAIN = re.compile("[\n -~À-ÖØ-öø-ɏ]*")
 CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\s0-9A-Za-zÀ-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+")
 
 
-class TokenBytes(dict):
+class Spaced(dict):
+    """Ids of words with a space before them, cut and merged when first asked for."""
+
+    def __init__(self, ids_of):
+        self.ids_of = ids_of
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.ids_of(" " + word)
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = found
+        return found
+
+
+class TokenBytes:
     """Token ids of texts as little-endian unsigned 32-bit numbers, by the ``tokenizers`` library.
 
     A plain text is cut into the pieces that the tokenizer merges on their own, so
-    the ids of words can be kept; any other text goes to the tokenizer as a whole.
+    the ids of words can be kept; any other text goes to the tokenizer as a whole, and so
+    does one that holds a special token.
     """
 
     def __init__(self, path: str | None = None):
@@ -59,9 +75,10 @@ class TokenBytes(dict):
 
             path = public_tokenizers.path(VOCABULARY)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
+        self.spaced = Spaced(self._ids)
         self.letters = {byte: char for char, byte in zip(*self._alphabet(), strict=True)}
 
     @staticmethod
@@ -71,35 +88,35 @@ class TokenBytes(dict):
         hidden = [b for b in range(256) if b not in set(shown)]
         return "".join(map(chr, [*shown, *range(256, 256 + len(hidden))])), [*shown, *hidden]
 
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            letters = piece.encode().decode("latin-1").translate(self.letters)
-            found = array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
-            if len(self.pieces) >= CACHED_WORDS:
-                self.pieces.clear()
-            self.pieces[piece] = found
-        return found
-
-    def __missing__(self, word: str) -> bytes:
-        found = b"".join(map(self._piece, CUT.findall(word)))
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = found
-        return found
+    def _merged(self, piece: str) -> bytes:
+        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+
+    def _ids(self, word: str) -> bytes:
+        pieces = CUT.findall(word)
+        if len(pieces) == 1:
+            return self._merged(word)
+        # The pieces of a word that holds several are met again more often than the word.
+        if len(self.pieces) >= CACHED_WORDS:
+            self.pieces.clear()
+        known = self.pieces
+        for piece in pieces:
+            if piece not in known:
+                known[piece] = self.spaced[piece[1:]] if piece[0] == " " and len(piece) > 1 else self._merged(piece)
+        return b"".join(map(known.__getitem__, pieces))
 
     def forget(self) -> None:
-        self.clear()
+        self.spaced.clear()
         self.pieces.clear()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not PLAIN.fullmatch(text):
+        if not PLAIN.fullmatch(text) or any(token in text for token in self.special):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         # A single space between two other characters always starts a piece.
         first, *rest = re.split(r"(?<=\S) (?=\S)", text) if "  " in text or " \n" in text or "\n " in text or text[-1] == " " else text.split(" ")
-        return b"".join([self[first], *map(self.__getitem__, [" " + word for word in rest])])
+        return self._ids(first) + b"".join(map(self.spaced.__getitem__, rest))
 
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:

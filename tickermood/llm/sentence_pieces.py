@@ -14,8 +14,12 @@ order may spell a word otherwise, so these ids decode to the same text as that m
 but need not equal them.
 
 Equal scores: the shorter last piece wins. Characters without a piece become the byte
-pieces of their UTF-8 form. Cases: null and empty texts have no ids and decode to the
-empty text; any run of spaces, line ends and other white space survives the round
+pieces of their UTF-8 form. A word too long to have many of its length beside it is spelt
+alone, all its substrings of one length looked up at once.
+
+Cases: null and empty texts have no ids and decode to the empty text; an empty table gives
+an empty table; repeated rows come back as often as they come; a very long text is coded
+whole, also where it is a single word; any run of spaces, line ends and other white space survives the round
 trip; the space mark U+2581 in a text comes back as a space, as the format has it.
 """
 
@@ -24,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -32,6 +37,12 @@ PIECE_COST = 2.0
 CACHED_WORDS = 400_000
 CELLS = 2_000_000
 FILTER_BITS = 21
+# Words of so many characters are spelt alone: few others have their length.
+LONG_WORD = 100
+# Texts of about so many bytes learn their words together.
+BATCH_BYTES = 12 << 20
+# Ids decoded together; what they become stays in the cache of a core.
+BATCH_IDS = 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -73,7 +84,11 @@ class Pieces:
         # Most substrings are no piece; a table of the keys' first bits tells so before the search.
         self.possible = np.zeros(1 << FILTER_BITS, bool)
         self.possible[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        self.form = [self.byte_of.get(i, b"" if i in self.silent else self.text[i].encode("utf-8", "surrogatepass")) for i in numbers]
+        # What each piece stands for: all forms in one buffer, with the mark as a blank.
+        forms = [self.byte_of.get(i, b"" if i in self.silent else self.text[i].replace(MARK, " ").encode("utf-8", "surrogatepass")) for i in numbers]
+        self.form_size = np.array([len(f) for f in forms], np.int64)
+        self.form_at = np.cumsum(self.form_size) - self.form_size
+        self.forms = np.frombuffer(b"".join(forms), np.uint8)
         self.missing = float(scores.min()) - 10.0
         # Word without its first mark -> its ids as little-endian 32-bit numbers.
         self.spelt: dict[str, bytes] = {}
@@ -147,11 +162,40 @@ class Pieces:
             return [self.unknown]
         return [int(self.bytes[b]) for b in char.encode("utf-8", "replace")]
 
+    def spell_long(self, word: str) -> bytes:
+        """Ids of one long word: its places advance together in the lookup, and the best way is found along them.
+
+        All substrings of one length are hashed and looked up at once; what is left for each
+        character is the maximum over the few pieces that end there.
+        """
+        codes, size = code_points([word]) + np.uint64(1), len(word)
+        ending: list[list[tuple[int, int]]] = [[] for _ in range(size + 1)]
+        tails = np.zeros(size, np.uint64)
+        for k in range(1, min(self.longest, size) + 1):
+            # Row i holds the hash of the k characters from i on.
+            tails = tails[: size - k + 1] * _BASE + codes[k - 1 :]
+            rows, at = self._lookup(tails, k)
+            for row, place in zip(rows.tolist(), at.tolist()):
+                ending[row + k].append((k, place))
+        scores = self.scores.tolist()
+        best, back, piece = [0.0] * (size + 1), np.zeros(size + 1, np.int32), np.full(size + 1, -1, np.int32)
+        for end in range(1, size + 1):
+            top, length, chosen = best[end - 1] + self.missing, 1, -1
+            for k, place in ending[end]:
+                score = best[end - k] + scores[place]
+                if score > top:
+                    top, length, chosen = score, k, place
+            best[end], back[end], piece[end] = top, end - length, chosen
+        return self._with_bytes(word, piece, back)
+
     def learn(self, words: set[str]) -> None:
         """Spell words (without their first mark), those of one length together."""
         by_size: dict[int, list[str]] = {}
         for word in words:
-            by_size.setdefault(len(word), []).append(word)
+            if len(word) >= LONG_WORD:
+                self.spelt[word] = self.spell_long(MARK + word)
+            else:
+                by_size.setdefault(len(word), []).append(word)
         for size, some in by_size.items():
             step = max(1, CELLS // (size + 2))
             for at in range(0, len(some), step):
@@ -168,9 +212,18 @@ class Pieces:
         self.learn(unknown)
         return [np.frombuffer(b"".join(map(self.spelt.__getitem__, words)), "<i4") for words in cut]
 
-    def decode(self, ids) -> str:
-        text = b"".join(map(self.form.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
-        return text[1:] if text.startswith(" ") else text
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The texts of the id lists that ``offsets`` cuts ``ids`` into."""
+        size = self.form_size[ids]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        shift = np.repeat(self.form_at[ids] - (ends - size), size)
+        data = self.forms[shift + np.arange(total)].tobytes()
+        cuts = np.concatenate([[0], ends])[offsets].tolist()
+        texts = [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+        if MARK.encode() in data:
+            texts = [text.replace(MARK, " ") for text in texts]
+        return [text[1:] if text.startswith(" ") else text for text in texts]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -206,14 +259,27 @@ def _pieces(path: str | None) -> Pieces:
     return _LOADED[path]
 
 
-def encoded(docs: DataFrame, path: str | None = None, rows=256) -> DataFrame:
+def slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose rows have sizes of about ``most`` together."""
+    part = np.cumsum(sizes) // most
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
+def _sizes(column: pa.Array) -> np.ndarray:
+    length = pc.binary_length if pa.types.is_string(column.type) else pc.list_value_length
+    return pc.fill_null(length(column), 0).to_numpy(zero_copy_only=False)
+
+
+def encoded(docs: DataFrame, path: str | None = None, batch_bytes=BATCH_BYTES) -> DataFrame:
     """``(doc_id, ids)`` for every row of ``docs(doc_id, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
+            for part in slices(batch, _sizes(batch.column(1)), batch_bytes):
                 found = pieces.encode(part.column(1).to_pylist())
                 yield pa.record_batch([part.column(0), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -222,15 +288,15 @@ def encoded(docs: DataFrame, path: str | None = None, rows=256) -> DataFrame:
     )
 
 
-def decoded(tokens: DataFrame, path: str | None = None, rows=256) -> DataFrame:
+def decoded(tokens: DataFrame, path: str | None = None, batch_ids=BATCH_IDS) -> DataFrame:
     """``(doc_id, ids, text)``: the ids of ``tokens(doc_id, ids)`` and the text they stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
-                texts = [pieces.decode(ids.values.to_pylist() if ids.is_valid else []) for ids in part.column(1)]
+            for part in slices(batch, _sizes(batch.column(1)), batch_ids):
+                offsets = np.concatenate([[0], np.cumsum(_sizes(part.column(1)))])
+                texts = pieces.decode(part.column(1).flatten().to_numpy(zero_copy_only=False), offsets)
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
