@@ -2,11 +2,14 @@
 
 import hashlib
 
+import compare
+import duckdb
 import frames
 
 from conftest import rows
 from tickermood.llm.line_dedup import LineRuns, dedup_lines
 from tickermood.llm.quality_rules import quality_verdicts
+from tickermood.llm.queries import ORACLE, QUERIES
 from tickermood.llm.url_filters import pattern_hits, pattern_index, url_verdicts
 
 
@@ -37,6 +40,28 @@ def test_bad_host_condemns_its_documents(spark):
     assert found[200]["kept"] and found[501]["kept"]
 
 
+def test_hosts_decide_in_the_query(spark, tmp_path):
+    """A bad host, a suspect one, trusted ones and none, through query and SQL."""
+    good = " ".join(f"w{i}" for i in range(60))
+    marked = " ".join(f"w{i}##" for i in range(60))
+    twice = "\n".join([good, good, good])
+    docs = [(i, "short", "bad") for i in range(95)] + [(100 + i, good, "bad") for i in range(5)]
+    docs += [(1000 + i, marked if i % 100 < 2 else good, f"host{i // 100}") for i in range(2000)]
+    docs += [(200 + i, marked if i < 30 else good, "suspect") for i in range(100)]
+    docs += [(4000, marked, None), (4001, twice, None), (4002, good, None), (4003, None, None), (4004, marked, "new"), (4005, good, "new")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    df = QUERIES["op1_quality_rules"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert compare.spark_rows(df) == compare.oracle_rows(con, ORACLE["op1_quality_rules"])
+    kept = {r["doc_id"]: r["kept"] for r in rows(df)}
+    assert not kept[100]  # a good document of a bad host
+    assert not kept[200] and kept[230]  # symbols reject in a suspect host
+    assert kept[1000]  # and not in a trusted one
+    assert [kept[i] for i in range(4000, 4004)] == [False, False, True, False]
+
+
 def test_empty_tables(spark):
     empty = frames.documents(spark, [])
     assert rows(quality_verdicts(empty)) == [] and rows(dedup_lines(empty)) == []

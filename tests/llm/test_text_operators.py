@@ -1,11 +1,13 @@
 """SentencePiece, HTML, packing, secrets, toxicity and the pipeline."""
 
+import dataclasses
 import hashlib
 import math
 import re
 import time
 import zlib
 from array import array
+from collections import Counter
 
 import frames
 import numpy as np
@@ -13,7 +15,7 @@ import pytest
 
 import corpus_pipeline
 from conftest import rows
-from tickermood.llm import toxicity
+from tickermood.llm import html_text, toxicity
 from tickermood.llm.common import saved
 from tickermood.llm.html_text import extract_text, main_text
 from tickermood.llm.packing import TokenBytes, difference, divide, pack_documents
@@ -120,6 +122,79 @@ def test_main_text(spark):
         assert main_text(page) == text
 
 
+PROSE = "This is the long text of the page and that is what we have in the end for all of you. "
+
+
+@pytest.mark.parametrize("page, expected", [
+    # Linked characters count as decoded and collapsed.
+    ("<article><p>Read the report <a>\n      now      or   in the   days   that   come  \n </a> in full.</p></article>",
+     "Read the report now or in the days that come in full."),
+    ("<article><p>See <a>R&amp;D &amp; Q&amp;A</a> or A to Z</p></article>", "See R&D & Q&A or A to Z"),
+    # A teaser does not take the place of the long text.
+    (f"<main><p>{PROSE * 3}</p><article><p>Teaser of the day.</p></article></main>", (PROSE * 3).strip() + "\nTeaser of the day."),
+    # Headline, short lines and linked paragraphs of an article stay.
+    (f"<nav><a>Home</a></nav><article><h2>T</h2><p>Short one.</p><p><a>All of this is a link</a></p><p>{PROSE * 2}</p></article>",
+     "T\nShort one.\nAll of this is a link\n" + (PROSE * 2).strip()),
+    # Without article and main, what is near boilerplate goes with it.
+    (f"<div class=menu>{PROSE * 2}</div><div>Home</div><p>{PROSE * 2}</p><p>The end.</p><div>By us</div><footer>f</footer>",
+     "Home\n" + (PROSE * 2).strip() + "\nThe end."),
+    # An advert in prose inside of the article stays out and takes nothing with it.
+    (f"<article><p>{PROSE * 2}</p><div class='advert'>{PROSE * 3}</div><p>Last line.</p></article>", (PROSE * 2).strip() + "\nLast line."),
+])
+def test_text_of_pages(page, expected):
+    assert main_text(page) == expected
+
+
+def plain_labels(found):
+    """Both passes once more, without the operator's helpers: distances to all decided blocks."""
+    def first(block, inside):
+        if block.hinted or (block.linked > 0.5 * len(block.text) and not inside):
+            return False
+        words = [w.lower() for w in re.findall(r"[^\W\d_]+", block.text)]
+        rich = words and sum(w in html_text.STOP_WORDS for w in words) / len(words) >= 0.2
+        linked = block.linked > 0.5 * len(block.text)
+        return True if rich and len(block.text) >= 70 and not block.heading and not linked else None
+
+    sizes = [len(b.text) * (first(b, False) is True) for b in found]
+    where = None
+    for scope in ("in_article", "in_main"):
+        mine = [getattr(b, scope) for b in found]
+        share = sum(s for s, m in zip(sizes, mine) if m)
+        if where is None and any(m and not b.hinted for b, m in zip(found, mine)) and 2 * share >= sum(sizes):
+            where = mine
+    picked = [i for i, b in enumerate(found) if where is None or (where[i] and not b.hinted)]
+    marks = {i: first(found[i], where is not None) for i in picked}
+    out = [False] * len(found)
+    for at, i in enumerate(picked):
+        decided = [(abs(at - k), marks[j] is False, k > at) for k, j in enumerate(picked) if marks[j] is not None]
+        later = [d for d in decided if d[2]]
+        if True not in marks.values():
+            out[i] = marks[i] is None
+        elif marks[i] is not None:
+            out[i] = marks[i]
+        else:
+            out[i] = not min(later if found[i].heading and later else decided)[1]
+    return out
+
+
+def test_both_passes_decide_on_the_given_pages(spark):
+    """How many blocks each pass decides, with hints and without, and both against plain loops."""
+    pages = [r["html"] for r in rows(spark.read.parquet(f"{SF}/pages.parquet"))]
+    counts = Counter()
+    for page in pages:
+        found = html_text.blocks(page or "")
+        assert html_text.labels(found) == plain_labels(found)
+        bare = [dataclasses.replace(b, hinted=False, in_article=False, in_main=False) for b in found]
+        assert html_text.labels(bare) == plain_labels(bare)
+        for name, some in (("hints", found), ("bare", bare)):
+            for block, label in zip(some, html_text.labels(some)):
+                counts[name, html_text.first_pass(block), label] += 1
+    # With hints: boilerplate by hint, content by its words, the rest by its neighbours.
+    assert counts["hints", False, False] > 100 and counts["hints", True, True] > 100 and counts["hints", None, True] > 100
+    # Without hints links and neighbours still find boilerplate.
+    assert counts["bare", False, False] > 0 and counts["bare", None, False] > 0
+
+
 @pytest.mark.parametrize("page", ["<" * 100_000, "<a " * 50_000, '<a "' * 50_000 + ">", "<p>" * 50_000, "<div>" * 20_000])
 def test_malformed_pages_take_linear_time(page):
     start = time.time()

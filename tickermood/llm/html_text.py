@@ -1,21 +1,28 @@
 """Main text of web pages by two passes over their blocks (operator 3).
 
-A page is cut into blocks at its block-level tags. Regions that mark themselves as menus,
-headers, footers, sidebars, notices, adverts, forms or reader comments (by tag, role,
-class or id) are left out. If the page has an ``article`` (else a ``main``), only blocks in
-it are looked at, else all of the body.
-
-First pass: a block that is mostly links is boilerplate; one with enough running text and
-stop words (English, German, French, Spanish) is content; all others, short or without
-stop words, are ambiguous. Second pass: an ambiguous block takes the label of the nearest
-decided block before and after it, content if they are equally near. Where no block is
-decided to be content, as in a page of a few words, all ambiguous ones are. Headings are
-ambiguous whatever their length, so they follow the text around them.
+A page is cut into blocks at its block-level tags; scripts, styles, forms and source
+comments are no blocks. Regions that mark themselves as menus, headers, footers, sidebars,
+notices, adverts or reader comments (by tag, role, class or id) hint at what their blocks are.
+
+First pass: a hinted block is boilerplate, and so is one that is mostly links; one with
+enough running text and stop words (English, German, French, Spanish) is content; all
+others, short or without stop words, are ambiguous. Second pass: an ambiguous block takes the
+label of the nearest decided block before and after it, content if they are equally near; a
+heading takes that of the text after it. Where no block is decided to be content, as in a
+page of a few words, all ambiguous ones are.
+
+``article`` and ``main`` say where the text is. If the blocks in articles hold at least half of the
+decided content, what lies outside of them is boilerplate, else the same is asked of ``main``; a
+teaser in an article beside a long text does not take its place. Inside of them the flow is
+the author's own: links do not make a block boilerplate there, and hinted insertions do
+not reach the blocks around them.
 
 Character references are decoded, white space inside a block becomes one space, and
 blocks are joined by one line feed. ``br`` is white space.
 
-Cases: a null or empty page has an empty text, as has a page without content. Tags may
+Cases: a null or empty page has an empty text, as has a page without content; repeated rows
+have their text as often as they come; an empty table gives an empty table; a very long
+page is read whole, in time that grows with its length. Tags may
 be unclosed or wrongly nested; a comment, script or style that never ends reaches to
 the end of the page. A ``<`` that starts no tag is text.
 """
@@ -47,7 +54,10 @@ STOP_WORDS = frozenset(
     """.split()
 )
 
-HARD_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "textarea", "fieldset", "head"}
+HARD_TAGS = {"nav", "footer", "aside", "menu", "dialog", "button", "select", "textarea", "fieldset"}
+# What is in these is no block at all.
+GONE_TAGS = {"form", "head"}
+SCOPE_SHARE = 0.5
 RAW_TAGS = "script|style|noscript|template|iframe|svg|textarea|title|object|canvas|select"
 BLOCK_TAGS = set(
     """
@@ -86,11 +96,15 @@ class Block:
     text: str
     linked: int
     heading: bool
-    scope: int
+    hinted: bool
+    in_main: bool
+    in_article: bool
 
 
 def _mark(name: str, rest: str) -> int:
-    """2 for a region left out for good, 1 for one that an article inside overrules, else 0."""
+    """3 for what is no block, 2 for a hint that holds for all inside, 1 for one that an article inside overrules, else 0."""
+    if name in GONE_TAGS:
+        return 3
     if name in HARD_TAGS:
         return 2
     mark = 1 if name == "header" else 0
@@ -112,30 +126,35 @@ def _mark(name: str, rest: str) -> int:
     return mark
 
 
+def collapsed(parts: list[str]) -> str:
+    return " ".join(html.unescape("".join(parts)).split())
+
+
 def blocks(page: str) -> list[Block]:
-    """Blocks outside the regions left out; ``scope`` is 2 in an article, 1 in main, else 0."""
+    """All blocks of a page, with the hints and scopes of the regions around them."""
     found: list[Block] = []
     stack: list[tuple[str, int, int]] = []  # name, mark, scope of the open block-level elements
     text: list[str] = []
-    linked, anchors, heading = 0, 0, False
+    links: list[str] = []
+    anchors, heading = 0, False
 
     def flush() -> None:
-        nonlocal linked, heading
-        if text:
-            joined = " ".join(html.unescape("".join(text)).split())
-            if joined:
-                mark, scope = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
-                if not mark:
-                    found.append(Block(joined, linked, heading, scope))
-            text.clear()
-        linked, heading = 0, False
+        nonlocal heading
+        joined = collapsed(text)
+        if joined:
+            mark, scope = (stack[-1][1], stack[-1][2]) if stack else (0, 0)
+            if mark < 3:
+                linked = len(collapsed(links))
+                found.append(Block(joined, linked, heading, mark > 0, bool(scope & 1), bool(scope & 2)))
+        text.clear()
+        links.clear()
+        heading = False
 
     def add(part: str) -> None:
-        nonlocal linked
         if part:
             text.append(part)
             if anchors:
-                linked += len(part)
+                links.append(part)
 
     at, closed = 0, True
     last = page.rfind(">") + 1  # no tag ends later
@@ -148,9 +167,11 @@ def blocks(page: str) -> list[Block]:
             continue
         name = name.lower()
         if name == "br":
-            text.append(" ")
+            add(" ")
         elif name == "a":
             anchors = 0 if tag["close"] else 1
+            if anchors and links:
+                links.append(" ")
         elif name in BLOCK_TAGS:
             flush()
             if tag["close"]:
@@ -168,26 +189,27 @@ def blocks(page: str) -> list[Block]:
                 if stack:
                     outer, scope = stack[-1][1], stack[-1][2]
                     if name in ("article", "main"):
-                        outer = outer if outer == 2 else 0
+                        outer = outer if outer > 1 else 0
                     elif name == "header" and scope and mark == 1 and not outer:
                         mark = 0  # an article's own header holds its headline
                     mark = max(mark, outer)
                 if name in ("article", "main"):
-                    scope = max(scope, 2 if name == "article" else 1)
+                    scope |= 2 if name == "article" else 1
                     mark = 0 if mark == 1 else mark
                 stack.append((name, mark, scope))
                 heading = name in HEADINGS
     if closed or at < last:
         add(page[at:].partition("<!--")[0])
     flush()
-    best = max((block.scope for block in found), default=0)
-    return [block for block in found if block.scope == best]
+    return found
 
 
-def first_pass(block: Block) -> bool | None:
-    """True for content, False for boilerplate, None for an ambiguous block."""
-    if block.linked > LINK_BAD * len(block.text):
+def first_pass(block: Block, inside=False) -> bool | None:
+    """True for content, False for boilerplate, None for an ambiguous block; ``inside`` for the flow of an article."""
+    if block.hinted:
         return False
+    if block.linked > LINK_BAD * len(block.text):
+        return None if inside else False
     if block.heading or len(block.text) < LENGTH_GOOD:
         return None
     words = _WORD.findall(block.text.lower())
@@ -196,8 +218,19 @@ def first_pass(block: Block) -> bool | None:
     return None
 
 
-def labels(found: list[Block]) -> list[bool]:
-    decided = [first_pass(block) for block in found]
+def scope_of(found: list[Block]) -> list[bool] | None:
+    """Which blocks lie where the page says its text is; None if it does not say, or says it of too little."""
+    sizes = [len(block.text) if first_pass(block) else 0 for block in found]
+    for scope in ([b.in_article for b in found], [b.in_main for b in found]):
+        own = [b for b, within in zip(found, scope) if within and not b.hinted]
+        held = sum(size for size, within in zip(sizes, scope) if within)
+        if own and held >= SCOPE_SHARE * sum(sizes):
+            return scope
+    return None
+
+
+def second_pass(found: list[Block], decided: list[bool | None]) -> list[bool]:
+    """Ambiguous blocks take the label of the nearest decided ones."""
     if True not in decided:
         return [label is None for label in decided]
     after: list[tuple[int, bool] | None] = [None] * len(found)
@@ -210,12 +243,25 @@ def labels(found: list[Block]) -> list[bool]:
         if label is not None:
             before = (i, label)
             result.append(label)
-            continue
-        ends = [(abs(i - at), not value) for at, value in (end for end in (before, after[i]) if end)]
-        result.append(not min(ends)[1])
+        elif found[i].heading and after[i]:
+            result.append(after[i][1])
+        else:
+            ends = [(abs(i - at), not value) for at, value in (end for end in (before, after[i]) if end)]
+            result.append(not min(ends)[1])
     return result
 
 
+def labels(found: list[Block]) -> list[bool]:
+    scope = scope_of(found)
+    if scope is None:
+        return second_pass(found, [first_pass(block) for block in found])
+    # The flow inside: without what lies outside of it, and without what is hinted in it.
+    flow = [i for i, block in enumerate(found) if scope[i] and not block.hinted]
+    inside = [found[i] for i in flow]
+    kept = dict(zip(flow, second_pass(inside, [first_pass(block, inside=True) for block in inside])))
+    return [kept.get(i, False) for i in range(len(found))]
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""

@@ -1,14 +1,21 @@
 """Quality rules with verdicts by host (operator 1, DataFrame functions only).
 
-Every document is measured against four rules. Failures are counted by host, the
-rate of each rule is shrunk with a beta prior fitted to all hosts by moments, and a
-host whose shrunk rate of any rule reaches ``host_rate`` fails with all its
-documents. A host of few documents is therefore not condemned by chance.
-
-The host of a document is its ``source``; documents without one have no host and
-are judged by their own measures. A null text has no words. Words are runs of
-characters other than space and U+0009 to U+000D; equal windows are found by a
-64-bit hash of their three words.
+Every document is measured against four rules. Failures are counted by host, and the rate
+of each rule is shrunk with a beta prior fitted to all hosts by moments, so that a host of
+few documents is not judged by chance. The shrunk rates are held against the fitted prior:
+
+* a host of which a rate lies more than ``SUSPECT`` prior deviations above the prior's mean
+  is suspect: its documents have to pass all four rules;
+* one of which a rate is at least ``LEAST_RATE``, and more than ``CONDEMNED`` deviations above
+  that mean, is condemned with all its documents;
+* the documents of any other host are trusted: symbols and repeated lines alone do not
+  reject them.
+
+The host of a document is its ``source``. Cases: documents without a host are judged by all
+four rules themselves. A null text has no words. Repeated rows count as often as they come.
+A very long text is measured whole, in its row. An empty table gives an empty table. Words
+are runs of characters other than space and U+0009 to U+000D; equal windows are found by
+a 64-bit hash of their three words.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,7 +23,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tickermood.llm.common import SPACES, saved, strip_spaces
 
 MIN_WORDS = 50
-HOST_RATE = 0.6
+SUSPECT, CONDEMNED = 2.0, 1.0
+LEAST_RATE = 0.5
 SYMBOLS = "#*$%&|<>"
 RULES = ["few_words", "repeated_words", "symbols", "repeated_lines"]
 
@@ -73,8 +81,8 @@ def rule_failures() -> dict[str, Column]:
     }
 
 
-def host_verdicts(measures: DataFrame, host="source", host_rate=HOST_RATE) -> DataFrame:
-    """``(host, n_docs, <rule>_rate..., host_ok)`` for each host that is not null."""
+def host_verdicts(measures: DataFrame, host="source") -> DataFrame:
+    """``(host, n_docs, <rule>_rate..., suspect, condemned)`` for each host that is not null."""
     failures = rule_failures()
     hosts = (
         measures.where(F.col(host).isNotNull())
@@ -94,30 +102,37 @@ def host_verdicts(measures: DataFrame, host="source", host_rate=HOST_RATE) -> Da
         noise = mean * (1 - mean) * F.col("k") / F.col("n")
         strength = F.try_divide(mean * (1 - mean), F.greatest(between - noise, F.lit(1e-9))) - 1
         strength = F.least(F.greatest(strength, F.lit(2.0)), F.lit(1e6))
-        prior += [(mean * strength).alias(f"{r}_a"), strength.alias(f"{r}_s")]
+        deviation = F.sqrt(mean * (1 - mean) / (strength + 1))
+        prior += [mean.alias(f"{r}_m"), strength.alias(f"{r}_s"), deviation.alias(f"{r}_d")]
     fitted = moments.select(F.struct(*prior).alias("prior")).scalar()
     rates = hosts.withColumn("prior", fitted)
-    shrunk = {r: (F.col(r) + F.col(f"prior.{r}_a")) / (F.col("n_docs") + F.col(f"prior.{r}_s")) for r in RULES}
-    ok = F.lit(True)
+    suspect = condemned = F.lit(False)
+    shrunk = {}
     for r in RULES:
-        ok = ok & (shrunk[r] < host_rate)
-    return rates.select("host", "n_docs", *[shrunk[r].alias(f"{r}_rate") for r in RULES], ok.alias("host_ok"))
+        mean, strength, deviation = (F.col(f"prior.{r}_{part}") for part in "msd")
+        rate = shrunk[r] = (F.col(r) + mean * strength) / (F.col("n_docs") + strength)
+        suspect |= rate > mean + SUSPECT * deviation
+        condemned |= (rate > mean + CONDEMNED * deviation) & (rate >= LEAST_RATE)
+    return rates.select(
+        "host", "n_docs", *[shrunk[r].alias(f"{r}_rate") for r in RULES], suspect.alias("suspect"), condemned.alias("condemned")
+    )
 
 
-def quality_verdicts(docs: DataFrame, host="source", host_rate=HOST_RATE) -> DataFrame:
-    """Measures, ``base_failed``, ``host_ok`` and ``kept`` for every row of ``docs``.
+def quality_verdicts(docs: DataFrame, host="source") -> DataFrame:
+    """Measures, ``base_failed``, the host's ``suspect`` and ``condemned``, and ``kept`` for every row of ``docs``.
 
     The measures are written once; the join with the hosts moves these narrow rows
     and no text, and a hot host is split by adaptive execution.
     """
     measures = saved(measured(docs, "doc_id", host), "quality")
-    verdicts = host_verdicts(measures, host, host_rate).select(F.col("host").alias("known"), "host_ok")
+    verdicts = host_verdicts(measures, host).select(F.col("host").alias("known"), "suspect", "condemned")
     failures = rule_failures()
     failed = failures["few_words"] | failures["repeated_words"]
-    judged = measures.join(verdicts, measures[host] == verdicts["known"], "left").withColumn(
-        "host_ok", F.coalesce("host_ok", F.lit(True))
-    )
+    other = failures["symbols"] | failures["repeated_lines"]
+    judged = measures.join(verdicts, measures[host] == verdicts["known"], "left")
+    untrusted = F.col("known").isNull() | F.col("suspect")
+    rejected = failed | F.coalesce("condemned", F.lit(False)) | (untrusted & other)
     return judged.select(
         "doc_id", host, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), "host_ok", (~failed & F.col("host_ok")).alias("kept"),
+        failed.alias("base_failed"), "suspect", "condemned", (~rejected).alias("kept"),
     )

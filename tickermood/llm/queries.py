@@ -144,13 +144,18 @@ WITH texts AS (
 ), prior AS (
   SELECT {", ".join(f"{r}_m AS {r}_m, least(greatest(coalesce({r}_m * (1 - {r}_m) / nullif(greatest({r}_q - {r}_m * {r}_m - {r}_m * (1 - {r}_m) * k / n, 1e-9), 0), 0) - 1, 2.0), 1e6) AS {r}_s" for r in _RULES)}
   FROM moments
-), verdicts AS (
-  SELECT host, {" AND ".join(f"({r} + {r}_m * {r}_s) / (n_docs + {r}_s) < 0.6" for r in _RULES)} AS host_ok
+), rates AS (
+  SELECT host, {", ".join(f"({r} + {r}_m * {r}_s) / (n_docs + {r}_s) AS {r}_r, {r}_m, sqrt({r}_m * (1 - {r}_m) / ({r}_s + 1)) AS {r}_d" for r in _RULES)}
   FROM hosts, prior
+), verdicts AS (
+  SELECT host, {" OR ".join(f"{r}_r > {r}_m + 2 * {r}_d" for r in _RULES)} AS suspect,
+    {" OR ".join(f"({r}_r > {r}_m + {r}_d AND {r}_r >= 0.5)" for r in _RULES)} AS condemned
+  FROM rates
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   few_words OR repeated_words AS base_failed,
-  NOT (few_words OR repeated_words) AND coalesce(host_ok, true) AS kept
+  NOT (few_words OR repeated_words OR coalesce(condemned, false)
+    OR (coalesce(suspect, true) AND (symbols OR repeated_lines))) AS kept
 FROM failures LEFT JOIN verdicts ON source = host
 """
 
