@@ -30,9 +30,13 @@ def test_native_operators_run_no_python(spark, name):
         plans.append(df._jdf.queryExecution().executedPlan().toString())
         return common.saved(df, label)
 
+    def spy_bucketed(df, *options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.bucketed(df, *options)
+
     with pytest.MonkeyPatch.context() as patch:
-        for module in (line_dedup, quality_rules):
-            patch.setattr(module, "saved", spy)
+        patch.setattr(quality_rules, "saved", spy)
+        patch.setattr(line_dedup, "bucketed", spy_bucketed)
         plans.append(QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString())
     assert not [p for p in plans if "Python" in p or "Arrow" in p or "Pandas" in p]
 

@@ -7,7 +7,7 @@ import duckdb
 import frames
 
 from conftest import rows
-from tickermood.llm.line_dedup import LineRuns, dedup_lines
+from tickermood.llm.line_dedup import LineRuns, batch_counts, dedup_lines
 from tickermood.llm.quality_rules import quality_verdicts
 from tickermood.llm.queries import ORACLE, QUERIES
 from tickermood.llm.url_filters import pattern_hits, pattern_index, url_verdicts
@@ -131,3 +131,21 @@ def test_runs_settle_frequent_hashes(spark):
         runs.add(spark.createDataFrame([(bytearray(h), n) for h, n in batch], "hash binary, n_docs long"))
     assert {bytes(r["hash"]) for r in rows(runs.frequent())} == {b"a", b"b", b"d"}
     assert runs.levels[0] == [] and len(runs.levels) == 3
+
+
+def test_runs_merge_without_moving(spark):
+    """Runs lie in buckets: a merge of runs has no exchange, a batch moves its counts once."""
+    frame = lambda items: spark.createDataFrame([(bytearray(h), n) for h, n in items], "hash binary, n_docs long")
+    runs = LineRuns(spark, min_docs=3, fanout=3)
+    runs.add(frame([(b"a", 2), (b"b", 1)]))
+    runs.add(frame([(b"a", 4)]))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    merged = runs.merged(runs.levels[0])
+    assert "SortMergeJoin" in plan(merged) and "Exchange" not in plan(merged)
+    assert {(bytes(r["hash"]), r["n_docs"]) for r in rows(merged)} == {(b"a", 6), (b"b", 1)}
+    runs.add(frame([(b"c", 1)]))
+    assert len(runs.settled) == 1
+    entries = spark.createDataFrame([(bytearray(b"a"), 0), (bytearray(b"d"), 0), (bytearray(b"d"), 0)], "hash binary, batch int")
+    fresh = runs.unsettled(batch_counts(entries, 0))
+    assert "SortMergeJoin" in plan(fresh) and plan(fresh).count("Exchange hashpartitioning") == 1
+    assert [(bytes(r["hash"]), r["n_docs"]) for r in rows(fresh)] == [(b"d", 2)]

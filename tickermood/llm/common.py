@@ -33,18 +33,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+def bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:
     """Like ``saved``, with the files bucketed by ``key``: a join by it moves the other side only.
 
-    There are as many buckets as shuffle partitions, and more where a bucket of the input
-    would pass ``BUCKET_BYTES``.
+    Unless told otherwise there are as many buckets as shuffle partitions, and more where a
+    bucket of the input would pass ``BUCKET_BYTES``.
     """
     spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // BUCKET_BYTES, 100_000))
     path = scratch_path(spark, name)
     table = path.rpartition("/")[2].replace("-", "_")
-    writer = df.write.bucketBy(max(partitions, min(size // BUCKET_BYTES, 100_000)), key).sortBy(key)
+    writer = df.write.bucketBy(buckets, key).sortBy(key)
     writer.option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
     return spark.table(table)
 

@@ -1,22 +1,25 @@
 """Drop lines that many documents share (operator 8, DataFrame functions only).
 
-Line hashes live in sorted runs on levels. A batch of documents is counted, the
-hashes already known to be frequent are merge-anti-joined away, and what is left
+Line hashes live in sorted runs on levels. Documents come in batches. The hashes of a batch
+are counted, those already known to be frequent are merge-anti-joined away, and what is left
 becomes a run of level 0. As soon as a level holds ``fanout`` runs they are merged
-into one run of the next level; a hash that reaches the document threshold there
-moves to the settled run and is never counted again. A hash is the MD5 of the
-line's key (128 bits), so different lines do not meet in practice.
+into one run of the next level; a hash that reaches the document threshold there is
+settled and never counted again. A run is written in as many buckets as there are shuffle
+partitions, sorted by hash, so a merge join of two runs moves nothing, and that of a batch
+with the runs moves the batch's counts once. A hash is the MD5 of the line's key (128 bits), so
+different lines do not meet in practice.
 
 Cases: a null or empty text is one empty line, which has no key and stays. Each
 row is a document of its own, also if its id is null or repeated. Line keys are
-counted once per document. An empty table gives an empty table.
+counted once per document. A very long text is cut into its lines in its row. An empty
+table gives an empty table.
 """
 
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickermood.llm.common import ascii_lower, saved, strip_spaces, unused
+from tickermood.llm.common import ascii_lower, bucketed, strip_spaces, unused
 from tickermood.session import scratch_path
 
 MIN_CHARS = 1
@@ -37,53 +40,49 @@ def line_hash(line: Column, min_chars=MIN_CHARS) -> Column:
 
 @dataclass
 class LineRuns:
-    """Levelled sorted runs of ``(hash, n_docs)`` below one folder of the shared storage."""
+    """Levelled runs of ``(hash, n_docs)``, each a bucketed table in the shared storage."""
 
     spark: SparkSession
     min_docs: int = MIN_DOCS
     fanout: int = FANOUT
-    levels: list[list[str]] = field(default_factory=list)
-    settled: list[str] = field(default_factory=list)
+    levels: list[list[DataFrame]] = field(default_factory=list)
+    settled: list[DataFrame] = field(default_factory=list)
 
-    def __post_init__(self):
-        self.root = scratch_path(self.spark, "line-runs")
-        self._written = 0
+    def _written(self, rows: DataFrame, name: str) -> DataFrame:
+        return bucketed(rows, "hash", name, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
-    def _write(self, rows: DataFrame) -> str:
-        self._written += 1
-        path = f"{self.root}/run-{self._written}"
-        rows.sortWithinPartitions("hash").write.parquet(path)
-        return path
-
-    def _read(self, paths: list[str], columns: str) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], columns)
-        return self.spark.read.schema(columns).parquet(*paths)
-
-    def settled_hashes(self) -> DataFrame:
-        return self._read(self.settled, "hash binary")
+    def unsettled(self, counts: DataFrame) -> DataFrame:
+        """Counts of the hashes that no settled run holds, by merge joins."""
+        for run in self.settled:
+            counts = counts.join(run.hint("merge"), "hash", "left_anti")
+        return counts.select("hash", "n_docs")
 
     def add(self, counts: DataFrame) -> None:
         """Take in the ``(hash, n_docs)`` counts of one batch."""
-        fresh = counts.join(self.settled_hashes(), "hash", "left_anti") if self.settled else counts
-        self._place(self._write(fresh.select("hash", "n_docs")), 0)
+        self._place(self._written(self.unsettled(counts), "line-run"), 0)
 
-    def _place(self, run: str, level: int) -> None:
+    def _place(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
             self._compact(level)
 
-    def _merged(self, paths: list[str]) -> DataFrame:
-        runs = self._read(paths, "hash binary, n_docs long")
-        return runs.groupBy("hash").agg(F.sum("n_docs").alias("n_docs"))
+    def merged(self, runs: list[DataFrame]) -> DataFrame:
+        """The sums of several runs, by merge joins."""
+        first, *others = runs
+        for other in others:
+            other = other.select("hash", F.col("n_docs").alias("more"))
+            n_docs = F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))
+            first = first.join(other.hint("merge"), "hash", "full_outer").select("hash", n_docs.alias("n_docs"))
+        return first
 
     def _compact(self, level: int) -> None:
-        merged = saved(self._merged(self.levels[level]), "line-merge")
-        self.settled.append(self._write(merged.where(F.col("n_docs") >= self.min_docs).select("hash")))
+        run = self._written(self.merged(self.levels[level]), "line-merge")
         self.levels[level] = []
-        self._place(self._write(merged.where(F.col("n_docs") < self.min_docs)), level + 1)
+        # Both parts are read from the one run that was written.
+        self.settled.append(run.where(F.col("n_docs") >= self.min_docs).select("hash"))
+        self._place(run.where(F.col("n_docs") < self.min_docs), level + 1)
 
     def frequent(self) -> DataFrame:
         """Hashes counted in at least ``min_docs`` documents, each once.
@@ -91,9 +90,21 @@ class LineRuns:
         A hash may be settled by one compaction and be counted again in a run that
         was written before it; the union is therefore made distinct.
         """
-        pending = self._merged([p for level in self.levels for p in level])
-        late = pending.where(F.col("n_docs") >= self.min_docs).select("hash")
-        return self.settled_hashes().union(late).distinct()
+        found = list(self.settled)
+        pending = [run for level in self.levels for run in level]
+        if pending:
+            found.append(self.merged(pending).where(F.col("n_docs") >= self.min_docs).select("hash"))
+        if not found:
+            return self.spark.createDataFrame([], "hash binary")
+        whole = found[0]
+        for some in found[1:]:
+            whole = whole.union(some)
+        return whole.distinct()
+
+
+def batch_counts(found: DataFrame, batch: int) -> DataFrame:
+    """``(hash, n_docs)`` of the documents of one batch."""
+    return found.where(F.col("batch") == batch).groupBy("hash").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
 def dedup_lines(
@@ -122,20 +133,16 @@ def dedup_lines(
         F.transform("each", lambda h, i: F.struct(i.alias("pos"), h.alias("hash"))),
         F.transform(F.array_distinct("each"), lambda h: F.struct(F.lit(-1).alias("pos"), h.alias("hash"))),
     )
-    found = saved(
-        hashes.select("id", "mark", F.inline(entries)).where(F.col("hash").isNotNull()), "line-hashes"
-    )
+    batch = F.when(F.col("pos") == -1, F.pmod(F.xxhash64("id"), F.lit(batches)).cast("int")).otherwise(-1)
+    rows = hashes.select("id", "mark", F.inline(entries)).where(F.col("hash").isNotNull()).withColumn("batch", batch)
+    path = scratch_path(spark, "line-hashes")
+    rows.write.partitionBy("batch").parquet(path)
+    found = spark.read.schema(rows.schema).parquet(path)
     runs = LineRuns(spark, min_docs, fanout)
-    by_batch = saved(
-        found.where(F.col("pos") == -1)
-        .groupBy(F.pmod(F.xxhash64("id"), F.lit(batches)).alias("batch"), "hash")
-        .agg(F.count(F.lit(1)).alias("n_docs")),
-        "line-counts",
-    )
-    for batch in range(batches):
-        runs.add(by_batch.where(F.col("batch") == batch).select("hash", "n_docs"))
+    for at in range(batches):
+        runs.add(batch_counts(found, at))
     dropped = (
-        found.where(F.col("pos") >= 0)
+        found.where(F.col("batch") == -1)
         .join(runs.frequent(), "hash", "left_semi")
         .groupBy(F.col("id").alias(row_id), F.col("mark").alias("row_mark"))
         .agg(F.collect_set("pos").alias(gone))
