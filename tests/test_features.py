@@ -177,6 +177,32 @@ def test_knn_by_blocks_gives_the_same(spark, block_rows):
         assert r["prediction"] == (1 if votes.count(1) > votes.count(0) else 0)
 
 
+@pytest.mark.parametrize("pivots, block_rows", [(1, 1024), (6, 3), (24, 50)])
+def test_knn_by_pivots_is_exact(spark, pivots, block_rows):
+    """Clustered points, ties, repeated points, points without a distance, a symbol of fewer than k rows."""
+    draw = random.Random(9)
+    centres = [(draw.uniform(-50, 50), draw.uniform(-50, 50)) for _ in range(9)]
+    point = lambda: tuple(float(round(draw.gauss(c, 1.5))) for c in draw.choice(centres))
+    train = [("A", i, *point(), draw.randint(0, 2)) for i in range(300)] + [("B", i, *point(), i % 2) for i in range(3)]
+    test = [("A", 1000 + i, *point(), 0) for i in range(60)] + [("B", 2000, 0.0, 0.0, 0), ("C", 2001, 0.0, 0.0, 0), ("A", 3000, 1e6, 1e6, 0)]
+    schema = "symbol string, date int, x double, z double, label int"
+    frame = lambda rows_: spark.createDataFrame(rows_, schema)
+    called = neighbours.knn_classify(frame(train), frame(test), ["x", "z"], k=7, block_rows=block_rows, pivots=pivots).collect()
+    assert len(called) == len(test)
+    for r in called:
+        near = sorted(((r["x"] - x) ** 2 + (r["z"] - z) ** 2, day, y) for s, day, x, z, y in train if s == r["symbol"])[:7]
+        votes = [y for *_, y in near]
+        assert r["prediction"] == (min(set(votes), key=lambda v: (-votes.count(v), v)) if votes else None)
+
+
+def test_pivots_leave_few_pairs_to_compare(spark):
+    draw = random.Random(2)
+    data = [("A", i, draw.gauss(10 * (i % 20), 1), draw.gauss(7 * (i % 13), 1)) for i in range(3000)]
+    frame = spark.createDataFrame(data, "symbol string, date int, x double, z double")
+    found = neighbours.compared_share(frame.where("date % 5 > 0"), frame.where("date % 5 = 0"), ["x", "z"], pivots=64).first()
+    assert found["pairs"] == 2400 * 600 and found["compared"] < 0.2 * found["pairs"]
+
+
 def test_scalers_by_symbol_shuffle_no_rows(spark):
     """With broadcast joins off, the only exchanges are of sums per symbol."""
     df = spark.range(1000).select((F.col("id") % 3).cast("string").alias("symbol"), F.col("id").alias("v"))

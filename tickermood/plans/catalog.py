@@ -646,19 +646,28 @@ def sequence_moments(spark, sf):
 
 @query
 def classifier_checks(spark, sf):
-    """Row and label counts of both splits, and whether a fit beats the larger class on its train rows."""
+    """Row and label counts of both splits, and how many rows a model's exported table calls as the model does.
+
+    The forest and the boosted trees are exported as nodes and the SVM as coefficients; each scores the
+    rows a second time without the ML runtime.
+    """
     parts = training.labelled(materialize(splits.chrono_split(_segment_features(spark, sf))), "gt0")
     found = []
-    for name, params in (("SVM", {}), ("RandomForest", {}), ("GradientBoosting", {"maxIter": 10})):
-        model = training.MODELS[name][0](parts.filter("split = 'train'"), True, **params)
-        found.append(training.predict(model, parts, keep=["split"]).withColumn("model", F.lit(name)))
-    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
-    share = F.avg("label")
-    learns = F.when(F.col("split") == "train", F.col("accuracy") >= F.greatest(F.col("share"), 1 - F.col("share")))
-    counted = reduce(DataFrame.unionByName, found).groupBy("model", "split").agg(
-        F.count("prediction").alias("rows"), F.sum("label").cast("long").alias("ups"), right.alias("accuracy"), share.alias("share")
+    for name in ("SVM", "RandomForest", "GradientBoosting"):
+        model = training.MODELS[name][0](parts.filter("split = 'train'"), True)
+        rows = model.transform(parts).withColumn("x", vector_to_array("features"))
+        if name == "SVM":
+            call = scoring.called(scoring.linear_score(scoring.linear_rows(model, True)))
+        else:
+            inputs = [f"x{k}" for k in range(len(feature_columns(True)))]
+            rows = rows.select("*", *[F.col("x")[k].alias(c) for k, c in enumerate(inputs)])
+            rows = rows.withColumn("votes", scoring.tree_votes(scoring.tree_nodes(model), inputs))
+            call = (F.col("votes.up") > F.col("votes.down")).cast("double")
+        same = rows.select("split", "label", "prediction", (call == F.col("prediction")).alias("same"))
+        found.append(same.withColumn("model", F.lit(name)))
+    return reduce(DataFrame.unionByName, found).groupBy("model", "split").agg(
+        F.count("prediction").alias("rows"), F.sum("label").cast("long").alias("ups"), F.count_if("same").alias("same_calls")
     )
-    return counted.select("model", "split", "rows", "ups", learns.alias("learns"))
 
 
 @query

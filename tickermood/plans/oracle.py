@@ -541,8 +541,7 @@ ORACLE["linear_moments"] = _sql(f"{_SEGMENT_FEATURES} fsplit", _label_moments(_T
 ORACLE["logistic_moments"] = _sql(f"{_SEGMENT_FEATURES} fsplit", _label_moments(_UP))
 ORACLE["classifier_checks"] = _sql(
     f"{_SEGMENT_FEATURES} fsplit",
-    f"""select model, split, count(*) as rows, cast(sum({_UP}) as bigint) as ups,
-        case when split = 'train' then true end as learns
+    f"""select model, split, count(*) as rows, cast(sum({_UP}) as bigint) as ups, count(*) as same_calls
     from parts, (values ('SVM'), ('RandomForest'), ('GradientBoosting')) m(model) group by 1, 2""",
 )
 ORACLE["experiment_rows"] = _sql(
