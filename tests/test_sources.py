@@ -5,8 +5,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tickermood import session
 from tickermood.schemas import RAW_NEWS
-from tickermood.session import materialize, saved, scratch_path, shared_folder, spread_single
+from tickermood.session import materialize, saved, scratch_path, shared_folder, spread_small
 from tickermood.sources import dictionaries, news, tables
 
 
@@ -115,10 +116,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert df.count() == 10 and "LogicalRDD" in df._jdf.queryExecution().logical().toString()
 
 
-def test_only_a_single_split_is_dealt_out(spark):
-    one, two = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 2)
-    assert spread_single(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread_single(two, "id") is two
+def test_only_a_small_input_is_dealt_out(spark, monkeypatch):
+    one, two = spark.range(0, 1000, 1, 1), spark.range(0, 1000, 1, 2)
+    cores = spark.sparkContext.defaultParallelism
+    for small in (one, two):
+        spread = spread_small(small, "id")
+        assert spread.rdd.getNumPartitions() == cores
+        assert max(spread.groupBy(F.spark_partition_id()).count().toPandas()["count"]) < 2 * small.count() / cores
+    monkeypatch.setattr(session, "SPREAD_BYTES", 1)
+    assert spread_small(two, "id") is two
 
 
 class _Cluster:

@@ -14,6 +14,8 @@ _DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+SPREAD_BYTES = 16 << 20
+
 
 def build_session(app="tickermood", master=None, **conf) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -48,13 +50,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread_single(df: DataFrame, key: str) -> DataFrame:
-    """Deal out an input that is one file split, so that more than one core works on it.
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Deal out an input too small to give every core a split, so that more than one works on it.
 
-    A file written as a single row group cannot be cut by the reader. What moves is
-    at most one split, whatever the cluster; an input of two splits passes unchanged.
+    A file of one row group cannot be cut by the reader: one task gets all its rows,
+    however many splits there are. What moves is below ``SPREAD_BYTES`` of files for each
+    core; a larger input, whose splits keep the cores busy, passes unchanged.
     """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if df.rdd.getNumPartitions() == 1 else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < cores * SPREAD_BYTES else df
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickermood.operators.market import daily_bars
 from tickermood.schemas import CLASS_LEXICON, LEMMAS, LINEAR_MODEL, PERCEPTRON, TICKERS, TREE_NODES, VALENCE_LEXICON
-from tickermood.session import spread_single
+from tickermood.session import spread_small
 from tickermood.sources.local import small_frame
 
 EVENT_SYMBOLS = ["click", "error", "purchase", "signup", "view"]
@@ -96,7 +96,7 @@ def as_news(documents: DataFrame, symbols=EVENT_SYMBOLS, first_day=FIRST_DAY, da
 
 def documents(spark, sf_dir, *columns) -> DataFrame:
     """The document texts, in enough partitions to cut them into words in parallel."""
-    return spread_single(table(spark, sf_dir, "documents").select("doc_id", "text", *columns), "doc_id")
+    return spread_small(table(spark, sf_dir, "documents").select("doc_id", "text", *columns), "doc_id")
 
 
 def news(spark, sf_dir) -> DataFrame:
