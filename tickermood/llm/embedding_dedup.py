@@ -15,7 +15,8 @@ are kept as connect the same vectors; components run on these.
 Cases: a vector that is null, all zero, or holds a null or a component that is not
 finite links with nothing, as does a row without label or without id; it is its
 own component (null for a null id). Vectors of different length never link.
-Repeated rows are vectors like any other; rows of one id are one node.
+Repeated rows are vectors like any other; rows of one id are one node. Pairs at the very threshold
+link. An empty table gives an empty table.
 """
 
 import math

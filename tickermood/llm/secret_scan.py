@@ -13,7 +13,9 @@ Spans are code points, the end is exclusive. Per kind they are the leftmost
 ones that do not overlap; a match that fails its length or checksum is dropped but
 still covers its text.
 
-Cases: a null text is empty; a text of any length is scanned whole.
+Cases: a null text is empty; a very long text is scanned whole. Spans that start at one place are
+in the order of the kinds as listed. Repeated rows have their spans as often as they come. An
+empty table gives an empty table.
 """
 
 import hashlib

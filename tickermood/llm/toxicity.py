@@ -14,7 +14,8 @@ Scoring reads every text whole and shuffles nothing.
 Cases: a null or empty text has no features and scores the bias. Rows without a label
 are scored only. Labels that are null are ignored; of several labels of one id the
 largest counts, and of several rows of one id the model is fitted on the smallest text. Without labelled rows of both kinds every score is
-about 0.01.
+about 0.01. Repeated rows are scored as often as they come. A very long text is read whole; its
+features are a set of hashes below a fixed number. An empty table gives an empty table.
 """
 
 import zlib

@@ -9,7 +9,8 @@ those rules' regular expressions run.
 Cases: a null url, or one without ``://``, has empty host and path and is allowed. A
 token is a run of a-z and 0-9 in the lower-cased url. Equal urls are judged once and
 joined back. A pattern that holds no literal token is refused, because no token
-could fetch it.
+could fetch it. Repeated rows have their verdict as often as they come; a very long url is cut into
+tokens as a whole. An empty table gives an empty table.
 """
 
 import re
