@@ -546,8 +546,10 @@ ORACLE["classifier_checks"] = _sql(
 )
 ORACLE["experiment_rows"] = _sql(
     f"{_SEGMENT_FEATURES} fsplit",
-    f"""select model, symbol as stock, emotion, count(*) as rows, cast(sum({_UP}) as bigint) as ups
-    from parts, (values ('LinearRegression'), ('LogisticRegression')) m(model), (values ('False'), ('True')) e(emotion)
+    f"""select model, symbol as stock, emotion, count(*) as rows, cast(sum({_UP}) as bigint) as ups,
+        round(greatest(avg({_UP}), 1 - avg({_UP})), 4) as constant_accuracy
+    from parts, (values ('LinearRegression'), ('SVM'), ('RandomForest'), ('GradientBoosting'), ('LogisticRegression')) m(model),
+        (values ('False'), ('True')) e(emotion)
     where split = 'test' group by 1, 2, 3""",
 )
 ORACLE["sequence_moments"] = _sql(
