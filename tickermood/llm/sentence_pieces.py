@@ -40,7 +40,7 @@ FILTER_BITS = 21
 # Words of so many characters are spelt alone: few others have their length.
 LONG_WORD = 100
 # Texts of about so many bytes learn their words together.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 4 << 20
 # Ids decoded together; what they become stays in the cache of a core.
 BATCH_IDS = 1 << 17
 _BASE = np.uint64(0x9E3779B97F4A7C15)
