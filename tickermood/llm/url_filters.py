@@ -92,9 +92,11 @@ def pattern_index(spark: SparkSession, url_tokens: DataFrame, rules=PATTERN_RULE
 
 def pattern_hits(urls: DataFrame, rules=PATTERN_RULES) -> DataFrame:
     """``(url, pattern_rule)`` for each distinct url that a pattern rule matches; the first rule by name."""
+    # Tokens that no rule names, such as those of every url, do not move.
+    literals = sorted({token for *_, named in rules for token in named})
     spread = urls.where(F.col("url").isNotNull()).select("url").distinct().select(
         "url", F.explode(tokens(F.col("url"))).alias("token")
-    )
+    ).where(F.col("token").isin(literals))
     index = pattern_index(urls.sparkSession, spread, rules)
     return (
         spread.join(index, "token")
