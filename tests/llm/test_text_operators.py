@@ -353,6 +353,34 @@ def test_toxicity_fits_one_row_of_an_id(spark):
     assert len(once) == len({r["order"] for r in once}) > 100 and found == once
 
 
+def test_ftrl_against_plain_loops():
+    """The published update, one coordinate after the other, with the bias free of the L1 penalty."""
+    rng = np.random.default_rng(4)
+    model = toxicity.Ftrl(bits=5, alpha=0.3, beta=1.0, l1=0.4, l2=0.5)
+    z, n = [0.0] * 33, [0.0] * 33
+
+    def weight(i):
+        l1 = 0.0 if i == 32 else 0.4
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((1.0 + math.sqrt(n[i])) / 0.3 + 0.5)
+
+    for _ in range(200):
+        index = np.unique(rng.integers(0, 32, rng.integers(0, 9))).astype(np.int32)
+        label = int(rng.random() < (0.8 if 3 in index else 0.2))
+        model.learn(index, label)
+        active = [*index.tolist(), 32]
+        weights = {i: weight(i) for i in active}
+        gradient = 1 / (1 + math.exp(-sum(weights.values()))) - label
+        for i in active:
+            sigma = (math.sqrt(n[i] + gradient**2) - math.sqrt(n[i])) / 0.3
+            z[i] += gradient - sigma * weights[i]
+            n[i] += gradient**2
+    found = model.weights(np.arange(33))
+    assert np.allclose(found, [weight(i) for i in range(33)], atol=1e-9)
+    assert (found[:32] == 0).any() and found[3] > 0 > found[32]
+
+
 def test_toxicity_without_labels(spark):
     docs, labels = toxic_frames(spark, 20)
     for none in (labels.limit(0), labels.where("toxic = 0")):
