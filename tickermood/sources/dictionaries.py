@@ -35,34 +35,35 @@ DEFAULT_TICKERS = [
 ]
 
 # Word lists of the plain polarity score, compared in lower case.
-POSITIVE_WORDS = """
-Love Happy Joy Excited Wonderful Amazing Fantastic Great Excellent Awesome
-Delight Bliss Grateful Hopeful Peaceful Success Thrilled Enthusiastic Optimistic
-Admire Brilliant Cheerful Ecstatic Energetic Fascinating Glorious Harmony Inspirational
-Magical Miracle Radiant Sensational Triumphant Vibrant Wholesome Affection Blessing
-Caring Charming Courage Dazzling Dream Empower Freedom Glowing Healing Honor
-Incredible Jubilant Kindness Liberate Marvelous Noble Paradise Rejoice Spectacular
-Sunny Transform Uplift Wondrous Abundant Blissful Calm Divine Euphoric Genuine
-Heartfelt Inspire Majestic Nurture Overflowing Radiate Serene Sparkling Tranquil
-Unconditional Vitality Warmth Zest Adoration Bountiful Celebrate Compassion Elegant
-Faith Gratitude Hope Imagination Lively Miraculous Passion Renew Serenity Splendid
-Treasure Vibrant Wisdom
-""".split()
+POSITIVE_WORDS = [
+    "Love", "Happy", "Joy", "Excited", "Wonderful", "Amazing", "Fantastic", "Great", "Excellent", "Awesome",
+    "Delight", "Bliss", "Grateful", "Hopeful", "Peaceful", "Success", "Thrilled", "Enthusiastic", "Optimistic",
+    "Admire", "Brilliant", "Cheerful", "Ecstatic", "Energetic", "Fascinating", "Glorious", "Harmony",
+    "Inspirational", "Magical", "Miracle", "Radiant", "Sensational", "Triumphant", "Vibrant", "Wholesome",
+    "Affection", "Blessing", "Caring", "Charming", "Courage", "Dazzling", "Dream", "Empower", "Freedom", "Glowing",
+    "Healing", "Honor", "Incredible", "Jubilant", "Kindness", "Liberate", "Marvelous", "Noble", "Paradise",
+    "Rejoice", "Spectacular", "Sunny", "Transform", "Uplift", "Wondrous", "Abundant", "Blissful", "Calm", "Divine",
+    "Euphoric", "Genuine", "Heartfelt", "Inspire", "Majestic", "Nurture", "Overflowing", "Radiate", "Serene",
+    "Sparkling", "Tranquil", "Unconditional", "Vitality", "Warmth", "Zest", "Adoration", "Bountiful", "Celebrate",
+    "Compassion", "Elegant", "Faith", "Gratitude", "Hope", "Imagination", "Lively", "Miraculous", "Passion",
+    "Renew", "Serenity", "Splendid", "Treasure", "Vibrant", "Wisdom",
+]
 
 # The negative counterpart.
-NEGATIVE_WORDS = """
-Hate Sad Angry Disappointed Terrible Horrible Awful Disgusting Annoyed Frustrated
-Depressed Gloomy Miserable Dreadful Unhappy Painful Sorrow Regret Agony Grief
-Melancholy Despair Hopeless Lonely Heartbroken Wretched Suffering Apathetic Desperate
-Furious Enraged Bitter Jealous Hostile Offensive Resentful Pessimistic Gloomy
-Nauseating Repulsive Disappointing Disgusted Disheartened Disillusioned Dismal Distressed
-Disturbed Grieving Lament Languish Moody Morose Nervous Pessimism Rage Rueful
-Shameful Somber Sorrowful Stressful Tearful Tragic Troubled Unpleasant Upset Vexed
-Weary Woeful Worst Worried Abominable Abysmal Anguish Anxious Appalled Atrocious
-Dejected Detest Dismayed Dread Fretful Grumpy Horrified Humiliated Inferior Insecure
-Irked Lousy Mournful Nasty Panicked Pathetic Perplexed Repugnant Shocked Stressed
-Tense Tiresome Unbearable Uncertain Unhappy Unpleasant Unsettled
-""".split()
+NEGATIVE_WORDS = [
+    "Hate", "Sad", "Angry", "Disappointed", "Terrible", "Horrible", "Awful", "Disgusting", "Annoyed", "Frustrated",
+    "Depressed", "Gloomy", "Miserable", "Dreadful", "Unhappy", "Painful", "Sorrow", "Regret", "Agony", "Grief",
+    "Melancholy", "Despair", "Hopeless", "Lonely", "Heartbroken", "Wretched", "Suffering", "Apathetic", "Desperate",
+    "Furious", "Enraged", "Bitter", "Jealous", "Hostile", "Offensive", "Resentful", "Pessimistic", "Gloomy",
+    "Nauseating", "Repulsive", "Disappointing", "Disgusted", "Disheartened", "Disillusioned", "Dismal",
+    "Distressed", "Disturbed", "Grieving", "Lament", "Languish", "Moody", "Morose", "Nervous", "Pessimism", "Rage",
+    "Rueful", "Shameful", "Somber", "Sorrowful", "Stressful", "Tearful", "Tragic", "Troubled", "Unpleasant",
+    "Upset", "Vexed", "Weary", "Woeful", "Worst", "Worried", "Abominable", "Abysmal", "Anguish", "Anxious",
+    "Appalled", "Atrocious", "Dejected", "Detest", "Dismayed", "Dread", "Fretful", "Grumpy", "Horrified",
+    "Humiliated", "Inferior", "Insecure", "Irked", "Lousy", "Mournful", "Nasty", "Panicked", "Pathetic",
+    "Perplexed", "Repugnant", "Shocked", "Stressed", "Tense", "Tiresome", "Unbearable", "Uncertain", "Unhappy",
+    "Unpleasant", "Unsettled",
+]
 
 
 def _fields(delimiter: str) -> Column:
