@@ -593,8 +593,13 @@ def experiment_grid(spark, sf):
 
 @query
 def experiment_rows(spark, sf):
-    """Test rows of the whole grid by their label, and how well the better of two constant calls would do."""
-    predictions = training.experiment_predictions(_segment_features(spark, sf), sample.SEGMENT_SYMBOLS)
+    """Test rows of the grid by their label, and how well the better of two constant calls would do.
+
+    The fits are those that also learn from a segment of one label; ``experiment_grid`` makes all of them.
+    """
+    predictions = training.experiment_predictions(
+        _segment_features(spark, sf), sample.SEGMENT_SYMBOLS, ("LinearRegression", "LogisticRegression")
+    )
     up = F.count_if(F.col("label") > 0)
     share = up / F.count("prediction")
     found = predictions.groupBy("model", "stock", "emotion").agg(
