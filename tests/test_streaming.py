@@ -1,13 +1,16 @@
 import datetime as dt
 import json
 import time
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tickermood import session
 from tickermood.functions import lookup
 from tickermood.operators.sentiment import daily_sentiment
+from tickermood.plans import catalog
 from tickermood.plans.catalog import QUERIES
 from tickermood.plans.feature_table import score_articles
 from tickermood.schemas import VALENCE_LEXICON
@@ -126,3 +129,19 @@ def test_a_large_dictionary_scores_a_stream_batch_by_batch(spark, tmp_path, monk
     daily = news.daily_of_scored(news.stream_scored(spark, scored))
     news.write_updates(daily, out, str(tmp_path / "daily-offsets"), available_now=True).awaitTermination()
     assert rows(news.read_updates(spark, out), "symbol", "date") == expected
+
+
+def test_landing_tasks_grow_in_number(spark, tmp_path, monkeypatch):
+    """One task lands no more than a bounded share of the articles, and there are still six triggers or more."""
+    days = spark.range(4000).selectExpr(
+        "id doc_id", "concat('S', id % 2) symbol", "date_add(date'2024-01-01', cast(id % 9 as int)) date", "'x' article"
+    )
+    days.write.parquet(str(tmp_path / "news"))
+    articles = spark.read.parquet(str(tmp_path / "news"))
+    for least, bound in ((6, session.SPREAD_BYTES), (20, session.plan_bytes(articles) // 20)):
+        monkeypatch.setattr(session, "SPREAD_BYTES", bound)
+        stream = catalog._landed_stream(spark, None, articles)
+        landed = str(max(Path(session.shared_folder(spark)).glob("landing-*"), key=lambda p: p.stat().st_mtime))
+        writers = spark.read.text(f"{landed}/*").select(F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)).distinct()
+        assert stream.isStreaming and least <= writers.count() <= least + 2
+        assert spark.read.json(f"{landed}/*").count() == 4000

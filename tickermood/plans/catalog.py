@@ -14,7 +14,7 @@ from tickermood.operators.ordinal import article_ordinal
 from tickermood.plans import inference, scoring, training
 from tickermood.plans.feature_table import daily_scores, feature_table, scale_daily, score_articles
 from tickermood.schemas import FEATURES, MARKET_COLUMNS, SENTIMENT_COLUMNS, TARGET
-from tickermood.session import materialize, saved, scratch_path
+from tickermood.session import materialize, pieces, saved, scratch_path
 from tickermood.sources import sample
 from tickermood.sources import news as news_files
 from tickermood.sources import tables
@@ -762,15 +762,17 @@ LANDED_FILES = 6
 
 
 def _landed_stream(spark, sf, news):
-    """Articles landed as JSON in a folder per symbol, then read as they come, a file a trigger."""
+    """Articles landed as JSON in a folder per symbol, then read as they come, a sixth of the files a trigger.
+
+    The tasks that write grow in number with the articles, not in size.
+    """
     landing = scratch_path(spark, "landing")
     flat = news.select(
         F.concat(F.lit("Article "), "doc_id").alias("title"), F.lit(None).cast("string").alias("description"),
         _published().alias("published date"), F.concat(F.lit("https://example.org/"), "doc_id").alias("url"),
         F.lit("p").alias("publisher"), F.lit("u").alias("publisher_url"), "article", "symbol",
     )
-    parts = flat.withColumn("part", F.pmod(F.xxhash64("url"), F.lit(LANDED_FILES)))
-    parts.repartition(LANDED_FILES, "part").drop("part").write.partitionBy("symbol").json(landing)
+    flat.repartition(pieces(news, LANDED_FILES), "url").write.partitionBy("symbol").json(landing)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing).select("path").count()
     rows = streaming.stream_news(spark, f"{landing}/*", files_per_trigger=max(1, files // LANDED_FILES))
     return rows.withColumn("symbol", F.regexp_replace("symbol", "^symbol=", ""))

@@ -58,8 +58,17 @@ def spread_small(df: DataFrame, key: str) -> DataFrame:
     core; a larger input, whose splits keep the cores busy, passes unchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, key) if size < cores * SPREAD_BYTES else df
+    return df.repartition(cores, key) if plan_bytes(df) < cores * SPREAD_BYTES else df
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """What Spark expects a frame to read, from the sizes of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def pieces(df: DataFrame, least: int) -> int:
+    """Number of partitions, ``least`` or more, that leaves each at most ``SPREAD_BYTES`` of the files read."""
+    return max(least, -(-plan_bytes(df) // SPREAD_BYTES))
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
