@@ -145,3 +145,15 @@ def test_landing_tasks_grow_in_number(spark, tmp_path, monkeypatch):
         writers = spark.read.text(f"{landed}/*").select(F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)).distinct()
         assert stream.isStreaming and least <= writers.count() <= least + 2
         assert spark.read.json(f"{landed}/*").count() == 4000
+
+
+def test_late_articles_read_each_text_once(spark, tmp_path):
+    """Counting arrivals computes no text, and each landing has a folder of its own to read."""
+    land(tmp_path / "landing" / "A", "n1", 1, "good")
+    stream = news.stream_news(spark, f"{tmp_path}/landing/*").withColumn("article", F.raise_error(F.lit("a text was read")))
+    out = str(tmp_path / "arrivals")
+    news.write_arrivals(stream, out, str(tmp_path / "offsets"), available_now=True).awaitTermination()
+    assert [r["landed"] for r in rows(spark.read.parquet(out))] == [1]
+    assert QUERIES["stream_late_articles"](spark, "/root/testdata/sf0.001").count() == 150
+    staged = max(Path(session.shared_folder(spark)).glob("late-news-*"), key=lambda p: p.stat().st_mtime)
+    assert sorted(p.name for p in staged.glob("landing=*")) == [f"landing={k}" for k in range(6)]

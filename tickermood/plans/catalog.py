@@ -838,7 +838,10 @@ def stream_late_articles(spark, sf):
     news = sample.news(spark, sf).withColumn("landing", F.floor(F.datediff("date", F.lit(sample.FIRST_DAY)) / LANDING_DAYS))
     late = F.when(F.col("doc_id") % 7 == 3, 2).otherwise(0)
     news = news.withColumn("landing", F.least(F.col("landing") + late, F.lit(5)))
-    rows = saved(news.select("landing", "article", _published().alias("published date"), "symbol"), "late-news")
+    staged = scratch_path(spark, "late-news")
+    # A folder per landing, so that each reads its own articles only.
+    news.select("landing", "article", _published().alias("published date"), "symbol").write.partitionBy("landing").parquet(staged)
+    rows = spark.read.schema("article string, `published date` string, symbol string, landing int").parquet(staged)
     stream = lambda: streaming.stream_news(spark, f"{landing}/*/*").withColumn(
         "symbol", F.regexp_replace("symbol", "^symbol=", "")
     )

@@ -82,7 +82,8 @@ def write_arrivals(stream: DataFrame, path, checkpoint, available_now=False):
         counted = batch.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("landed"))
         counted.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    writer = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+    # A batch holds what the stream selects: without this, every text.
+    writer = stream.select("symbol", "date").writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
