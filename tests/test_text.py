@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickermood.functions import lookup
 from tickermood.operators import sentiment, term_join, text
+from tickermood.plans.catalog import QUERIES
 from tickermood.schemas import CLASS_LEXICON, LEMMAS, VALENCE_LEXICON
 from tickermood.sources.dictionaries import NEGATIVE_WORDS, POSITIVE_WORDS, default_lexicon, default_wordlist
 from tickermood.sources.local import small_frame
@@ -264,6 +265,17 @@ def test_words_are_filtered_before_they_move(spark, monkeypatch):
     assert "getbit" in plan or "bit_get" in plan
 
 
+def test_lemmas_are_counted_before_the_join(spark):
+    lemmas = small_frame(spark, [("were", "be"), ("Is", "be")], LEMMAS)
+    token_rows = text.tokens(docs(spark, "were is IS was. be", "is", None))
+    counted = text.lemma_counts(token_rows, lemmas)
+    plain = text.lemmatize(token_rows, lemmas).groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+    assert rows(counted, "token") == rows(plain, "token") == [{"token": "be", "uses": 5}, {"token": "was", "uses": 1}]
+    plan = QUERIES["lemmas_large"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join"):]
+    assert below.index("Aggregate [token") < below.index("Generate")
+
+
 def test_daily_mean_and_sum(spark):
     df = spark.createDataFrame(
         [("A", "2024-01-01", 1.0, 1), ("A", "2024-01-01", 3.0, -1), ("A", "2024-01-02", 5.0, 0)],

@@ -47,6 +47,16 @@ def lemmatize(token_rows: DataFrame, lemmas: DataFrame) -> DataFrame:
     return joined.select(*others, F.coalesce("_lemma", "token").alias("token"))
 
 
+def lemma_counts(token_rows: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """(token, uses): how often each lemma occurs, a form without one standing for itself.
+
+    Tokens are counted before they meet the dictionary: what moves is a row for each
+    distinct token of a task, and no task sorts the uses of a common one.
+    """
+    counts = token_rows.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+    return lemmatize(counts, lemmas).groupBy("token").agg(F.sum("uses").alias("uses"))
+
+
 def ngrams(df: DataFrame, text_col="article", id_col="doc_id", max_n=4) -> DataFrame:
     """(id, sent_id, pos, n, gram) for every run of up to ``max_n`` words of a sentence."""
     by_sentence = each(df, [id_col], sentence_words(text_col), "sent_id", "words")

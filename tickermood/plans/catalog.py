@@ -908,8 +908,7 @@ def lemmas_large(spark, sf):
         F.concat(F.substring("term", 1, 3), F.lit("->"), "term", F.lit("\t"), F.upper("term")).alias("line")
     )
     forms.union(spark.createDataFrame([("",), ("zzz->the",), ("alone",)], "line string")).write.text(path)
-    rows = text.lemmatize(text.tokens(sample.news(spark, sf)), read_lemmas(spark, path))
-    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
+    return text.lemma_counts(text.tokens(sample.news(spark, sf)), read_lemmas(spark, path))
 
 
 @query
