@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tickermood.functions import lookup
+from tickermood.functions.text import word_array
 from tickermood.operators import sentiment, term_join, text
 from tickermood.plans.catalog import QUERIES
 from tickermood.schemas import CLASS_LEXICON, LEMMAS, VALENCE_LEXICON
@@ -265,6 +266,25 @@ def test_words_are_filtered_before_they_move(spark, monkeypatch):
     assert "getbit" in plan or "bit_get" in plan
 
 
+def test_what_meets_a_large_dictionary_is_distinct_words(spark, monkeypatch):
+    """Texts that hold a word a thousand times send it to the join once, and one table comes back for their group."""
+    monkeypatch.setattr(lookup, "INLINE_TERMS", 0)
+    df = docs(spark, *["good bad " * 1000, "bad " * 500] * 20)
+    lexicon = small_frame(spark, [("good", 3), ("bad", -1)], VALENCE_LEXICON)
+    met = term_join._with_tables(
+        df, F.array(word_array("article")), [1], lexicon.select("term", F.struct("valence").alias("entry"))
+    )
+    tables = {str(r["_tables"]) for r in rows(met.groupBy(F.xxhash64("article")).agg(F.max(F.to_json("_tables")).alias("_tables")))}
+    assert 1 <= len(tables) <= 2
+    for found in (
+        sentiment.valence_score(df, lexicon), sentiment.dictionary_sentiment(df, default_lexicon(spark)),
+        sentiment.wordlist_polarity(df, default_wordlist(spark)),
+    ):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "posexplode" not in plan and "explode(_distinct" in plan
+    assert column(sentiment.valence_score(df, lexicon), "afinn_sentiment") == [2000.0, -500.0] * 20
+
+
 def test_lemmas_are_counted_before_the_join(spark):
     lemmas = small_frame(spark, [("were", "be"), ("Is", "be")], LEMMAS)
     token_rows = text.tokens(docs(spark, "were is IS was. be", "is", None))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tickermood.functions.columns import polarity
 from tickermood.functions.lookup import Lookup, fetch_lookup_rows, word_lookup
 from tickermood.functions.text import blank_separated, sentence_words, word_array
-from tickermood.operators.term_join import phrase_hits, replaced_words
+from tickermood.operators.term_join import phrase_hits, phrase_sizes, replaced_words, word_values
 from tickermood.operators.text import each, lemma_forms
 
 _ENTRY = "struct<n:int,words:array<string>,value:double,factor:double>"
@@ -91,13 +91,19 @@ def _hits(words: str, lookup: Lookup, max_n: int) -> str:
     return f"flatten(filter({listed}, h -> h is not null))"
 
 
-def _fold(hits: str) -> str:
+def _fold(hits: str, overlap=True) -> str:
     """SQL of the sum of one sentence's hits, in order of position and longest first.
 
     A hit that starts inside an earlier one is passed over. A value is multiplied
     by the factor of the hit directly before it, if that is a modifier, and then
-    by the factor of the modifier before that.
+    by the factor of the modifier before that. Without ``overlap`` every hit is one word.
     """
+    if not overlap:
+        return f"""aggregate({hits},
+            named_struct('near', cast(null as double), 'far', cast(null as double), 'total', 0D),
+            (s, h) -> named_struct('near', h.factor, 'far', s.near,
+                'total', s.total + coalesce(if(s.near is null, h.value, h.value * (s.near * coalesce(s.far, 1D))), 0D)),
+            s -> s.total)"""
     inside = "h.pos <= s.`end`"
     factor = "if(s.near is null, 1D, s.near * coalesce(s.far, 1D))"
     return f"""aggregate({hits},
@@ -129,13 +135,20 @@ def valence_score(
     """
     entries = valence_entries(lexicon)
     small = _phrase_lookup(entries)
-    with_words = df.withColumn("_words", word_array(text_col) if words is None else words)
+    words = word_array(text_col) if words is None else words
     if small is None:
         _refuse_stream(df)
-        found = phrase_hits(with_words, F.array("_words"), _terms(entries))
-        total = F.expr(_fold("_hits[0].hits"))
-        return found.withColumn(out, F.coalesce(total, F.lit(0.0))).drop("_words", "_hits")
+        terms = _terms(entries)
+        sizes = phrase_sizes(terms)
+        if sizes == [1]:
+            found = word_values(df, words, terms.select("term", F.struct("value").alias("entry")), "_hits")
+            total = F.expr("aggregate(_hits, 0D, (total, h) -> total + h.value)")
+        else:
+            found = phrase_hits(df, F.array(words), terms, sizes)
+            total = F.expr(_fold("_hits[0]"))
+        return found.withColumn(out, F.coalesce(total, F.lit(0.0))).drop("_hits")
     lookup, max_n = small
+    with_words = df.withColumn("_words", words)
     if max_n == 1:
         known = f"filter(transform(_words, w -> {lookup.get('w')}), e -> e is not null)"
         total = F.expr(f"aggregate({known}, 0D, (total, e) -> total + e[0].value)")
@@ -165,11 +178,11 @@ def dictionary_sentiment(
     small = _phrase_lookup(entries)
     if small is None:
         _refuse_stream(df)
-        found = phrase_hits(with_words, F.col("_words"), _terms(entries))
-        # Sentences without a hit have a total of 0; one of these stands for all.
-        totals = f"coalesce(transform(_hits, s -> {_fold('s.hits')}), array())"
-        rest = "if(size(_words) > coalesce(size(_hits), 0), array(0D), array())"
-        scored = found.withColumn("_totals", F.expr(f"concat({totals}, {rest})"))
+        rows, cut = (df, words) if lemmas is None else (with_words, F.col("_words"))
+        terms = _terms(entries)
+        sizes = phrase_sizes(terms)
+        fold = _fold("hits", overlap=sizes != [1])
+        scored = phrase_hits(rows, cut, terms, sizes).withColumn("_totals", F.expr(f"transform(_hits, hits -> {fold})"))
     else:
         fold = _fold(_hits("words", *small))
         scored = with_words.withColumn("_totals", F.expr(f"transform(_words, words -> {fold})"))
@@ -195,8 +208,9 @@ def dictionary_hits(
     small = _phrase_lookup(entries)
     if small is None:
         _refuse_stream(df)
-        found = phrase_hits(by_sentence, F.array("_s"), _terms(entries))
-        rows = found.withColumn("_hits", F.col("_hits")[0]["hits"])
+        terms = _terms(entries)
+        found = phrase_hits(by_sentence, F.array("_s"), terms, phrase_sizes(terms))
+        rows = found.withColumn("_hits", F.col("_hits")[0])
     else:
         rows = by_sentence.withColumn("_hits", F.expr(_hits("_s", *small)))
     # A running maximum of the ends tells the hits that start inside an earlier one.
@@ -251,12 +265,11 @@ def wordlist_polarity(df: DataFrame, words: DataFrame, text_col="article", out="
 def _joined_polarity(df: DataFrame, listed: DataFrame, text_col: str, out: str) -> DataFrame:
     """The polarity by a large list; a hit's value marks a positive word, its factor a negative one."""
     held = lambda name: F.max((F.col("class") == name).cast("double"))
-    terms = listed.groupBy(F.col("word").alias("term")).agg(
-        F.lit(1).alias("n"), held("positive").alias("value"), held("negative").alias("factor")
-    )
-    found = phrase_hits(df.withColumn("_words", blank_separated(text_col)), F.array("_words"), terms.where("term is not null"))
-    count = lambda field: F.expr(f"size(filter(coalesce(_hits[0].hits, array()), h -> h.{field} = 1D))")
-    return found.withColumn(out, polarity(count("value"), count("factor"))).drop("_words", "_hits")
+    marks = F.struct(held("positive").alias("value"), held("negative").alias("factor")).alias("entry")
+    terms = listed.groupBy(F.col("word").alias("term")).agg(marks).where("term is not null")
+    found = word_values(df, blank_separated(text_col), terms, "_marks")
+    count = lambda field: F.expr(f"size(filter(coalesce(_marks, array()), m -> m.{field} = 1D))")
+    return found.withColumn(out, polarity(count("value"), count("factor"))).drop("_marks")
 
 
 def daily_sentiment(df: DataFrame, agg="avg", by=("symbol", "date")) -> DataFrame:

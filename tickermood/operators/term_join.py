@@ -1,34 +1,35 @@
 """Dictionary lookup by join: for dictionaries too large to stand in the plan.
 
-The words of a text are looked up where they meet the dictionary, and what was found goes
-back to the text. Three things keep that small. A Bloom filter of the terms, of one fixed
-size whatever the dictionary, drops words before they are shuffled. What is found is put
-together for each text before it moves again. And texts are told apart by a digest of
-their words, computed on both sides: no row needs an id, equal texts are looked up as one,
-and a task that runs again after the loss of an executor gives the same keys.
-
-A word that very many texts hold makes one large key on the side of the texts; adaptive
-execution splits it, since only the dictionary's few rows for it are repeated. A dictionary
-that Spark knows to be small is broadcast by the same plan.
+Texts are dealt into groups by a hash of their words, some hundred KB of files to a group.
+The distinct words of a group meet the dictionary, and what was found goes back to the
+group as one row, a small hash table, which each of its texts is then looked up in. So
+what moves is each text twice and each word of a group, however often its texts hold it.
+A Bloom filter of the terms, of one fixed size whatever the dictionary, drops other words
+before they move. No row needs an id, equal texts are in one group, and a task that runs
+again after the loss of an executor gives the same groups.
+
+A word that very many groups hold makes one large key; adaptive execution splits it, since
+only the dictionary's few rows for it are repeated. It splits a group of very many equal
+texts likewise. A dictionary that Spark knows to be small is broadcast by the same plan.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickermood.functions.text import ahead
+from tickermood.session import plan_bytes
 
 # Longs of the Bloom filter: 2 MB, below one false word in ten up to a million terms.
 BLOOM_LONGS = 1 << 18
 
-KEY = ["_key_a", "_key_b"]
-
-
-def digest(sentences: Column) -> list[Column]:
-    """Two columns that tell texts of different words or sentences apart.
-
-    A hash of nested arrays does not see where one ends; the sizes tell it.
-    """
-    sizes = F.transform(sentences, F.size)
-    return [F.xxhash64(sentences, sizes).alias(KEY[0]), F.xxhash64(F.lit("words"), sizes, sentences).alias(KEY[1])]
+# Bytes of files whose texts make one group, and of those that one task cuts into words.
+GROUP_BYTES = 1 << 18
+TASK_BYTES = 16 << 20
+# Groups of a frame whose size Spark does not know, such as a batch of a stream.
+GROUPS_UNKNOWN = 1 << 12
+# Lists of a group's hash table: with some thousand words, a few to a list.
+SLOTS = 1024
+# Tasks that the words of a very common text are dealt over.
+SALTS = 4
 
 
 def _place(word: Column) -> Column:
@@ -49,55 +50,102 @@ def bloom_filter(terms: DataFrame, column="term"):
     return lambda word: F.getbit(F.get(longs, F.floor(_place(word) / 64).cast("int")), _place(word) % 64) == 1
 
 
-def _words(df: DataFrame, sentences: Column) -> DataFrame:
-    """(key, sent, words): the sentences of every text, empty ones left out."""
-    cut = df.select(*digest(sentences), sentences.alias("_sentences"))
-    rows = cut.select(*KEY, F.posexplode_outer("_sentences").alias("sent", "words"))
-    return rows.where("sent is not null and size(words) > 0")
+def _sizes(df: DataFrame) -> tuple[int, int]:
+    """(groups, tasks) for the texts of ``df``."""
+    size, least = plan_bytes(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if size >= 1 << 60:
+        return GROUPS_UNKNOWN, least
+    return max(1, -(-size // GROUP_BYTES)), max(least, -(-size // TASK_BYTES))
 
 
-def phrase_hits(df: DataFrame, sentences: Column, terms: DataFrame) -> DataFrame:
-    """``df`` with ``_hits``: what its sentences hold of ``terms(term, n, value, factor)``.
+def _slot(word: Column) -> Column:
+    return F.pmod(F.hash(word), F.lit(SLOTS))
 
-    ``sentences`` is array<array<string>>; ``term`` is ``n`` words with a blank between. One row
-    per term. ``_hits`` is array<struct<sent, hits: array<struct<pos, less, end, value, factor>>>>,
-    hits in order of position and longest first; null for a text without any.
+
+def _grams(words: Column, sizes) -> Column:
+    """The runs of ``sizes`` words, each with a blank between."""
+    if list(sizes) == [1]:
+        return words
+
+    def runs(n: int) -> Column:
+        return F.transform(F.filter(ahead(words, n), lambda run: F.size(run) == n), lambda run: F.array_join(run, " "))
+
+    return F.concat(*map(runs, sizes))
+
+
+def _with_tables(df: DataFrame, sentences: Column, sizes, terms: DataFrame) -> DataFrame:
+    """``df`` with ``_tables``: of the entries ``terms(term, entry)``, those that texts of the row's group hold.
+
+    array<map<string, entry>>, a term in the map at its ``_slot``; null for a group without any.
     """
-    sizes = sorted(r["n"] for r in terms.select("n").distinct().collect())
+    groups, tasks = _sizes(df)
     known = bloom_filter(terms)
-    words = _words(df, sentences)
-    if sizes in ([], [1]):
-        grams = words.select(*KEY, "sent", F.posexplode("words").alias("pos", "term"), F.lit(1).alias("size"))
-    else:
-        starts = words.select(*KEY, "sent", F.posexplode(ahead(F.col("words"), sizes[-1])).alias("pos", "ahead"))
-        each_size = F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size")
-        grams = starts.select(*KEY, "sent", "pos", "ahead", each_size).where("size <= size(ahead)").select(
-            *KEY, "sent", "pos", F.array_join(F.slice("ahead", F.lit(1), F.col("size")), " ").alias("term"), "size"
-        )
-    found = grams.where(known(F.col("term"))).join(terms, "term")
-    hit = F.struct("pos", (-F.col("size")).alias("less"), (F.col("pos") + F.col("size") - 1).alias("end"), "value", "factor")
-    by_sentence = found.groupBy(*KEY, "sent").agg(F.sort_array(F.collect_set(hit)).alias("hits"))
-    by_text = by_sentence.groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("sent", "hits"))).alias("_hits"))
-    return _joined_back(df, sentences, by_text)
-
-
-def _joined_back(df: DataFrame, sentences: Column, by_text: DataFrame) -> DataFrame:
-    keyed = df.select("*", *digest(sentences))
-    return keyed.join(by_text, KEY, "left").drop(*KEY)
+    # One text is in one group. Other columns only part its copies, so they need not give the same value again.
+    group = F.pmod(F.xxhash64(sentences), F.lit(groups))
+    others = [F.col(f"`{c}`") for c, kind in df.dtypes if not any(t in kind for t in ("map<", "variant"))]
+    salt = F.pmod(F.xxhash64(F.lit("salt"), *others), F.lit(SALTS))
+    distinct = F.array_distinct(F.flatten(F.transform(sentences, lambda words: _grams(words, sizes))))
+    texts = df.select(group.alias("_group"), salt.alias("_salt"), distinct.alias("_distinct"))
+    texts = texts.where("size(_distinct) > 0").repartition(tasks, "_group", "_salt")
+    words = texts.select("_group", F.explode("_distinct").alias("term"))
+    found = words.where(known(F.col("term"))).distinct().join(terms, "term").repartition(tasks, "_group")
+    listed = found.groupBy("_group", _slot(F.col("term")).alias("slot")).agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "entry"))).alias("held")
+    )
+    by_group = listed.groupBy("_group").agg(F.collect_list("slot").alias("slots"), F.collect_list("held").alias("helds"))
+    dense = F.expr(f"transform(sequence(0, {SLOTS - 1}), k -> get(helds, cast(array_position(slots, k) as int) - 1))")
+    tables = by_group.select("_group", dense.alias("_tables"))
+    return df.withColumn("_group", group).join(tables, "_group", "left").drop("_group")
+
+
+def _held(word: Column) -> Column:
+    """The entry of ``word`` in the table of its row's group; null for a word without one."""
+    return F.try_element_at(F.get("_tables", _slot(word)), word)
+
+
+# What a table gives for a text is computed with its join's output row, of which the table
+# is no part any more: nothing copies it.
+
+
+def word_values(df: DataFrame, words: Column, terms: DataFrame, out="_entries") -> DataFrame:
+    """``df`` with ``out``: the entry of each of ``words`` that is a term of ``terms(term, entry)``, in order.
+
+    Null for a text of which nothing is known: one without words or without a term in its group.
+    """
+    met = _with_tables(df, F.array(words), [1], terms)
+    found = F.when(F.col("_tables").isNotNull(), F.filter(F.transform(words, _held), lambda e: e.isNotNull()))
+    return met.select(*[F.col(f"`{c}`") for c in df.columns], found.alias(out))
+
+
+def phrase_sizes(terms: DataFrame) -> list[int]:
+    """The numbers of words ``n`` of ``terms``, largest first."""
+    return sorted((r["n"] for r in terms.select("n").distinct().collect()), reverse=True) or [1]
+
+
+def phrase_hits(df: DataFrame, sentences: Column, terms: DataFrame, sizes) -> DataFrame:
+    """``df`` with ``_hits``: what its sentences hold of ``terms(term, n, value, factor)``, n being among ``sizes``.
+
+    ``sentences`` is array<array<string>>; ``term`` is ``n`` words with a blank between. One row
+    per term. ``_hits`` has an array<struct<pos, end, value, factor>> for each sentence,
+    hits in order of position and longest first; null for a text that is null.
+    """
+    met = _with_tables(df, sentences, sizes, terms.select("term", F.struct("value", "factor").alias("entry")))
+
+    def hit(words: Column, word: Column, pos: Column, n: int) -> Column:
+        entry = _held(word) if n == 1 else F.when(pos + n <= F.size(words), _held(F.array_join(F.slice(words, pos + 1, n), " ")))
+        fields = lambda e: F.struct(pos.alias("pos"), (pos + (n - 1)).alias("end"), e["value"].alias("value"), e["factor"].alias("factor"))
+        return F.transform(F.filter(F.array(entry), lambda e: e.isNotNull()), fields)
+
+    at = lambda words: F.flatten(F.transform(words, lambda w, p: F.concat(*[hit(words, w, p, n) for n in sizes])))
+    # Without a table: sentences without hits.
+    looked_up = F.transform(sentences, lambda words: F.when(F.col("_tables").isNotNull(), at(words)))
+    none = F.expr("cast(array() as array<struct<pos:int,`end`:int,value:double,factor:double>>)")
+    hits = F.transform(looked_up, lambda found: F.coalesce(found, none))
+    return met.select(*[F.col(f"`{c}`") for c in df.columns], hits.alias("_hits"))
 
 
 def replaced_words(df: DataFrame, sentences: Column, forms: DataFrame, out: str) -> DataFrame:
     """``df`` with ``out``: the words of ``sentences`` replaced as ``forms(word, lemma)`` says, one row per word."""
-    known = bloom_filter(forms, "word")
-    rows = _words(df, sentences).select(*KEY, "sent", F.posexplode("words").alias("pos", "word"))
-    found = rows.where(known(F.col("word"))).join(forms, "word")
-    entry = lambda *columns: F.map_from_entries(F.collect_set(F.struct(*columns)))
-    by_sentence = found.groupBy(*KEY, "sent").agg(entry("pos", "lemma").alias("changes"))
-    changes = F.map_from_entries(F.collect_list(F.struct("sent", "changes"))).alias("_changes")
-    met = _joined_back(df, sentences, by_sentence.groupBy(*KEY).agg(changes))
-
-    def changed(words: Column, i: Column) -> Column:
-        own = F.try_element_at("_changes", i)
-        return F.transform(words, lambda w, p: F.coalesce(F.try_element_at(own, p), w))
-
-    return met.withColumn(out, F.transform(sentences, changed)).drop("_changes")
+    met = _with_tables(df, sentences, [1], forms.select(F.col("word").alias("term"), F.struct("lemma").alias("entry")))
+    changed = F.transform(sentences, lambda words: F.transform(words, lambda w: F.coalesce(_held(w)["lemma"], w)))
+    return met.withColumn(out, changed).drop("_tables")

@@ -896,7 +896,7 @@ def dictionary_sentiment_large(spark, sf):
 
 @query
 def wordlist_large(spark, sf):
-    rows = sentiment.wordlist_polarity(sample.news(spark, sf), _large_classes(spark, sf))
+    rows = sentiment.wordlist_polarity(sample.news(spark, sf), saved(_large_classes(spark, sf), "wordlist"))
     return rounded(rows.select("doc_id", "sentiment_score"))
 
 
