@@ -316,3 +316,33 @@ def test_scoring_shuffles_daily_sums_only(spark):
     daily = sentiment.daily_sentiment(score_articles(df, valences, default_lexicon(spark)))
     plan = daily._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_avg" in plan
+
+
+def test_both_scores_in_one_pass_are_those_of_each(spark):
+    draw = random.Random(5)
+    valences = small_frame(spark, [("good", 3), ("bad", -2), ("not good", -1), ("good not", 5), ("kin", 2), ("so", None)], VALENCE_LEXICON)
+    classes = small_frame(spark, [
+        ("good", "positive"), ("bad", "negative"), ("very", "increment"), ("hardly", "decrement"), ("not", "revert"),
+        ("very good bad", "negative"), ("bad very", "positive"), ("so", "other"), ("i", "positive"), ("kin", "negative"),
+    ], CLASS_LEXICON)
+    words = ["good", "BAD", "very", "hardly", "not", "so", "x", "I", "\u0130", "\u212ain", "\u00e4", "\u4e16", "Good-bad", "it's"]
+    gaps = [" "] * 6 + [". ", "! ", "?\n", ".", " .\x0b", ".\x0c", ".\r", ".\t ", ". . ", "\u00a0", "\u2003", ".\u00a0", "\0", "\n", ".,", ",. "]
+    texts = ["".join(draw.choice(words) + draw.choice(gaps) for _ in range(draw.randrange(40))) for _ in range(400)]
+    df = docs(spark, *texts, None, "", " . ", "good. " * 5_000, "not" + " " * 100_000 + "good", "not" + ". " * 50_000 + "good")
+    found = sentiment.both_scores(df, valences, classes)
+    each = sentiment.dictionary_sentiment(sentiment.valence_score(df, valences), classes)
+    assert found.columns == each.columns and [f.dataType for f in found.schema] == [f.dataType for f in each.schema]
+    assert rows(found, "doc_id") == rows(each, "doc_id")
+    assert len({r["sentiment_score"] for r in found.collect()}) > 20
+
+
+def test_articles_are_scored_in_one_pass_by_small_dictionaries_only(spark, monkeypatch):
+    from tickermood.plans.feature_table import score_articles
+
+    df = docs(spark, "very good. Not bad", None)
+    valences = small_frame(spark, [("good", 3)], VALENCE_LEXICON)
+    scored = lambda: score_articles(df, valences, default_lexicon(spark))
+    one_pass = scored()
+    assert one_pass._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    monkeypatch.setattr(lookup, "INLINE_TERMS", 0)
+    assert rows(one_pass, "doc_id") == rows(scored(), "doc_id")

@@ -7,6 +7,7 @@ from tickermood.operators.features import join_features
 from tickermood.operators.market import price_features
 from tickermood.operators.scaling import scale
 from tickermood.operators.sentiment import (
+    both_scores,
     daily_sentiment,
     dictionary_sentiment,
     pnn_score,
@@ -18,8 +19,12 @@ def score_articles(news: DataFrame, valences: DataFrame, classes: DataFrame, lem
     """Both article scores, computed where the article is read.
 
     The text is cut into words once: the words of its sentences in a row are its
-    words, since no word reaches over a sentence gap.
+    words, since no word reaches over a sentence gap. Small dictionaries without lemmas
+    need one pass for both scores.
     """
+    scored = both_scores(news, valences, classes, text_col) if lemmas is None else None
+    if scored is not None:
+        return pnn_score(scored)
     cut = news.withColumn("_sentences", sentence_words(text_col))
     scored = valence_score(cut, valences, text_col, words=F.flatten("_sentences"))
     labelled = dictionary_sentiment(scored, classes, text_col, lemmas=lemmas, sentences=F.col("_sentences"))
